@@ -1,0 +1,6 @@
+"""The registered queries: the library's operators over whole tables."""
+
+from workload import dashboard  # noqa: F401
+from workload.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
