@@ -31,7 +31,7 @@ eligible AS (
   LEFT JOIN region r ON left(a.priority, 1) = CAST(r.r_regionkey AS VARCHAR)
   WHERE a.app_year = (SELECT max(app_year) FROM apps)
     AND (f.is_eligible = 1 OR a.status = 'P' OR f.is_later = 1)
-    AND a.decision IN ('invite', 'hold', 'reject') AND NOT regexp_matches(a.status, '^F')
+    AND a.decision IN ('invite', 'hold', 'reject') AND NOT regexp_matches(a.status, '^F[[:upper:]]*$')
     AND a.priority IS NOT NULL AND a.app_date IS NOT NULL)"""
 
 
@@ -52,7 +52,7 @@ def eligible_rows(spark, sf):
         reasons=[F.col("is_eligible") == 1, F.col("status") == "P", F.col("is_later") == 1],
         required=[
             F.col("decision").isin("invite", "hold", "reject"),
-            ~matches("status", r"^\p{Upper}$") | ~matches("status", "^f", ignore_case=True),
+            ~matches("status", r"^F\p{Upper}*$"),
             all_known(["priority", "app_date"]),
         ],
         year="app_year",
