@@ -1,6 +1,6 @@
 """The registered queries: the library's operators over whole tables."""
 
-from workload import cleaning, dashboard, relational  # noqa: F401
+from workload import cleaning, dashboard, profiling, relational  # noqa: F401
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
