@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall import DEFAULT_KEY
 from rollcall.operators.columns import columns_of
-from rollcall.operators.ordered import rows_at_ranks
+from rollcall.operators.ordered import at_or_before, rows_at_ranks
 from rollcall.operators.relational import in_keys
 from rollcall.operators.types import binary_columns
 
@@ -52,10 +52,7 @@ def stratified_split(
         raise ValueError(f"{label} has more than {MAX_CLASSES} values; is it a class label?")
     in_test = F.lit(False)
     for row in last:
-        upto = F.lit(True)
-        for c in reversed(order):
-            upto = (F.col(c) < F.lit(row[c])) | ((F.col(c) == F.lit(row[c])) & upto)
-        in_test = in_test | (F.col(label).eqNullSafe(F.lit(row[label])) & upto)
+        in_test = in_test | (F.col(label).eqNullSafe(F.lit(row[label])) & at_or_before(order, row))
     return digested.withColumn(name, F.when(in_test, "test").otherwise("train")).drop("digest__")
 
 

@@ -91,7 +91,7 @@ def values_at_ranks(
 
     ``ranks`` maps a name to a function from the group size to the rank. ``targets`` gives ranks per group
     instead, as rows ``(by..., rank_name, rank)``. ``slot`` names a slot column made by :func:`add_slots`.
-    Returns ``(by..., rank_name, value, rank_in_value, group_size)``, one row per rank that exists.
+    Returns ``(by..., rank_name, value, rank_in_value, n_equal, group_size)``, one row per rank that exists.
     """
     by = list(by)
     known = df.filter(F.col(f"`{value}`").isNotNull())
@@ -122,7 +122,12 @@ def values_at_ranks(
         (F.col("rank") >= F.col("n_before")) & (F.col("rank") < F.col("n_before") + F.col("n"))
     )
     return hits.select(
-        *by, "rank_name", value, (F.col("rank") - F.col("n_before")).alias("rank_in_value"), "group_size"
+        *by,
+        "rank_name",
+        value,
+        (F.col("rank") - F.col("n_before")).alias("rank_in_value"),
+        F.col("n").alias("n_equal"),
+        "group_size",
     )
 
 
@@ -180,27 +185,48 @@ def rows_at_ranks(
 ) -> list[dict]:
     """The rows at given 0-based ranks of the order by several columns, found column by column (runs jobs).
 
-    Ties on the first column are broken by the next one, and so on. Returns at most one small dict per group
-    and rank, so ``by`` must be a column with few values, such as a class label.
+    Ties on the first column are broken by the next one, and so on; columns not needed to tell the row from
+    all others are None. Returns at most one small dict per group and rank, so ``by`` must be a column with few
+    values, such as a class label.
     """
     by, order = list(by), list(order)
     narrow = df.select(*by, *order)
-    found = values_at_ranks(narrow, order[0], ranks, by).collect()
-    for depth in range(1, len(order)):
-        prefix = [*by, *order[:depth]]
-        if not found:
+    kinds = {f.name: f.dataType for f in narrow.schema.fields}
+    open_rows = [r.asDict() for r in values_at_ranks(narrow, order[0], ranks, by).collect()]
+    done: list[dict] = []
+    for depth in range(1, len(order) + 1):
+        done += [r for r in open_rows if r["n_equal"] == 1 or depth == len(order)]
+        open_rows = [r for r in open_rows if r["n_equal"] > 1 and depth < len(order)]
+        if not open_rows:
             break
+        prefix = [*by, *order[:depth]]
         ties = reduce(
             lambda a, b: a | b,
-            [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in prefix]) for r in found],
+            [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in prefix]) for r in open_rows],
         )
-        kinds = {f.name: f.dataType for f in narrow.schema.fields}
         schema = T.StructType(
             [T.StructField(c, kinds[c]) for c in prefix]
             + [T.StructField("rank_name", T.StringType()), T.StructField("rank", T.LongType())]
         )
         targets = df.sparkSession.createDataFrame(
-            [(*[r[c] for c in prefix], r["rank_name"], r["rank_in_value"]) for r in found], schema
+            [(*[r[c] for c in prefix], r["rank_name"], r["rank_in_value"]) for r in open_rows], schema
         )
-        found = values_at_ranks(narrow.filter(ties), order[depth], by=prefix, targets=targets).collect()
-    return [{c: r[c] for c in [*by, "rank_name", *order]} for r in found]
+        found = values_at_ranks(narrow.filter(ties), order[depth], by=prefix, targets=targets)
+        open_rows = [r.asDict() for r in found.collect()]
+    return [{c: r.get(c) for c in [*by, "rank_name", *order]} for r in done]
+
+
+def at_or_after(order: Sequence[str], row: Mapping) -> Column:
+    """Whether a row is the given one or comes later, for a row found by :func:`rows_at_ranks`."""
+    out = F.lit(True)
+    for c in reversed([c for c in order if row[c] is not None]):
+        out = (F.col(c) > F.lit(row[c])) | ((F.col(c) == F.lit(row[c])) & out)
+    return out
+
+
+def at_or_before(order: Sequence[str], row: Mapping) -> Column:
+    """Whether a row is the given one or comes earlier, for a row found by :func:`rows_at_ranks`."""
+    out = F.lit(True)
+    for c in reversed([c for c in order if row[c] is not None]):
+        out = (F.col(c) < F.lit(row[c])) | ((F.col(c) == F.lit(row[c])) & out)
+    return out

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from rollcall.operators.ordered import rows_at_ranks, values_at_ranks
+from rollcall.operators.ordered import at_or_after, rows_at_ranks, values_at_ranks
 
 
 def _edge_rows(df: DataFrame, person: str, year: str, first: int, last: int, edge) -> DataFrame:
@@ -100,17 +100,10 @@ def ntile_bucket(df: DataFrame, order: Sequence[str], n: int, name: str = "bucke
     cuts = rows_at_ranks(df, order, {str(j): start(j) for j in range(1, n)})
     bucket = F.lit(1)
     for row in cuts:
-        bucket = bucket + _at_or_after([F.col(c) for c in order], [F.lit(row[c]) for c in order]).cast("int")
+        bucket = bucket + at_or_after(order, row).cast("int")
     return df.withColumn(name, bucket)
 
 
-def _at_or_after(columns: list[Column], values: list[Column]) -> Column:
-    out = F.lit(True)
-    for c, v in zip(reversed(columns), reversed(values)):
-        out = (c > v) | ((c == v) & out)
-    return out
-
-
 def top_k_label(df: DataFrame, score: str, k: float, name: str = "label") -> DataFrame:
     """1 for scores above the cut-off that leaves about k of the rows positive, else 0 (runs jobs).
 

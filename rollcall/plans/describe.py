@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -19,10 +19,12 @@ def describe_table(
     top_n: int = 10,
     digits: int = 3,
     approx: bool = False,
+    only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Every report on a table as ``{name: DataFrame}``; a report without matching columns is left out.
+    """Every report on a table, or those named in ``only``, as ``{name: DataFrame}``.
 
-    Yes/no columns are recoded to numbers first. Identifier columns are not summarised.
+    A report without matching columns is left out. Yes/no columns are recoded to numbers first. Identifier
+    columns are not summarised.
     """
     yes_no = yes_no_columns(df)
     data = recode_yes_no(df, yes_no) if yes_no else df
@@ -30,25 +32,29 @@ def describe_table(
     texts = [c for c in columns_of(data, "text") if c not in ids]
     numbers = [c for c in columns_of(data, "number") if c not in ids]
     times = [c for c in columns_of(data, "time") if c not in ids]
-    parts = {
-        "variable_types": variable_types(data),
-        "pct_missing": profile.pct_missing(data, group),
-        "missing_patterns": profile.missing_patterns(data),
-        "complete_cases": profile.complete_cases(data, group),
+
+    def binary_shares() -> DataFrame | None:
+        found = binary_columns(data, columns=numbers)
+        return profile.category_shares(data, group, None, digits, found) if found else None
+
+    reports: dict[str, Callable[[], DataFrame | None]] = {
+        "variable_types": lambda: variable_types(data),
+        "pct_missing": lambda: profile.pct_missing(data, group),
+        "missing_patterns": lambda: profile.missing_patterns(data),
+        "complete_cases": lambda: profile.complete_cases(data, group),
     }
     if texts:
-        parts["n_distinct"] = profile.n_distinct(data, group, approx, texts)
-        parts["category_shares"] = profile.category_shares(data, group, top_n, digits, texts)
+        reports["n_distinct"] = lambda: profile.n_distinct(data, group, approx, texts)
+        reports["category_shares"] = lambda: profile.category_shares(data, group, top_n, digits, texts)
     if numbers:
-        parts["summaries"] = profile.summaries(data, group, "number", digits, approx, numbers)
-        parts["correlations"] = profile.correlations(data, None, digits, numbers)
-        parts["correlations_by_group"] = profile.correlations(data, group, digits, numbers)
-        binary = binary_columns(data, columns=numbers)
-        if binary:
-            parts["binary_shares"] = profile.category_shares(data, group, None, digits, binary)
+        reports["summaries"] = lambda: profile.summaries(data, group, "number", digits, approx, numbers)
+        reports["correlations"] = lambda: profile.correlations(data, None, digits, numbers)
+        reports["correlations_by_group"] = lambda: profile.correlations(data, group, digits, numbers)
+        reports["binary_shares"] = binary_shares
     if times:
-        parts["time_summaries"] = profile.summaries(data, group, "time", digits, approx, times)
-    return parts
+        reports["time_summaries"] = lambda: profile.summaries(data, group, "time", digits, approx, times)
+    made = {name: make() for name, make in reports.items() if only is None or name in only}
+    return {name: report for name, report in made.items() if report is not None}
 
 
 def describe_tables(tables: Mapping[str, DataFrame], group: str, **options) -> dict[str, dict[str, DataFrame]]:

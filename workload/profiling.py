@@ -291,7 +291,7 @@ def report_part(name: str, sql: str | None):
     @query(f"descriptive_report_{name}", sql)
     def run(spark, sf):
         rows = applications(spark, sf).drop("algorithm_id", "score", "decision")
-        return describe_table(rows, "app_year", ("person_id", "app_id"))[name]
+        return describe_table(rows, "app_year", ("person_id", "app_id"), only=[name])[name]
 
     run.__module__ = __name__
     return run
