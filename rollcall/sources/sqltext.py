@@ -22,5 +22,5 @@ def scalar(df: DataFrame) -> Column:
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """Register a session view and return the frame unchanged."""
-    df.createOrReplaceTempView(name)
+    df.createOrReplaceTempView(f"`{name}`")
     return df

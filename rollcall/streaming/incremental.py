@@ -103,18 +103,19 @@ def score_stream(
     checkpoint: str,
     algorithm_id: int,
     key: Sequence[str] = DEFAULT_KEY,
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> StreamingQuery:
     """Score files as they arrive in a folder, then stop when all present ones are done.
 
-    A record that arrives twice is scored once. Each batch writes its own run, so a replayed batch replaces
-    what it wrote.
+    ``prepare`` turns source rows into keyed rows before the check for what is scored already. A record that
+    arrives twice is scored once. Each batch writes its own run, so a replayed batch replaces what it wrote.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         run = f"batch-{batch_id}"
         done = stored_predictions(batch.sparkSession, root, stored_schema, run)
         done = done.filter(F.col("algorithm_id") == algorithm_id)
-        fresh = not_yet_in(batch.dropDuplicates(list(key)), done, key)
+        fresh = not_yet_in(prepare(batch).dropDuplicates(list(key)), done, key)
         write_run(scorer(fresh), root, algorithm_id, run)
 
     return (
