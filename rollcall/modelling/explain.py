@@ -100,7 +100,9 @@ def explain(
     names = background.features
     first = F.col("sample__") == 0
     kept, values = {}, {}
-    spread = rows.withColumn("sample__", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
+    # sampling multiplies the rows, so they are spread first; the later grouping by key needs no further shuffle
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.repartition(tasks, *key).withColumn("sample__", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))))
     for i, c in enumerate(names):
         draw = _uniform(key, F.col("sample__"), i, seed)
         sampler = _numeric_sample if c in background.cuts else _level_sample

@@ -107,6 +107,13 @@ def feature_columns(
     return categorical, numeric
 
 
+def training_rows(train: DataFrame, label: str, key: Sequence[str], folds: int, seed: int) -> DataFrame:
+    """Labelled rows with their fold, spread evenly by key: they are read many times during training."""
+    tasks = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = train.dropna(subset=[label]).withColumn("fold__", fold_column(key, folds, seed))
+    return rows.repartition(tasks, *key)
+
+
 def fit_forest(
     train: DataFrame,
     label: str = "outcome",
@@ -121,7 +128,7 @@ def fit_forest(
 
     A grid of one point needs no search and is fitted directly. Rows without a label are left out.
     """
-    known = train.dropna(subset=[label]).withColumn("fold__", fold_column(key, folds, seed)).persist()
+    known = training_rows(train, label, key, folds, seed).persist()
     try:
         categorical, numeric = feature_columns(known, label, key, [*skip, "fold__"])
         forest = forest_pipeline(known, label, categorical, numeric, seed)

@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rollcall import DEFAULT_KEY
 from rollcall.modelling.encoder import DummyEncoder, RarePooler
 from rollcall.modelling.evaluator import MacroAUC
-from rollcall.modelling.fitting import feature_columns
-from rollcall.modelling.split import fold_column
+from rollcall.modelling.fitting import feature_columns, training_rows
 from rollcall.operators.profile import category_counts
 
 
@@ -86,7 +85,7 @@ def fit_lasso(
     seed: int = 1100,
 ) -> CrossValidatorModel | PipelineModel:
     """L1 logistic regression of a two-class label with the penalty chosen by cross-validated AUC."""
-    rows = train.dropna(subset=[label]).withColumn("fold__", fold_column(key, folds, seed)).persist()
+    rows = training_rows(train, label, key, folds, seed).persist()
     try:
         categorical, numeric = feature_columns(rows, label, key, ["fold__"])
         dull = set(near_constant_columns(rows, [*categorical, *numeric]))

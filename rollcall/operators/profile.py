@@ -60,22 +60,30 @@ def summaries(
         ],
     )
     keys = ["variable", *by]
-    value = F.col("value")
-    moments = [
-        F.count(value).alias("n"),
-        F.min(value).alias("min"),
-        F.avg(value).alias("mean"),
-        F.max(value).alias("max"),
-        F.stddev_samp(value).alias("sd"),
-    ]
-    if approx:
-        cuts = [F.percentile_approx(value, F.lit(p)).alias(name) for name, p in QUARTILES.items()]
-        found = _melt(numbers, by, columns, "double").groupBy(*keys).agg(*moments, *cuts)
-    else:
+    moments: list[Column] = []
+    for i, c in enumerate(columns):
+        value = F.col(f"`{c}`")
+        moments += [
+            F.count(value).alias(f"n{i}"),
+            F.min(value).alias(f"min{i}"),
+            F.avg(value).alias(f"mean{i}"),
+            F.max(value).alias(f"max{i}"),
+            F.stddev_samp(value).alias(f"sd{i}"),
+        ]
+        if approx:
+            moments.append(F.percentile_approx(value, list(QUARTILES.values())).alias(f"cuts{i}"))
+    fields = ["n", "min", "mean", "max", "sd"]
+    rows = []
+    for i, c in enumerate(columns):
+        one = [F.lit(c).alias("variable"), *[F.col(f"{f}{i}").alias(f) for f in fields]]
+        if approx:
+            one += [F.get(f"cuts{i}", F.lit(j)).alias(name) for j, name in enumerate(QUARTILES)]
+        rows.append(F.struct(*one))
+    found = numbers.groupBy(*by).agg(*moments).select(*by, F.inline(F.array(*rows)))
+    if not approx:
         slots = {c: f"slot__{i}" for i, c in enumerate(columns)}
         melted = _melt(add_slots(numbers, slots), by, columns, "double", slots)
-        cuts = quantiles(melted, "value", QUARTILES, keys, slot="slot")
-        found = group_join(melted.groupBy(*keys).agg(*moments), cuts, keys, "left")
+        found = group_join(found, quantiles(melted, "value", QUARTILES, keys, slot="slot"), keys, "left")
     names = ["min", "q25", "median", "mean", "q75", "max"]
     if kind == "time":
         shown = [F.timestamp_micros(F.col(c).cast("long")).alias(c) for c in names]

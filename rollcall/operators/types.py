@@ -8,15 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rollcall.operators.columns import columns_of
 
-# Year-first date layouts, complete or cut short from the right, after separators are made "-".
-DATE_LAYOUTS = (
-    "y-M-d H:m:s",
-    "y-M-d H:m",
-    "y-M-d H",
-    "y-M-d",
-)
-
-
 def parse_dates(column: Column, layouts: Sequence[str]) -> Column:
     """Timestamp by the first layout that fits, else NULL."""
     return F.coalesce(*[F.try_to_timestamp(column, F.lit(layout)) for layout in layouts])
@@ -24,8 +15,10 @@ def parse_dates(column: Column, layouts: Sequence[str]) -> Column:
 
 def year_first_timestamp(column: Column) -> Column:
     """Parse year-first text with any date separator and an optional, possibly shortened time part."""
-    text = F.regexp_replace(F.trim(column), "^(\\d{4})[/.\\- ](\\d{1,2})[/.\\- ](\\d{1,2})[T ]?", "$1-$2-$3 ")
-    return parse_dates(F.rtrim(text), DATE_LAYOUTS)
+    text = F.regexp_replace(F.trim(column), "^(\\d{4})[/.\\- ](\\d{1,2})[/.\\- ](\\d{1,2})(?=$|[T ])", "$1-$2-$3")
+    whole_hour = F.when(text.rlike("^\\d{4}-\\d{1,2}-\\d{1,2}[T ]\\d{1,2}$"), F.concat(text, F.lit(":00")))
+    year_first = text.rlike("^\\d{4}-\\d{1,2}-\\d{1,2}")
+    return F.when(year_first, F.coalesce(whole_hour, text).try_cast("timestamp"))
 
 
 def date_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
