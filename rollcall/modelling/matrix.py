@@ -23,7 +23,7 @@ def training_matrix(
     """Outcome rows of the training cohort with all feature blocks."""
     members = cohort_keys(tables[spec.cohort_table], spec, "fit", key)
     outcome = in_keys(tables[spec.outcome], members, key)
-    return design_matrix(outcome, feature_blocks(tables, spec.features, outcome, key), key, unique)
+    return design_matrix(outcome, feature_blocks(tables, spec.features), key, unique)
 
 
 def scoring_matrix(
@@ -37,4 +37,4 @@ def scoring_matrix(
     """Features of the population's members of the scoring cohort that this model has not scored yet."""
     members = cohort_keys(tables[spec.cohort_table], spec, "predict", key)
     waiting = not_scored_yet(tables[spec.population], members, predictions, algorithm_id, key)
-    return design_matrix(waiting, feature_blocks(tables, spec.features, waiting, key), key, unique)
+    return design_matrix(waiting, feature_blocks(tables, spec.features), key, unique)

@@ -16,8 +16,12 @@ from rollcall import DEFAULT_KEY
 
 
 def in_keys(df: DataFrame, keys: DataFrame, key: Sequence[str] = DEFAULT_KEY) -> DataFrame:
-    """Rows whose key occurs in ``keys``."""
-    return df.join(keys.select(*key), list(key), "left_semi")
+    """Rows whose key occurs in ``keys``.
+
+    Keys are made distinct first. The join needs them hashed by key anyway, and a key that ``keys`` holds very
+    often shrinks to one row before it is sent.
+    """
+    return df.join(keys.select(*key).distinct(), list(key), "left_semi")
 
 
 def not_yet_in(
@@ -29,7 +33,7 @@ def not_yet_in(
     stays only if it certainly differs from every row of ``done``.
     """
     if not null_aware:
-        return df.join(done.select(*key), list(key), "left_anti")
+        return df.join(done.select(*key).distinct(), list(key), "left_anti")
     return _certainly_absent(df, done.select(*key).distinct(), list(key))
 
 
@@ -99,12 +103,22 @@ def star_join(
     return out
 
 
-def join_shared(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
-    """Join on every column the two tables share."""
+def left_join_any(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Left join to a table in which a key may have very many rows.
+
+    Adaptive execution can split the right side of an inner join but not that of a left join, so the matched
+    rows come from an inner join and the unmatched ones from an anti-join.
+    """
+    matched = left.join(right, list(key), "inner")
+    return matched.unionByName(not_yet_in(left, right, key), allowMissingColumns=True)
+
+
+def join_shared(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join on every column the two tables share."""
     shared = [c for c in left.columns if c in right.columns]
     if not shared:
         raise ValueError("the tables share no column")
-    return left.join(right, shared, how)
+    return left_join_any(left, right, shared)
 
 
 def lookup(df: DataFrame, table: DataFrame, on: Column, how: str = "left") -> DataFrame:
@@ -133,7 +147,7 @@ def set_difference(left: DataFrame, right: DataFrame, columns: Sequence[str]) ->
 
 def lost_rows(earlier: DataFrame, later: DataFrame, key: Sequence[str], detail: DataFrame) -> DataFrame:
     """Keys present in an earlier step and missing in a later one, with their detail columns."""
-    return set_difference(earlier, later, key).join(detail, list(key), "left")
+    return left_join_any(set_difference(earlier, later, key), detail, key)
 
 
 def first_n(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:

@@ -98,7 +98,14 @@ def design_matrix(
 
 
 def feature_blocks(
-    tables: Mapping[str, DataFrame], features: Mapping[str, Sequence[str]], keys: DataFrame, key: Sequence[str] = DEFAULT_KEY
+    tables: Mapping[str, DataFrame],
+    features: Mapping[str, Sequence[str]],
+    keys: DataFrame | None = None,
+    key: Sequence[str] = DEFAULT_KEY,
 ) -> dict[str, DataFrame]:
-    """The blocks of a specification for some keys, without their left-out columns."""
-    return {b: in_keys(tables[b].drop(*dropped), keys, key) for b, dropped in features.items()}
+    """The blocks of a specification without their left-out columns, optionally for some keys only.
+
+    Blocks that are left-joined to their keys afterwards need no ``keys`` here; it would join them twice.
+    """
+    chosen = {b: tables[b].drop(*dropped) for b, dropped in features.items()}
+    return chosen if keys is None else {b: in_keys(df, keys, key) for b, df in chosen.items()}

@@ -26,12 +26,13 @@ BAND = f"CASE WHEN score > {UPPER} THEN 'Invite' WHEN score > {LOWER} THEN 'Hold
 CURRENT = f"""{APPLICATIONS}, {PEOPLE}, {REGISTRY}, {PREDICTIONS},
 current_rows AS (
   SELECT s.person_id, s.app_id, s.score, p.segment, coalesce(p.home, 'N') AS home, p.nation, {BAND} AS band
-  FROM predictions s LEFT JOIN people p USING (person_id)
+  FROM (SELECT DISTINCT person_id, app_id, algorithm_id, score FROM predictions) s LEFT JOIN people p USING (person_id)
   WHERE s.algorithm_id IN (SELECT id FROM registry WHERE is_production = 1))"""
 
 
 def current_people(spark, sf):
-    scores = plan.current_scores(predictions(spark, sf), registry(spark, sf), KEY)
+    # people are unique, so equal rows can leave before the join, while rows are narrow and not yet hashed by person
+    scores = plan.current_scores(predictions(spark, sf), registry(spark, sf), KEY).distinct()
     block = people(spark, sf).select("person_id", "segment", "home", "nation")
     # customers are unique on their key, so the uniqueness check is left out
     return plan.enrich(scores, {"people": block}, {"home": "N"}, ["person_id"], unique=False)
@@ -57,7 +58,7 @@ def dashboard_crosstab(spark, sf):
         "home": F.col("home") == "Y",
         "nation_1": F.col("nation") == "NATION_1",
     }
-    table = plan.band_table(current_people(spark, sf), flags, LOWER, UPPER)
+    table = plan.band_table(current_people(spark, sf), flags, LOWER, UPPER, dedup=False)
     return table.orderBy(label_order("predicted_outcome", plan.BANDS))
 
 

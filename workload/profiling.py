@@ -23,11 +23,11 @@ def stats(digits: int) -> str:
   SELECT 'l_quantity' AS variable, l_returnflag, CASE WHEN l_linestatus = 'O' THEN l_quantity END AS value FROM lineitem
   UNION ALL SELECT 'l_extendedprice', l_returnflag, l_extendedprice FROM lineitem
   UNION ALL SELECT 'l_discount', l_returnflag, l_discount FROM lineitem)
-SELECT variable, l_returnflag, {stats(2)} FROM long GROUP BY ALL""",
+SELECT variable, l_returnflag, {stats(6)} FROM long GROUP BY ALL""",
 )
 def numeric_summaries(spark, sf):
     lines = load(spark, sf, "lineitem").withColumn("l_quantity", F.when(F.col("l_linestatus") == "O", F.col("l_quantity")))
-    return profile.summaries(lines, "l_returnflag", columns=["l_quantity", "l_extendedprice", "l_discount"])
+    return profile.summaries(lines, "l_returnflag", digits=6, columns=["l_quantity", "l_extendedprice", "l_discount"])
 
 
 @query("numeric_summaries_approximate")
@@ -72,12 +72,12 @@ def custom_summaries(spark, sf):
 
 @query(
     "score_by_outcome",
-    f"""WITH {APPLICATIONS} SELECT decision, round(avg(score), 6) AS mean, round(quantile_cont(score, 0.25), 6) AS q25,
-  round(quantile_cont(score, 0.5), 6) AS median, round(quantile_cont(score, 0.75), 6) AS q75 FROM apps GROUP BY decision""",
+    f"""WITH {APPLICATIONS} SELECT decision, round(avg(score), 10) AS mean, round(quantile_cont(score, 0.25), 10) AS q25,
+  round(quantile_cont(score, 0.5), 10) AS median, round(quantile_cont(score, 0.75), 10) AS q75 FROM apps GROUP BY decision""",
 )
 def score_by_outcome(spark, sf):
     found = reports.score_by_outcome(applications(spark, sf), "score", "decision")
-    return found.select("decision", *[F.round(c, 6).alias(c) for c in ("mean", "q25", "median", "q75")])
+    return found.select("decision", *[F.round(c, 10).alias(c) for c in ("mean", "q25", "median", "q75")])
 
 
 @query(
@@ -291,7 +291,7 @@ def report_part(name: str, sql: str | None):
     @query(f"descriptive_report_{name}", sql)
     def run(spark, sf):
         rows = applications(spark, sf).drop("algorithm_id", "score", "decision")
-        return describe_table(rows, "app_year", ("person_id", "app_id"), only=[name])[name]
+        return describe_table(rows, "app_year", ("person_id", "app_id"), digits=6, only=[name])[name]
 
     run.__module__ = __name__
     return run
@@ -300,14 +300,14 @@ def report_part(name: str, sql: str | None):
 report_part(
     "summaries",
     f"WITH {APPLICATIONS}, long AS (SELECT 'price' AS variable, app_year, price AS value FROM apps) "
-    f"SELECT variable, app_year, {stats(3)} FROM long GROUP BY ALL",
+    f"SELECT variable, app_year, {stats(6)} FROM long GROUP BY ALL",
 )
 report_part("time_summaries", None)
 report_part(
     "category_shares",
     f"""WITH {APPLICATIONS}, {LONG_TEXT}, c AS (SELECT variable, app_year, value, count(*) AS n FROM long
   WHERE variable <> 'decision' GROUP BY ALL)
-SELECT *, round(n / sum(n) OVER (PARTITION BY variable, app_year), 3) AS share FROM c""",
+SELECT *, round(n / sum(n) OVER (PARTITION BY variable, app_year), 6) AS share FROM c""",
 )
 report_part(
     "missing_patterns",

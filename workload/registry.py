@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +18,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = run
+        QUERIES[name] = lambda spark, sf: run(tune(spark), sf)
+        QUERIES[name].__module__ = run.__module__
         if sql is not None:
             ORACLES[name] = sql
         return run

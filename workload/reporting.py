@@ -51,15 +51,15 @@ def risk_buckets_with_ties(spark, sf):
 @query(
     "risk_bucket_report",
     f"""WITH {BUCKETED}
-SELECT risk_bucket, count(*) AS total, round(quantile_cont(predicted_0, 0.25), 2) AS p25_predicted_0,
-  round(quantile_cont(predicted_0, 0.75), 2) AS p75_predicted_0,
+SELECT risk_bucket, count(*) AS total, round(quantile_cont(predicted_0, 0.25), 10) AS p25_predicted_0,
+  round(quantile_cont(predicted_0, 0.75), 10) AS p75_predicted_0,
   CAST(sum(CAST(is_interviewed AS INT)) AS BIGINT) AS num_interviewed, avg(CAST(is_interviewed AS INT)) AS pct_interviewed,
   CAST(sum(CAST(is_offered AS INT)) AS BIGINT) AS num_accepted, avg(CAST(is_offered AS INT)) AS pct_accepted
 FROM bucketed GROUP BY risk_bucket""",
 )
 def risk_bucket_report(spark, sf):
     flags = {"interviewed": "is_interviewed", "accepted": "is_offered"}
-    return reports.bucket_report(bucketed(spark, sf), "risk_bucket", ["predicted_0"], flags)
+    return reports.bucket_report(bucketed(spark, sf), "risk_bucket", ["predicted_0"], flags, digits=10)
 
 
 BACKTEST = f"""{BUCKETED}, moved AS (
@@ -185,13 +185,13 @@ def auto_reject_status(spark, sf):
 @query(
     "subgroup_profile",
     f"""WITH {SUBGROUP} SELECT app_year, count(*) AS total,
-  round(count(*) FILTER (home = 'Y') / nullif(count(*) FILTER (home IN ('Y', 'N')), 0), 2) AS fra_y,
-  round(count(*) FILTER (home = 'N') / nullif(count(*) FILTER (home IN ('Y', 'N')), 0), 2) AS fra_n,
-  round(avg(balance), 2) AS balance_average FROM statused WHERE predicted_status = 'automatic_reject' AND is_interviewed GROUP BY app_year""",
+  round(count(*) FILTER (home = 'Y') / nullif(count(*) FILTER (home IN ('Y', 'N')), 0), 6) AS fra_y,
+  round(count(*) FILTER (home = 'N') / nullif(count(*) FILTER (home IN ('Y', 'N')), 0), 6) AS fra_n,
+  round(avg(balance), 6) AS balance_average FROM statused WHERE predicted_status = 'automatic_reject' AND is_interviewed GROUP BY app_year""",
 )
 def subgroup_profile(spark, sf):
     rows = statused(spark, sf).filter((F.col("predicted_status") == "automatic_reject") & F.col("is_interviewed"))
-    return reports.subgroup_profile(rows, "app_year", "home", ("Y", "N"), ["balance"])
+    return reports.subgroup_profile(rows, "app_year", "home", ("Y", "N"), ["balance"], digits=6)
 
 
 @query(
