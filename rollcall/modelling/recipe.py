@@ -50,6 +50,7 @@ def lasso_pipeline(
     numeric: Sequence[str],
     unscaled: Sequence[str] = (),
     rare: float = 0.05,
+    max_iter: int = 50,
 ) -> tuple[Pipeline, LogisticRegression]:
     """Stages fitted on the training rows only. ``unscaled`` columns are imputed but keep their scale."""
     pooler = RarePooler(list(categorical), rare).fit(train)
@@ -70,7 +71,9 @@ def lasso_pipeline(
             stages.append(StandardScaler(inputCol="to_scale", outputCol="scaled", withMean=True, withStd=True))
             inputs = ["scaled", *inputs]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    lasso = LogisticRegression(labelCol="label", featuresCol="features", elasticNetParam=1.0, family="binomial")
+    lasso = LogisticRegression(
+        labelCol="label", featuresCol="features", elasticNetParam=1.0, family="binomial", maxIter=max_iter
+    )
     return Pipeline(stages=[*stages, lasso]), lasso
 
 
@@ -82,6 +85,7 @@ def fit_lasso(
     unscaled: Sequence[str] = (),
     folds: int = 5,
     parallelism: int = 2,
+    max_iter: int = 50,
     seed: int = 1100,
 ) -> CrossValidatorModel | PipelineModel:
     """L1 logistic regression of a two-class label with the penalty chosen by cross-validated AUC."""
@@ -91,7 +95,7 @@ def fit_lasso(
         dull = set(near_constant_columns(rows, [*categorical, *numeric]))
         categorical = [c for c in categorical if c not in dull]
         numeric = [c for c in numeric if c not in dull]
-        pipeline, lasso = lasso_pipeline(rows, label, categorical, numeric, unscaled)
+        pipeline, lasso = lasso_pipeline(rows, label, categorical, numeric, unscaled, max_iter=max_iter)
         grid = ParamGridBuilder().addGrid(lasso.regParam, list(penalties)).build()
         if len(grid) == 1:
             return pipeline.fit(rows, grid[0])

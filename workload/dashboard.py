@@ -96,7 +96,7 @@ historic AS (
 screened AS (
   SELECT o_custkey AS person_id, o_orderkey AS app_id, o_orderpriority <= '3' AS is_invited,
     o_orderpriority <= '2' AS is_offered, left(o_orderpriority, 1) IN ('1') AS is_matriculated
-  FROM orders WHERE o_orderkey % 7 <> 0),
+  FROM orders WHERE o_totalprice > 50000),
 outcomes AS (
   SELECT h.person_id, h.app_id, h.score, h.outcome, s.is_invited, s.is_offered, s.is_matriculated
   FROM screened s RIGHT JOIN historic h ON s.person_id = h.person_id AND s.app_id = h.app_id)"""
@@ -106,7 +106,7 @@ def outcome_rows(spark, sf):
     past = plan.historic_scores(predictions(spark, sf), registry(spark, sf), key=KEY)
     screened = (
         load(spark, sf, "orders")
-        .filter("o_orderkey % 7 <> 0")
+        .filter("o_totalprice > 50000")
         .select(
             F.col("o_custkey").alias("person_id"),
             F.col("o_orderkey").alias("app_id"),

@@ -11,6 +11,7 @@ from rollcall.modelling.recipe import fit_lasso, near_constant_columns
 from rollcall.modelling.scoring import class_labels, load_model, save_model, score, with_net_score
 from rollcall.modelling.split import categorical_columns, split_stored, stratified_split
 from rollcall.operators.people import top_k_label as label_top
+from rollcall.operators.profile import category_counts
 from rollcall.plans.spec import ModelSpec
 from rollcall.session import fresh_path
 from rollcall.streaming.incremental import score_by_cohort, score_new, score_stream, stored_predictions
@@ -52,12 +53,12 @@ def stratified_missing(spark, sf):
 
 @query(
     "split_stored_results",
-    f"""WITH {LABELLED} SELECT doc_id, n_chars, CASE WHEN doc_id % 4 = 0 THEN 'test' ELSE 'train' END AS part FROM labelled
-WHERE doc_id % 5 <> 0""",
+    f"""WITH {LABELLED} SELECT doc_id, n_chars, CASE WHEN quality = 0 THEN 'test' ELSE 'train' END AS part FROM labelled
+WHERE lang <> 'es'""",
 )
 def split_stored_results(spark, sf):
     rows = labelled(spark, sf)
-    results = rows.filter("doc_id % 5 <> 0").select("doc_id", F.when(F.col("doc_id") % 4 == 0, "test").otherwise("train").alias("set"))
+    results = rows.filter("lang <> 'es'").select("doc_id", F.when(F.col("quality") == 0, "test").otherwise("train").alias("set"))
     train, test = split_stored(rows.select("doc_id", "n_chars"), results, DOC_KEY)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
@@ -126,8 +127,7 @@ def near_constant(spark, sf):
         "o_orderstatus",
     )
     found = near_constant_columns(rows, rows.columns)
-    modes = rows.agg(*[F.count_if(F.col(c) == rows.agg(F.mode(c)).scalar()).alias(c) for c in found])
-    return modes.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("most")) for c in found])))
+    return category_counts(rows, columns=found).groupBy("variable").agg(F.max("n").alias("most"))
 
 
 @query(
@@ -265,13 +265,13 @@ def lasso_scores(spark, sf):
     rows = quality_rows(spark, sf)
     parts = stratified_split(rows, "outcome", DOC_KEY)
     train, test = (parts.filter(F.col("set") == s).drop("set") for s in ("train", "test"))
-    model = fit_lasso(train, "outcome", DOC_KEY, penalties=(0.1, 0.01), folds=2)
+    model = fit_lasso(train, "outcome", DOC_KEY, penalties=(0.1, 0.01), folds=2, parallelism=4, max_iter=20)
     return score(model, test, DOC_KEY, "outcome")
 
 
 MODEL_CTE = f"""{APPLICATIONS}, {PEOPLE}, waiting AS (
   SELECT a.person_id, a.app_id, p.segment FROM apps a JOIN people p USING (person_id)
-  WHERE a.app_year >= 2000 AND NOT (a.app_id % 3 = 0))"""
+  WHERE a.app_year >= 2000 AND NOT coalesce(a.priority = '5-LOW', false))"""
 
 
 def model_tables(spark, sf):
@@ -295,7 +295,7 @@ def specification(name, segments):
 
 def scored_before(spark, sf, algorithm_id):
     apps = applications(spark, sf)
-    return apps.filter("app_id % 3 = 0").select(*KEY, F.lit(algorithm_id).cast("long").alias("algorithm_id"))
+    return apps.filter("priority = '5-LOW'").select(*KEY, F.lit(algorithm_id).cast("long").alias("algorithm_id"))
 
 
 def trained(spark, sf, spec, tables):

@@ -23,7 +23,7 @@ from workload.registry import query
 
 ELIGIBLE = f"""{APPLICATIONS}, {PEOPLE}, {REGISTRY}, {PREDICTIONS},
 flags AS (SELECT c_custkey AS person_id, CAST(c_acctbal >= 0 AS INTEGER) AS is_eligible,
-    CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS is_later FROM customer WHERE c_custkey % 11 <> 0),
+    CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS is_later FROM customer WHERE c_acctbal < 9000),
 eligible AS (
   SELECT a.person_id, a.app_id, a.app_year, a.status, r.r_name AS place, a.priority IS NOT NULL AS is_invited,
     coalesce(CAST(a.price > 400000 AS INTEGER), 0) AS is_large
@@ -38,7 +38,7 @@ eligible AS (
 def eligible_rows(spark, sf):
     flags = (
         load(spark, sf, "customer")
-        .filter("c_custkey % 11 <> 0")
+        .filter("c_acctbal < 9000")
         .select(
             F.col("c_custkey").alias("person_id"),
             (F.col("c_acctbal") >= 0).cast("int").alias("is_eligible"),
@@ -77,10 +77,10 @@ def eligible_population(spark, sf):
     f"""WITH {ELIGIBLE}
 SELECT s.person_id, s.app_id, s.algorithm_id, s.score FROM predictions s, registry r, eligible e
 WHERE s.algorithm_id = r.id AND r.is_production = 1 AND s.person_id = e.person_id AND s.app_id = e.app_id
-  AND (s.person_id, s.app_id) NOT IN (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 0)""",
+  AND (s.person_id, s.app_id) NOT IN (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderpriority = '3-MEDIUM')""",
 )
 def unsent_predictions(spark, sf):
-    sent = load(spark, sf, "orders").filter("o_orderkey % 3 = 0")
+    sent = load(spark, sf, "orders").filter("o_orderpriority = '3-MEDIUM'")
     sent = sent.select(F.col("o_custkey").alias("person_id"), F.col("o_orderkey").alias("app_id"))
     rows = plan.unsent(predictions(spark, sf), eligible_rows(spark, sf), registry(spark, sf), sent, KEY)
     return rows.select(*KEY, "algorithm_id", "score")
@@ -104,14 +104,14 @@ def not_scored_yet(spark, sf):
     """SELECT o_orderkey, o_custkey, flag FROM (
   SELECT o_orderkey, o_custkey, nullif(o_orderpriority, '1-URGENT') AS flag FROM orders) o
 WHERE (o_custkey, flag) NOT IN (
-  SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE '5-LOW' END FROM customer WHERE c_custkey % 2 = 0)""",
+  SELECT c_custkey, CASE WHEN c_acctbal <= 9000 THEN '5-LOW' END FROM customer WHERE c_acctbal > 3000)""",
 )
 def not_in_null_aware(spark, sf):
     rows = load(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT")).alias("flag")
     )
-    done = load(spark, sf, "customer").filter("c_custkey % 2 = 0").select(
-        F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_custkey") % 13 != 0, "5-LOW").alias("flag")
+    done = load(spark, sf, "customer").filter("c_acctbal > 3000").select(
+        F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_acctbal") <= 9000, "5-LOW").alias("flag")
     )
     return rel.not_yet_in(rows, done, ("o_custkey", "flag"), null_aware=True)
 

@@ -65,12 +65,12 @@ def table_overwrite(spark, sf):
 
 @query(
     "append_tagged",
-    f"""WITH {APPLICATIONS} SELECT app_id, decision, score, "set", algorithm_id FROM apps WHERE algorithm_id IN (1, 2)""",
+    f"""WITH {APPLICATIONS} SELECT app_id, decision, score, "set", algorithm_id FROM apps WHERE algorithm_id <= 2""",
 )
 def append_tagged(spark, sf):
     apps = applications(spark, sf)
     path = fresh_path(spark, "predictions")
-    for algorithm in (1, 2, 3):
+    for algorithm in range(5):
         rows = apps.filter(F.col("algorithm_id") == algorithm).select("app_id", "decision", "score", "set")
         train, test = (rows.filter(F.col("set") == s).drop("set") for s in ("train", "test"))
         sinks.append_results(train, test, algorithm, path)
