@@ -16,7 +16,10 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-MIN_SLOTS, MAX_SLOTS = 128, 4096
+MIN_SLOTS, MAX_SLOTS, MAX_TEXT_SLOTS = 128, 4096, 512
+
+# Rows of (group, slot, rank) that are broadcast at most; beyond, Spark joins as it sees fit.
+MAX_BROADCAST_ROWS = 20_000
 
 # Share of the values that the split points are estimated from. It bears on how equal the slots are, never on
 # an answer: every row is counted in its slot.
@@ -28,24 +31,28 @@ def slot_count(df: DataFrame) -> int:
     return max(MIN_SLOTS, min(MAX_SLOTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def order_code(column: str | Column, data_type: T.DataType) -> Column:
+def order_code(column: Column, data_type: T.DataType) -> Column:
     """A double that never decreases when the value increases; used for slots only, never for comparison."""
-    c = F.col(column) if isinstance(column, str) else column
-    if isinstance(data_type, T.StringType):
-        prefix = F.substring(F.hex(F.substring(c, 1, 6)), 1, 12)
-        return F.conv(F.rpad(prefix, 12, "0"), 16, 10).cast("double")
     if isinstance(data_type, T.DateType):
-        return F.unix_date(c).cast("double")
+        return F.unix_date(column).cast("double")
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        seconds = F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
-        return F.unix_date(c.cast("date")).cast("double") * 86400 + seconds
-    return c.cast("double")
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.extract(F.lit("SECOND"), column).cast("double")
+        return F.unix_date(column.cast("date")).cast("double") * 86400 + seconds
+    return column.cast("double")
 
 
 def add_slots(df: DataFrame, slots: Mapping[str, str]) -> DataFrame:
-    """Add a slot column per value column, ``{value column: slot column}``; one job for all split points."""
-    codes = {c: f"code__{i}" for i, c in enumerate(slots)}
+    """Add a slot column per value column, ``{value column: slot column}`` (one or two jobs for split points)."""
     types = {f.name: f.dataType for f in df.schema.fields}
+    texts = {c: s for c, s in slots.items() if isinstance(types[c], T.StringType)}
+    numbers = {c: s for c, s in slots.items() if c not in texts}
+    return _number_slots(_text_slots(df, texts), numbers, types)
+
+
+def _number_slots(df: DataFrame, slots: Mapping[str, str], types: Mapping[str, T.DataType]) -> DataFrame:
+    if not slots:
+        return df
+    codes = {c: f"code__{i}" for i, c in enumerate(slots)}
     coded = df.withColumns({code: order_code(F.col(f"`{c}`"), types[c]) for c, code in codes.items()})
     n = slot_count(df)
     shares = ", ".join(f"{i / n}D" for i in range(1, n))  # one text instead of n calls into the JVM
@@ -66,6 +73,29 @@ def add_slots(df: DataFrame, slots: Mapping[str, str]) -> DataFrame:
     return coded.drop(*codes.values())
 
 
+def _text_slots(df: DataFrame, slots: Mapping[str, str]) -> DataFrame:
+    """Text has no number that keeps its order, so its split points are texts drawn evenly from the distinct ones."""
+    for c, slot in slots.items():
+        n = min(slot_count(df), MAX_TEXT_SLOTS)
+        start = F.substring(F.col(f"`{c}`"), 1, 100).alias("text")
+        drawn = df.filter(F.rand(7) < SPLIT_SHARE).select(start).filter("text IS NOT NULL").distinct()
+        # the smallest hashes are an even draw of the distinct texts; each task sends at most this many
+        found = drawn.orderBy(F.xxhash64("text")).limit(16 * n).collect()
+        texts = sorted((r["text"].encode() for r in found))
+        points = sorted({texts[len(texts) * i // n] for i in range(1, n)}) if texts else []
+        df = df.withColumn(slot, F.expr(_search(f"`{c}`", points, 0, len(points))))
+    return df
+
+
+def _search(column: str, points: Sequence[bytes], lo: int, hi: int) -> str:
+    """SQL text of a binary search: how many points are at most the value."""
+    if lo == hi:
+        return f"{lo}D"
+    mid = (lo + hi) // 2
+    below, above = _search(column, points, lo, mid), _search(column, points, mid + 1, hi)
+    return f"CASE WHEN {column} < CAST(X'{points[mid].hex()}' AS STRING) THEN {below} ELSE {above} END"
+
+
 def group_join(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on group columns in which NULL is a group of its own; columns appear once."""
     renamed = right.select(
@@ -86,6 +116,18 @@ def _running(table: DataFrame, window, names: Sequence[str], suffix: str = "_bef
     return table.withColumns({f"{m}{suffix}": F.coalesce(F.sum(m).over(span), F.lit(0)) for m in names})
 
 
+def _small_or_lazy(wanted: DataFrame) -> DataFrame:
+    """Broadcast the wanted slots if there are few (one job), so the table they select from is not shuffled.
+
+    Without knowing the size beforehand Spark would shuffle the whole table and only then see that one side is
+    tiny. With more than MAX_BROADCAST_ROWS of them, as for a rank per person, the join stays Spark's to choose.
+    """
+    rows = wanted.limit(MAX_BROADCAST_ROWS + 1).collect()
+    if len(rows) > MAX_BROADCAST_ROWS:
+        return wanted
+    return F.broadcast(wanted.sparkSession.createDataFrame(rows, wanted.schema).coalesce(1))
+
+
 def values_at_ranks(
     df: DataFrame,
     value: str,
@@ -99,6 +141,7 @@ def values_at_ranks(
     ``ranks`` maps a name to a function from the group size to the rank. ``targets`` gives ranks per group
     instead, as rows ``(by..., rank_name, rank)``. ``slot`` names a slot column made by :func:`add_slots`.
     Returns ``(by..., rank_name, value, rank_in_value, n_equal, group_size)``, one row per rank that exists.
+    Finding the slots runs jobs; the values are lazy.
     """
     by = list(by)
     known = df.filter(F.col(f"`{value}`").isNotNull())
@@ -121,7 +164,8 @@ def values_at_ranks(
     wanted = slots.filter((F.col("rank") >= F.col("n_before")) & (F.col("rank") < F.col("n_before") + F.col("n")))
     wanted = wanted.select(*by, slot, "rank_name", "group_size", (F.col("rank") - F.col("n_before")).alias("rank"))
 
-    holders = wanted.select(*by, slot).distinct()
+    wanted = _small_or_lazy(wanted)
+    holders = wanted.select(*by, slot)
     inside = group_join(known, holders, [*by, slot], "left_semi")
     counts = inside.groupBy(*by, slot, value).agg(F.count(F.lit(1)).alias("n"))
     counts = _running(counts, Window.partitionBy(*by, slot).orderBy(value), ["n"])

@@ -8,8 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution splits hot join partitions and picks broadcast joins from measured sizes, so the
-# library itself carries no broadcast hints. The last setting splits a hot partition also where a later step
+# Adaptive execution splits hot join partitions and picks broadcast joins from measured sizes. The last setting splits a hot partition also where a later step
 # would have reused the join's partitioning, at the price of one more shuffle in that case only.
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",

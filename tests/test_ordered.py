@@ -35,7 +35,7 @@ def test_quantiles_match_numpy(spark, seed, n):
             assert got[g][name] == pytest.approx(float(np.quantile(values, p)), rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("kind", ["double", "bigint", "string", "date", "timestamp"])
+@pytest.mark.parametrize("kind", ["double", "bigint", "string", "prefixed", "date", "timestamp", "timestamp_ntz"])
 def test_slots_never_decrease(spark, kind):
     rng = random.Random(5)
     base = spark.createDataFrame([(rng.randrange(0, 10**6),) for _ in range(2000)], "n int")
@@ -43,6 +43,8 @@ def test_slots_never_decrease(spark, kind):
         "double": F.col("n").cast("double") / 7 - 3,
         "bigint": F.col("n").cast("bigint") * 10**11,
         "string": F.md5(F.col("n").cast("string")),
+        "prefixed": F.concat(F.lit("the same long start, it's \\ "), F.col("n").cast("string"), F.lit("é")),
+        "timestamp_ntz": F.timestamp_micros(F.col("n").cast("bigint") * 10**3).cast("timestamp_ntz"),
         "date": F.date_from_unix_date(F.col("n") % 40000),
         "timestamp": F.timestamp_micros(F.col("n").cast("bigint") * 10**9),
     }[kind]
