@@ -186,20 +186,20 @@ def mask_years(spark, sf):
     return cols.mask_outside_years(apps, {"price": (1996, 1999), "status": (1998, 2001)})
 
 
-@query("hash_key", "SELECT md5(CAST(c_custkey AS VARCHAR)) AS study_id, c_custkey, c_mktsegment, c_acctbal FROM customer")
+@query("hash_key", "SELECT md5(CAST(c_custkey AS VARCHAR)) AS subject, c_custkey, c_mktsegment, c_acctbal FROM customer")
 def hash_key(spark, sf):
     rows = load(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    return staging.hash_key(rows, "c_custkey", "study_id", salt=None)
+    return staging.hash_key(rows, "c_custkey", "subject", salt=None)
 
 
 @query(
     "hash_key_salted",
-    "SELECT sha256('pepper' || CAST(c_custkey AS VARCHAR)) AS study_id, c_mktsegment, c_acctbal FROM customer",
+    "SELECT sha256('pepper' || CAST(c_custkey AS VARCHAR)) AS subject, c_mktsegment, c_acctbal FROM customer",
 )
 def hash_key_salted(spark, sf):
     rules = {"people": {"drop": ["c_name", "c_nationkey"]}}
     tables = {"people": load(spark, sf, "customer"), "regions": load(spark, sf, "region")}
-    return staging.deidentify(tables, "c_custkey", "study_id", "pepper", rules)["people"]
+    return staging.deidentify(tables, "c_custkey", "subject", "pepper", rules)["people"]
 
 
 @query(

@@ -11,9 +11,9 @@ from workload.registry import query
 
 LEVELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
 PAIRS = {
-    "soph_higher": (LEVELS[1], LEVELS[0]),
-    "juni_higher": (LEVELS[2], LEVELS[1]),
-    "seni_higher": (LEVELS[3], LEVELS[2]),
+    "second_higher": (LEVELS[1], LEVELS[0]),
+    "third_higher": (LEVELS[2], LEVELS[1]),
+    "fourth_higher": (LEVELS[3], LEVELS[2]),
 }
 AVERAGES = """averages AS (
   SELECT o_custkey AS person_id, CAST(year(o_orderdate) AS INTEGER) AS app_year, o_orderpriority AS level,
@@ -37,9 +37,9 @@ def averages(spark, sf):
 
 def trend_sql(value: str, prefix: str) -> str:
     return f"""SELECT person_id, app_year,
-  CAST(max(CASE WHEN level LIKE '2%' THEN {value} END) > max(CASE WHEN level LIKE '1%' THEN {value} END) AS INTEGER) AS {prefix}soph_higher,
-  CAST(max(CASE WHEN level LIKE '3%' THEN {value} END) > max(CASE WHEN level LIKE '2%' THEN {value} END) AS INTEGER) AS {prefix}juni_higher,
-  CAST(max(CASE WHEN level LIKE '4%' THEN {value} END) > max(CASE WHEN level LIKE '3%' THEN {value} END) AS INTEGER) AS {prefix}seni_higher
+  CAST(max(CASE WHEN level LIKE '2%' THEN {value} END) > max(CASE WHEN level LIKE '1%' THEN {value} END) AS INTEGER) AS {prefix}second_higher,
+  CAST(max(CASE WHEN level LIKE '3%' THEN {value} END) > max(CASE WHEN level LIKE '2%' THEN {value} END) AS INTEGER) AS {prefix}third_higher,
+  CAST(max(CASE WHEN level LIKE '4%' THEN {value} END) > max(CASE WHEN level LIKE '3%' THEN {value} END) AS INTEGER) AS {prefix}fourth_higher
 FROM averages WHERE level <> '5-LOW' GROUP BY person_id, app_year"""
 
 
@@ -52,7 +52,7 @@ def level_trend(spark, sf):
     "grade_point_features",
     f"""WITH {AVERAGES}, kept AS (SELECT * FROM averages WHERE level <> '3-MEDIUM'), trends AS ({trend_sql('total_gpa', 'total_')})
 SELECT b.person_id, b.app_year, b.total_gpa AS total_gpa_cumulative, b.science_gpa AS science_gpa_cumulative,
-  l.science_gpa AS science_gpa_later, t.total_soph_higher,
+  l.science_gpa AS science_gpa_later, t.total_second_higher,
   coalesce(CAST(l.total_hours >= 2 AS INTEGER), 0) AS did_later, coalesce(CAST(g.total_hours >= 2 AS INTEGER), 0) AS did_further
 FROM kept b LEFT JOIN (SELECT * FROM kept WHERE level = '2-HIGH') l USING (person_id, app_year)
 LEFT JOIN (SELECT * FROM kept WHERE level = '1-URGENT') g USING (person_id, app_year)
@@ -67,7 +67,7 @@ def grade_point_features(spark, sf):
         overall=("5-LOW", ["total_gpa", "science_gpa"]),
         later=("2-HIGH", "total_hours", ["science_gpa"]),
         further=("1-URGENT", "total_hours", "did_further"),
-        values={"total_gpa": {"total_soph_higher": PAIRS["soph_higher"]}},
+        values={"total_gpa": {"total_second_higher": PAIRS["second_higher"]}},
         levels=LEVELS,
         hours=2,
     )
