@@ -107,11 +107,21 @@ def feature_columns(
     return categorical, numeric
 
 
-def training_rows(train: DataFrame, label: str, key: Sequence[str], folds: int, seed: int) -> DataFrame:
-    """Labelled rows with their fold, spread evenly by key: they are read many times during training."""
-    tasks = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = train.dropna(subset=[label]).withColumn("fold__", fold_column(key, folds, seed))
-    return rows.repartition(tasks, *key)
+# Training rows per cached partition: at most the first, and for small tables about the second.
+ROWS_PER_TASK, FEWEST_ROWS_PER_TASK = 100_000, 1_000
+
+
+def training_rows(train: DataFrame, label: str, key: Sequence[str], folds: int, seed: int) -> tuple[DataFrame, int]:
+    """Labelled rows with their fold, spread evenly by key, and their number (one job that reads the label only).
+
+    The rows are read many times during training, so the partitions follow their number: enough for every core,
+    and never more than a task's worth in one.
+    """
+    known = train.dropna(subset=[label])
+    n = known.select(label).count()
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tasks = max(math.ceil(n / ROWS_PER_TASK), min(cores, math.ceil(n / FEWEST_ROWS_PER_TASK)), 1)
+    return known.withColumn("fold__", fold_column(key, folds, seed)).repartition(tasks, *key), n
 
 
 def fit_forest(
@@ -128,11 +138,12 @@ def fit_forest(
 
     A grid of one point needs no search and is fitted directly. Rows without a label are left out.
     """
-    known = training_rows(train, label, key, folds, seed).persist()
+    rows, n_rows = training_rows(train, label, key, folds, seed)
+    known = rows.persist()
     try:
         categorical, numeric = feature_columns(known, label, key, [*skip, "fold__"])
         forest = forest_pipeline(known, label, categorical, numeric, seed)
-        points = build_grid(forest, grid, known.count())
+        points = build_grid(forest, grid, n_rows)
         if len(points) == 1:
             return forest.pipeline.fit(known, points[0])
         classes = len(label_index(forest.pipeline.getStages()).labels)

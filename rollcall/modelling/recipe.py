@@ -89,7 +89,7 @@ def fit_lasso(
     seed: int = 1100,
 ) -> CrossValidatorModel | PipelineModel:
     """L1 logistic regression of a two-class label with the penalty chosen by cross-validated AUC."""
-    rows = training_rows(train, label, key, folds, seed).persist()
+    rows = training_rows(train, label, key, folds, seed)[0].persist()
     try:
         categorical, numeric = feature_columns(rows, label, key, ["fold__"])
         dull = set(near_constant_columns(rows, [*categorical, *numeric]))
