@@ -63,13 +63,13 @@ WITH d AS (
     CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')), 1, 15) AS BIGINT) AS place FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s),
-f AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][CAST(rank % 3 + 1 AS INTEGER)] AS weight, 2.0::DOUBLE * source_size AS full FROM w),
+f AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][CAST(rank % 3 + 1 AS INTEGER)] AS weight, 2.0::DOUBLE * source_size AS most FROM w),
 o AS (
-  SELECT *, full / weight AS full_at, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(full) OVER (ORDER BY full / weight, rank
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY full / weight, rank
+  SELECT *, most / weight AS full_at, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, rank
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY most / weight, rank
     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM f),
 v AS (SELECT level FROM o WHERE full_at > level ORDER BY full_at, rank LIMIT 1),
-t AS (SELECT source, source_size, CASE WHEN (SELECT level FROM v) IS NULL THEN full ELSE least(full, (SELECT level FROM v) * weight) END AS target FROM o),
+t AS (SELECT source, source_size, CASE WHEN (SELECT level FROM v) IS NULL THEN most ELSE least(most, (SELECT level FROM v) * weight) END AS target FROM o),
 b AS (SELECT *, CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT) AS whole FROM t),
 c AS (SELECT *, target - whole * source_size AS budget FROM b),
 p AS (
