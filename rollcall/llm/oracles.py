@@ -86,4 +86,17 @@ SELECT doc_id, size, source_size, target, CAST(least(2, whole + CASE WHEN size >
 FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source
 """
 
-ORACLES = {"op1_chat_formatting": CHAT, "op6_quality_rules": QUALITY, "op9_source_mix": MIX}
+SUBSTRING = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS w FROM documents),
+runs AS (SELECT rid, doc_id, i, w[i : i + 12] AS g FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+late AS (SELECT rid, i FROM (SELECT rid, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM runs) WHERE doc_id > least),
+gone AS (SELECT rid, list(DISTINCT k) AS gone FROM (SELECT rid, i + unnest(range(0, 13)) AS k FROM late) GROUP BY rid),
+kept AS (
+  SELECT doc_id, w, coalesce(len(gone), 0) AS n_removed, CASE WHEN gone IS NULL THEN w ELSE
+    list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END AS left_words
+  FROM d LEFT JOIN gone USING (rid))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+  sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
+"""
+
+ORACLES = {"op10_substring_dedup": SUBSTRING, "op1_chat_formatting": CHAT, "op6_quality_rules": QUALITY, "op9_source_mix": MIX}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import chat, mixing, packing, quality, secret_scan, toxicity
+from rollcall.llm import chat, mixing, packing, quality, secret_scan, substring, toxicity
 from rollcall.llm.common import table
 from rollcall.llm.oracles import ORACLES
 
@@ -49,6 +49,11 @@ def source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    removed = F.aggregate("intervals", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    return substring.dedup(table(spark, sf, "documents")).select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_secret_scans": secret_scans,
@@ -56,6 +61,7 @@ QUERIES = {
     "op7_toxicity": toxicity_scores,
     "op8_packing": packed,
     "op9_source_mix": source_mix,
+    "op10_substring_dedup": substring_dedup,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
