@@ -99,4 +99,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n
   sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept
 """
 
-ORACLES = {"op10_substring_dedup": SUBSTRING, "op1_chat_formatting": CHAT, "op6_quality_rules": QUALITY, "op9_source_mix": MIX}
+JACCARD = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, w[i : i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+r AS (SELECT a AS doc_id, a AS c FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.c = e.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce((SELECT min(c) FROM r WHERE r.doc_id = d.doc_id), d.doc_id) AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id
+"""
+
+ORACLES = {"op3_ngram_jaccard": JACCARD, "op10_substring_dedup": SUBSTRING, "op1_chat_formatting": CHAT, "op6_quality_rules": QUALITY, "op9_source_mix": MIX}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import chat, mixing, packing, quality, secret_scan, substring, toxicity
+from rollcall.llm import chat, mixing, ngram_join, packing, quality, secret_scan, substring, toxicity
 from rollcall.llm.common import table
 from rollcall.llm.oracles import ORACLES
 
@@ -29,6 +29,10 @@ def secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(of(base), 256).alias("base_sha256"), of(F.col("spans")).alias("spans"))
 
 
+def ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf, "documents"), words=3, num=90, den=100).drop("tk")
+
+
 def quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality(table(spark, sf, "documents")).drop("lang", "source")
 
@@ -57,6 +61,7 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_secret_scans": secret_scans,
+    "op3_ngram_jaccard": ngram_jaccard,
     "op6_quality_rules": quality_rules,
     "op7_toxicity": toxicity_scores,
     "op8_packing": packed,
