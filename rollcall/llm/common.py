@@ -14,7 +14,7 @@ from rollcall.session import fresh_path
 #: Blocks of texts that a task works on at once, in bytes.
 BLOCK_BYTES = 4 << 20
 #: Words whose hash a worker remembers.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
 #: Stands for a null id: it is smaller than no other id.
 NO_ID = (1 << 63) - 1
 

@@ -6,7 +6,7 @@ A word goes if a window that covers it also starts in a document with a smaller
    block's other documents with that window know their answer already, so a window that a third of all documents share is sent once per block.
 2. Hashes are dealt out by a second, independent hash. Each share finds the smallest id of every hash and answers the occurrences that lie in
    documents with a larger id. The number of shares follows the bytes of text, so a share stays at about SHARE_BYTES.
-3. Answers meet their document by id; windows merge into maximal intervals.
+3. Answers are gathered by groups of documents, where windows merge into maximal intervals, and meet their document by id.
 
 Windows are compared by 64 bits of one polynomial within shares of another, that is by more bits the more text there is: chance agreement is expected
 for about 2e-7 windows per share.
@@ -24,13 +24,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.llm.common import BASE_2, blocks, from_planes, identified, inside, named, spread, to_planes, total_bytes, window_hashes, word_values
+from rollcall.llm.common import BASE_2, blocks, from_planes, identified, inside, mix, named, spread, to_planes, total_bytes, window_hashes, word_values
 
 WIDTH = 13
 SHARE_BYTES = 16 << 20
 
-MESSAGE = "share long, id long, tk long, count long, hashes binary, steps binary, docs binary, runs binary"
-ANSWER = "id long, tk long, positions binary"
+#: Occurrences in rows: what to_message packs, for a share of the hashes (count > 0) or for a group of documents (known: no hashes).
+MESSAGE = "share long, group long, count long, hashes binary, steps binary, ids binary, tks binary, runs binary"
+COLUMNS = ["share", "group", "count", "hashes", "steps", "ids", "tks", "runs"]
 
 
 def at_runs(*keys: np.ndarray) -> np.ndarray:
@@ -42,14 +43,46 @@ def at_runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def answers(ids: np.ndarray, tks: np.ndarray, positions: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """Positions by row; the input is ordered by id and tk."""
-    begin = at_runs(ids, tks)
-    for a, b in zip(begin, [*begin[1:], len(ids)]):
-        yield int(ids[a]), int(tks[a]), positions[a:b].astype("<u4").tobytes()
+def lengths(begin: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(begin, n))
 
 
-def sent(block: pd.DataFrame, width: int, shares: int) -> pd.DataFrame:
+def to_message(share: int, group: int, ids: np.ndarray, tks: np.ndarray, positions: np.ndarray, hashes: bytes = b"") -> tuple:
+    """Occurrences ordered by row and position: rows as runs, positions as steps within a run."""
+    runs = at_runs(ids, tks)
+    steps = np.diff(positions, prepend=0)
+    steps[runs] = positions[runs]
+    n = len(ids)
+    steps_of_ids = np.diff(ids[runs].astype(np.uint64), prepend=np.uint64(0))
+    return (share, group, n, hashes, to_planes(steps, 4), to_planes(steps_of_ids, 8), tks[runs].astype("<u4").tobytes(), to_planes(lengths(runs, n), 4))
+
+
+def from_message(r) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ids, tks and positions of a message."""
+    n = len(r.tks) // 4
+    runs = from_planes(r.runs, n, 4).astype(np.int64)
+    ids = np.cumsum(from_planes(r.ids, n, 8)).astype(np.int64)
+    total = np.cumsum(from_planes(r.steps, r.count, 4).astype(np.int64))
+    before = np.concatenate([[0], total[np.cumsum(runs)[:-1] - 1]]) if n else total
+    return np.repeat(ids, runs), np.repeat(np.frombuffer(r.tks, "<u4").astype(np.int64), runs), total - np.repeat(before, runs)
+
+
+def by_key(keys: np.ndarray, among: int) -> np.ndarray:
+    """A stable order by small keys."""
+    return np.argsort(keys.astype(np.uint16) if among < 1 << 16 else keys, kind="stable")
+
+
+def answers(ids: np.ndarray, tks: np.ndarray, positions: np.ndarray, groups: int) -> Iterator[tuple]:
+    """Messages with the occurrences, one per group of documents; the input is ordered by row and position."""
+    group = (mix(ids.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+    order = by_key(group, groups)
+    begin = at_runs(group[order])
+    for a, n in zip(begin, lengths(begin, len(order))):
+        k = order[a : a + n]
+        yield to_message(-1, int(group[k[0]]), ids[k], tks[k], positions[k])
+
+
+def sent(block: pd.DataFrame, width: int, shares: int, groups: int) -> pd.DataFrame:
     """The messages of one block: per share the windows of the first document that has them, and the answers already known."""
     block = block.sort_values(["id", "tk"], kind="stable")
     values, starts = word_values(block.text)
@@ -61,75 +94,80 @@ def sent(block: pd.DataFrame, width: int, shares: int) -> pd.DataFrame:
     doc = spread(starts)[at]
     order = np.argsort(h, kind="stable")
     begin = at_runs(h[order])
-    least = np.repeat(ids[doc[order[begin]]], np.diff([*begin, len(order)])) if len(order) else ids[:0]
     known = np.zeros(len(h), bool)
-    known[order] = ids[doc[order]] > least
-    rows = []
+    known[order] = ids[doc[order]] > np.repeat(ids[doc[order[begin]]], lengths(begin, len(order)))
     position = at - starts[:-1][doc]
-    if known.any():
-        k = np.flatnonzero(known)  # ordered by document and position
-        rows += [(i % shares, i, t, 0, p, b"", b"", b"") for i, t, p in answers(ids[doc[k]], tks[doc[k]], position[k])]
+    k = np.flatnonzero(known)  # ordered by row and position
+    rows = [(m[1] % shares, *m[1:]) for m in answers(ids[doc[k]], tks[doc[k]], position[k], groups)]
     asked = np.flatnonzero(~known)
-    asked = asked[np.argsort(share[asked].astype(np.uint16) if shares < 1 << 16 else share[asked], kind="stable")]
-    edges = at_runs(share[asked])
-    for a, b in zip(edges, [*edges[1:], len(asked)]):
-        mine = asked[a:b]
-        own = doc[mine]
-        runs = at_runs(own)
-        table = np.stack([ids[own[runs]], tks[own[runs]], starts[own[runs]]])
-        steps = np.diff(at[mine], prepend=0)
-        rows.append((int(share[mine[0]]), 0, 0, b - a, h[mine].tobytes(), to_planes(steps, 4), table.tobytes(), np.diff([*runs, b - a]).astype("<u4").tobytes()))
-    return pd.DataFrame(rows, columns=["share", "id", "tk", "count", "hashes", "steps", "docs", "runs"])
-
-
-def judged(messages: pd.DataFrame) -> pd.DataFrame:
-    """Of one share: the occurrences of windows that also start in a document with a smaller id."""
-    rows = [(r.id, r.tk, r.hashes) for r in messages.itertuples() if not r.count]
-    asked = [r for r in messages.itertuples(index=False) if r.count]
+    asked = asked[by_key(share[asked], shares)]
+    begin = at_runs(share[asked])
+    for a, n in zip(begin, lengths(begin, len(asked))):
+        k = asked[a : a + n]
+        rows.append(to_message(int(share[k[0]]), -1, ids[doc[k]], tks[doc[k]], position[k], h[k].tobytes()))
+    return pd.DataFrame(rows, columns=COLUMNS)
+
+
+def judged(messages: pd.DataFrame, groups: int) -> pd.DataFrame:
+    """Of one share: the occurrences of windows that also start in a document with a smaller id, by group of documents."""
+    rows = [r for r in messages.itertuples(index=False) if r.group >= 0]
+    asked = [r for r in messages.itertuples(index=False) if r.group < 0]
     if asked:
         h = np.concatenate([np.frombuffer(r.hashes, np.uint64) for r in asked])
-        runs = [np.frombuffer(r.runs, "<u4") for r in asked]
-        docs = [np.frombuffer(r.docs, np.int64).reshape(3, -1) for r in asked]
-        ids = np.concatenate([np.repeat(d[0], n) for d, n in zip(docs, runs)])
+        ids = np.concatenate([from_message(r)[0] for r in asked])
         order = np.argsort(h)
         begin = at_runs(h[order])
-        least = np.minimum.reduceat(ids[order], begin)
-        late = np.zeros(len(h), bool)
-        late[order] = ids[order] > np.repeat(least, np.diff([*begin, len(order)]))
-        done = 0
-        for r, d, n in zip(asked, docs, runs):
+        del h
+        late = np.zeros(len(ids), bool)
+        ordered = ids[order]
+        late[order] = ordered > np.repeat(np.minimum.reduceat(ordered, begin), lengths(begin, len(order)))
+        del order, ordered, ids
+        found, done = [], 0
+        for r in asked:
             k = np.flatnonzero(late[done : done + r.count])
             done += r.count
             if len(k):
-                own = np.repeat(np.arange(len(n)), n)[k]
-                at = np.cumsum(from_planes(r.steps, r.count, 4).astype(np.int64))[k]
-                rows += answers(d[0][own], d[1][own], at - d[2][own])
-    return pd.DataFrame(rows, columns=["id", "tk", "positions"])
+                found.append([x[k] for x in from_message(r)])
+        if found:
+            ids, tks, positions = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((positions, tks, ids))
+            rows += answers(ids[order], tks[order], positions[order], groups)
+    return pd.DataFrame(rows, columns=COLUMNS)
+
+
+def gathered(messages: pd.DataFrame, width: int) -> pd.DataFrame:
+    """Of one group of documents: the maximal intervals that the windows cover, one row per document."""
+    ids, tks, positions = (np.concatenate(x) for x in zip(*[from_message(r) for r in messages.itertuples(index=False)]))
+    order = np.lexsort((positions, tks, ids))
+    ids, tks, positions = ids[order], tks[order], positions[order]
+    apart = np.ones(len(ids), bool)
+    apart[1:] = (ids[1:] != ids[:-1]) | (tks[1:] != tks[:-1]) | (positions[1:] > positions[:-1] + width)
+    first = np.flatnonzero(apart)
+    last = np.append(first[1:], len(ids)) - 1
+    begin = at_runs(ids[first], tks[first])
+    cut = begin[1:]
+    return pd.DataFrame(
+        {
+            "id": ids[first[begin]],
+            "tk": tks[first[begin]],
+            "starts": np.split(positions[first].astype(np.int32), cut),
+            "ends": np.split((positions[last] + width).astype(np.int32), cut),
+        }
+    )
 
 
 def repeated_windows(rows: DataFrame, width: int) -> DataFrame:
-    """id, tk, positions (list of binaries of positions, per row): the windows that also start in a document with a smaller id."""
+    """id, tk, starts, ends: the maximal intervals of windows that also start in a document with a smaller id, per row that has any."""
     shares = max(1, total_bytes(rows, "text") // SHARE_BYTES)
+    groups = max(1, shares // 2)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in blocks(batches):
-            yield sent(block, width, shares)
+            yield sent(block, width, shares, groups)
 
     messages = rows.select("id", "tk", "text").mapInPandas(send, MESSAGE)
-    found = messages.groupBy("share").applyInPandas(judged, ANSWER)
-    return found.groupBy("id", "tk").agg(F.collect_list("positions").alias("positions"))
-
-
-def merged(positions: list[bytes], width: int, length: int) -> list[tuple[int, int]]:
-    """Maximal intervals covered by windows at the positions."""
-    step = np.zeros(length + 1, np.int64)
-    for p in positions:
-        at = np.frombuffer(p, "<u4").astype(np.int64)
-        np.add.at(step, at, 1)
-        np.add.at(step, at + width, -1)
-    inside_one = np.concatenate([[False], np.cumsum(step[:-1]) > 0, [False]])
-    edges = np.flatnonzero(inside_one[1:] != inside_one[:-1])
-    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+    found = messages.groupBy("share").applyInPandas(lambda m: judged(m, groups), MESSAGE)
+    return found.groupBy("group").applyInPandas(lambda m: gathered(m, width), "id long, tk long, starts array<int>, ends array<int>")
 
 
 def dedup(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -140,7 +178,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_c
             out = []
             for r in block.itertuples(index=False):
                 words = r.text.split()
-                spans = merged(r.positions, width, len(words)) if r.positions is not None and len(r.positions) else []
+                spans = [] if r.starts is None else list(zip(r.starts.tolist(), r.ends.tolist()))
                 left, at = [], 0
                 for a, b in spans:
                     left += words[at:a]
@@ -151,6 +189,6 @@ def dedup(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_c
 
     rows = identified(docs, id_column, text_column).withColumn("tk", F.col("tk").bitwiseAND(F.lit(0xFFFFFFFF)))
     found = repeated_windows(rows, width)
-    joined = rows.join(found, ["id", "tk"], "left").select("id", "no_id", "text", "positions")
+    joined = rows.join(found, ["id", "tk"], "left").select("id", "no_id", "text", "starts", "ends")
     out = joined.mapInPandas(cut, "id long, no_id boolean, n_words long, intervals array<struct<start:int,end:int>>, kept binary")
     return named(out.withColumn("kept", F.col("kept").cast("string")), id_column)
