@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import chat, mixing, ngram_join, packing, quality, secret_scan, substring, toxicity
+from rollcall.llm import chat, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, toxicity
 from rollcall.llm.common import table
 from rollcall.llm.oracles import ORACLES
 
@@ -33,6 +33,10 @@ def ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.similar(table(spark, sf, "documents"), words=3, num=90, den=100).drop("tk")
 
 
+def nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return hilbert.search(table(spark, sf, "embeddings"), F.col("id") % 20 == 0)
+
+
 def quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality(table(spark, sf, "documents")).drop("lang", "source")
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_secret_scans": secret_scans,
     "op3_ngram_jaccard": ngram_jaccard,
+    "op5_nearest_vectors": nearest_vectors,
     "op6_quality_rules": quality_rules,
     "op7_toxicity": toxicity_scores,
     "op8_packing": packed,
