@@ -113,4 +113,21 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce((SELEC
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id
 """
 
-ORACLES = {"op3_ngram_jaccard": JACCARD, "op10_substring_dedup": SUBSTRING, "op1_chat_formatting": CHAT, "op6_quality_rules": QUALITY, "op9_source_mix": MIX}
+SUFFIX = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT rid, doc_id, i, substr(x, 2 * i + 1, 100) AS g FROM (SELECT rid, doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM d)),
+late AS (SELECT rid, i FROM (SELECT rid, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM s) WHERE doc_id > least),
+runs AS (SELECT rid, min(i) AS a, max(i) + 50 AS b FROM (
+  SELECT rid, i, sum(far) OVER (PARTITION BY rid ORDER BY i) AS run FROM (
+    SELECT rid, i, CASE WHEN i > lag(i) OVER (PARTITION BY rid ORDER BY i) + 50 THEN 1 ELSE 0 END AS far FROM late)) GROUP BY rid, run),
+gaps AS (SELECT rid, a, b, lead(a) OVER (PARTITION BY rid ORDER BY a) AS after FROM runs),
+cut AS (
+  SELECT d.rid, count(*) AS n_spans, sum(b - a) AS n_removed, min(a) AS front,
+    string_agg(substr(x, 2 * b + 1, CASE WHEN after IS NULL THEN len(x) ELSE 2 * (after - b) END), '' ORDER BY a) AS rest
+  FROM d JOIN gaps USING (rid) GROUP BY d.rid)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN front IS NULL THEN x ELSE substr(x, 1, 2 * front) || rest END)) AS kept_sha256
+FROM d LEFT JOIN cut USING (rid)
+"""
+
+ORACLES = {"op4_suffix_dedup": SUFFIX, "op3_ngram_jaccard": JACCARD, "op10_substring_dedup": SUBSTRING, "op1_chat_formatting": CHAT, "op6_quality_rules": QUALITY, "op9_source_mix": MIX}

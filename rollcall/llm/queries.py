@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import chat, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, toxicity
+from rollcall.llm import chat, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, suffix_dedup, toxicity
 from rollcall.llm.common import table
 from rollcall.llm.oracles import ORACLES
 
@@ -62,10 +62,17 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring.dedup(table(spark, sf, "documents")).select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    out = suffix_dedup.dedup(table(spark, sf, "documents"))
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_secret_scans": secret_scans,
     "op3_ngram_jaccard": ngram_jaccard,
+    "op4_suffix_dedup": suffix_array_dedup,
     "op5_nearest_vectors": nearest_vectors,
     "op6_quality_rules": quality_rules,
     "op7_toxicity": toxicity_scores,
