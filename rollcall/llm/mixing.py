@@ -82,6 +82,28 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", F.when(nearer, F.col("low") + 1).otherwise(F.col("low")).alias("below"))
 
 
+def mix_plan(rows: DataFrame, weights: Sequence[float], share: float, most: int) -> DataFrame:
+    """s (source), source_size, target, whole (copies of every row) and below (rows whose place is below get one more), from source, size, place of all rows."""
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    plan = kept_table(targets(sizes, weights, share, most), "mixing-targets")
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    plan = plan.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
+    limits = thresholds(rows.where("size > 0"), plan.select("source", "budget"))
+    return plan.withColumnRenamed("source", "s").join(limits, F.col("s").eqNullSafe(F.col("source"))).select("s", "source_size", "target", "whole", "below")
+
+
+def sized(docs: DataFrame, seed: str, id_column: str, text_column: str, source_column: str) -> DataFrame:
+    rows = docs.select(
+        F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size"), place(F.col(id_column), F.col(text_column), seed).alias("place")
+    )
+    return kept_table(rows, "mixing-sizes")
+
+
+def copies(size: Column, at: Column, most: int) -> Column:
+    """How often a row is taken, beside the columns of the plan."""
+    return F.least(F.col("whole") + F.when((size > 0) & (at < F.col("below")), 1).otherwise(0), F.lit(most)).cast("long")
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
@@ -92,22 +114,33 @@ def mix_sources(
     text_column: str = "text",
     source_column: str = "source",
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words that the mix takes), copies, per row of ``docs``.
+    """doc_id, source, size, source_size, target, taken (words that the mix takes), copies, per row of ``docs``.
 
-    A row is taken whole: floor(target / source size) times, and once more if its place is below the source's threshold.
-    A source without words has target 0.
+    A row is taken whole: floor(target / source size) times, and once more if its place is below the source's threshold. A source without words has target 0.
     """
-    text = F.col(text_column)
-    rows = docs.select(
-        F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), word_count(text).alias("size"), place(F.col(id_column), text, seed).alias("place")
-    )
-    rows = kept_table(rows, "mixing-sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = kept_table(targets(sizes, weights, share, most), "mixing-targets")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    plan = plan.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
-    limits = thresholds(rows.where("size > 0"), plan.select("source", "budget"))
-    plan = plan.withColumnRenamed("source", "s").join(limits, F.col("s").eqNullSafe(F.col("source"))).drop("source", "weight", "budget")
-    copies = F.col("whole") + F.when((F.col("size") > 0) & (F.col("place") < F.col("below")), 1).otherwise(0)
-    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", F.least(copies, F.lit(most)).cast("long"))
-    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "place")
+    rows = sized(docs, seed, id_column, text_column, source_column)
+    joined = rows.join(mix_plan(rows, weights, share, most), F.col("source").eqNullSafe(F.col("s")))
+    joined = joined.withColumn("copies", copies(F.col("size"), F.col("place"), most))
+    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    share: float = 1.5,
+    most: int = 2,
+    seed: str = "mix",
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all columns as they are. Rows without words stay as they are: they weigh nothing."""
+    rows = sized(docs, seed, id_column, text_column, source_column)
+    plan = mix_plan(rows, weights, share, most)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col(f"row.`{text_column}`")
+    size = word_count(text)
+    joined = own.join(plan, F.col(f"row.`{source_column}`").eqNullSafe(F.col("s")))
+    times = F.when(size == 0, 1).otherwise(copies(size, place(F.col(f"row.`{id_column}`"), text, seed), most))
+    repeated = joined.select("row", F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias("nth"))
+    return repeated.select("row.*")

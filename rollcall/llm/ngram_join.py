@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rollcall.llm.common import NO_ID, blocks, identified, inside, kept_table, mix, named, spread, window_hashes, word_values
 from rollcall.llm.graph import components
@@ -214,3 +214,19 @@ def similar(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_c
     least_id = F.coalesce("least", "id")
     out = out.select("id", "no_id", "tk", F.col("n").alias("n_shingles"), F.when(least_id != NO_ID, least_id).alias("component_id"))
     return named(out, id_column)
+
+
+def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies, all columns as they are: of each component the row with the smallest id stays, and all rows without words."""
+    found = similar(docs, words, num, den, id_column, text_column)
+    wordless = F.col("n_shingles") == 0
+    first = found.where(wordless | F.col(id_column).eqNullSafe(F.col("component_id")))
+    # texts of one id in one component: one of them
+    kept = first.groupBy("component_id", F.when(wordless, F.col("tk")).alias("apart")).agg(F.min("tk").alias("tk"), F.max(wordless).alias("wordless"))
+    kept = kept.select(F.col("component_id").alias("k"), F.col("tk").alias("t"), "wordless")
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own = own.withColumns({"id": F.col(f"row.`{id_column}`").cast("long"), "tk": F.xxhash64(F.coalesce(F.col(f"row.`{text_column}`"), F.lit("")))})
+    joined = own.join(kept, F.coalesce("id", F.lit(NO_ID)).eqNullSafe(F.coalesce("k", F.lit(NO_ID))) & (F.col("tk") == F.col("t")))
+    # repeated rows: one of them, too
+    nth = F.row_number().over(Window.partitionBy("id", "tk").orderBy(F.lit(1)))
+    return joined.withColumn("nth", nth).where("nth = 1 or wordless").select("row.*")

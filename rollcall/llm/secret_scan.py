@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The three known forms, with the least length of what must follow.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -137,15 +137,30 @@ def redacted(text: str, spans: list[Span], by: str = "[secret]") -> str:
 SPANS = "array<struct<kind:string,start:int,end:int,value_start:int,value_end:int>>"
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, spans (array of structs, code points, end exclusive) and redacted text, per row."""
+def findings(text: Column) -> Column:
+    """A text's spans and the text without the values in them."""
+
+    @F.pandas_udf(f"struct<spans:{SPANS},redacted:string>")
+    def run(batch: pd.Series) -> pd.DataFrame:
+        found = [find(t) for t in batch]
+        clean = [redacted(t, s) if s else t for t, s in zip(batch, found)]
+        return pd.DataFrame({"spans": [[s._asdict() for s in x] for x in found], "redacted": clean})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [find(t) for t in batch.text]
-            clean = [redacted(t, s) if s else t for t, s in zip(batch.text, found)]
-            yield pd.DataFrame({"doc_id": batch.doc_id, "spans": [[s._asdict() for s in x] for x in found], "redacted": clean})
+    return run(F.coalesce(text, F.lit("")))
 
-    rows = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    out = rows.mapInPandas(run, f"doc_id string, spans {SPANS}, redacted string")
-    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_column].dataType))
+
+def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, spans (array of structs, code points, end exclusive) and redacted text, per row."""
+    return docs.select(F.col(id_column).alias("doc_id"), findings(F.col(text_column)).alias("found")).select("doc_id", "found.*")
+
+
+def redact(docs: DataFrame, text_column: str = "text", length_column: str = "n_chars") -> DataFrame:
+    """All rows and columns of ``docs``, the values of secrets replaced in the text; the length column follows where the text changed."""
+    mark = "redacted " + "".join(docs.columns)  # a name that no column has
+    found = docs.withColumn(mark, findings(F.col(text_column))["redacted"])
+    changed = F.col(text_column).isNotNull() & (F.col(f"`{mark}`") != F.col(text_column))
+    news = {text_column: F.when(changed, F.col(f"`{mark}`")).otherwise(F.col(text_column))}
+    if length_column in docs.columns:
+        kind = docs.schema[length_column].dataType
+        news[length_column] = F.when(changed, F.length(F.col(f"`{mark}`")).cast(kind)).otherwise(F.col(length_column))
+    return found.select(*[news[c].alias(c) if c in news else F.col(f"`{c}`") for c in docs.columns])

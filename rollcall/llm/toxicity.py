@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.llm.common import kept_table
 
@@ -161,15 +161,29 @@ def scorer(model: Model):
     return score
 
 
-def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, score, offending (sentences: start, end, score), per row."""
+SCORED = "struct<score:double,offending:array<struct<start:int,end:int,score:double>>>"
+
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def scores(text: Column, model: Model) -> Column:
+    """A text's score and offending sentences (score and place)."""
+
+    @F.pandas_udf(SCORED)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = scorer(model)
         for batch in batches:
-            got = [score(t) for t in batch.text]
-            yield pd.DataFrame({"doc_id": batch.doc_id, "score": [g[0] for g in got], "offending": [[{"start": a, "end": b, "score": s} for a, b, s in g[1]] for g in got]})
+            got = [score(t) for t in batch]
+            sentences = [[{"start": a, "end": b, "score": s} for a, b, s in g[1]] for g in got]
+            yield pd.DataFrame({"score": [g[0] for g in got], "offending": sentences})
+
+    return run(F.coalesce(text, F.lit("")))
+
+
+def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, score, offending (sentences: start, end, score), per row."""
+    found = scores(F.col(text_column), model)
+    return docs.select(F.col(id_column).alias("doc_id"), found.alias("found")).select("doc_id", "found.*")
+
 
-    rows = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    out = rows.mapInPandas(run, "doc_id string, score double, offending array<struct<start:int,end:int,score:double>>")
-    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_column].dataType))
+def without_toxic(docs: DataFrame, model: Model, text_column: str = "text", at: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a score under ``at``, all columns as they are."""
+    return docs.where(scores(F.col(text_column), model)["score"] < at)
