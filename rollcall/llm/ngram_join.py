@@ -223,10 +223,10 @@ def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
     first = found.where(wordless | F.col(id_column).eqNullSafe(F.col("component_id")))
     # texts of one id in one component: one of them
     kept = first.groupBy("component_id", F.when(wordless, F.col("tk")).alias("apart")).agg(F.min("tk").alias("tk"), F.max(wordless).alias("wordless"))
-    kept = kept.select(F.col("component_id").alias("k"), F.col("tk").alias("t"), "wordless")
+    kept = kept.select(F.coalesce("component_id", F.lit(NO_ID)).alias("id"), "tk", "wordless")
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    own = own.withColumns({"id": F.col(f"row.`{id_column}`").cast("long"), "tk": F.xxhash64(F.coalesce(F.col(f"row.`{text_column}`"), F.lit("")))})
-    joined = own.join(kept, F.coalesce("id", F.lit(NO_ID)).eqNullSafe(F.coalesce("k", F.lit(NO_ID))) & (F.col("tk") == F.col("t")))
+    own = own.withColumns({"id": F.coalesce(F.col(f"row.`{id_column}`").cast("long"), F.lit(NO_ID)), "tk": F.xxhash64(F.coalesce(F.col(f"row.`{text_column}`"), F.lit("")))})
+    joined = own.join(kept, ["id", "tk"])
     # repeated rows: one of them, too
     nth = F.row_number().over(Window.partitionBy("id", "tk").orderBy(F.lit(1)))
     return joined.withColumn("nth", nth).where("nth = 1 or wordless").select("row.*")
