@@ -35,10 +35,20 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # byte-level vocabularies show these bytes as they are
+        hidden = iter(range(256, 512))
+        self.letters = {b: chr(b if b in shown else next(hidden)) for b in range(256)}
+        probes = ("alphabet", "fenêtre", "zwölf", "señor")
+        self.direct = all(self.of_letters(w) == self.encoded(w) for w in probes)
 
     def encoded(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def of_letters(self, word: str) -> bytes:
+        """A word of small letters is one piece, so the model alone gives its ids."""
+        shown = word.encode().decode("latin-1").translate(self.letters)
+        return np.asarray([t.id for t in self.tokenizer.model.tokenize(shown)], dtype="<u4").tobytes()
+
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
@@ -46,6 +56,8 @@ class WordIds(dict):
             ids = self[word[:-1]] + self[word[-1]]
         elif max(word) <= "ÿ" and word != (lower := word.lower()):  # it lowers letters itself
             ids = self[lower]
+        elif self.direct and max(word) <= "ÿ" and word.isalpha():
+            ids = self.of_letters(word)
         else:
             ids = self.encoded(word)
         self[word] = ids
