@@ -93,6 +93,22 @@ def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, ends: np.ndarray, dep
     return n
 
 
+def common_of_keys(keys: list[np.ndarray]) -> np.ndarray:
+    """Equal leading symbols of neighbours, from their words; what follows a suffix's end counts as equal."""
+    n = np.zeros(len(keys[0]) - 1 if len(keys[0]) else 0, np.int64)
+    live = np.arange(len(n))
+    for key in keys:
+        a, b = key[live], key[live + 1]
+        same = a == b
+        n[live[same]] += 7
+        other = live[~same]
+        a, b = a[~same], b[~same]
+        for shift in range(54, 0, -9):
+            n[other] += (a >> np.uint64(shift)) == (b >> np.uint64(shift))
+        live = live[same]
+    return n
+
+
 class Scan:
     """The least common prefix since the last push to each line."""
 
@@ -146,7 +162,9 @@ def suffix_order(strings: bytes, lengths: np.ndarray, depth: int = DEPTH, held:
     order = np.lexsort(keys[::-1])
     seeds = seeds[order].astype(np.int32)
     lead = np.zeros(len(seeds), np.int64)
-    lead[1:] = common(text, seeds[:-1].astype(np.int64), seeds[1:].astype(np.int64), ends, depth)
+    lead[1:] = common_of_keys([k[order] for k in keys]) if len(seeds) > 1 else lead[1:]
+    left = ends[seeds] - seeds
+    lead[1:] = np.minimum(np.minimum(lead[1:], depth), np.minimum(left[1:], left[:-1]))
     of_seed = text[seeds]
     bounds = np.searchsorted(of_seed, np.arange(SYMBOLS + 1))
 

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.llm.common import BASE, blocks, from_planes, identified, inside, mix, named, spread, to_planes, total_bytes
@@ -170,13 +171,13 @@ def sent_segments(block: pd.DataFrame, shares: int) -> pd.DataFrame:
     asked, share = asked[turn], share[turn]
     rows = []
     begin = at_runs(share)
-    raw = data.tobytes()
+    raw, packer = data.tobytes(), zstandard.ZstdCompressor(level=1)
     for a, m in zip(begin, lengths(begin, len(asked))):
         k = asked[a : a + m]
         k = k[np.lexsort((first[k], tks[doc[k]], ids[doc[k]]))]
         size = last[k] - first[k] + WIDTH
         message = to_message(int(share[a]), -1, ids[doc[k]], tks[doc[k]], first[k] - starts[:-1][doc[k]], h[k].tobytes())
-        rows.append((*message, to_planes(size, 4), b"".join([raw[i : i + n] for i, n in zip(first[k].tolist(), size.tolist())])))
+        rows.append((*message, to_planes(size, 4), packer.compress(b"".join([raw[i : i + n] for i, n in zip(first[k].tolist(), size.tolist())]))))
     return pd.DataFrame(rows, columns=[*COLUMNS, "sizes", "bytes"])
 
 
@@ -187,7 +188,8 @@ def copies(messages: pd.DataFrame, groups: int) -> pd.DataFrame:
     for r in messages.itertuples(index=False):
         size = from_planes(r.sizes, r.count, 4).astype(np.int64)
         edges = np.concatenate([[0], np.cumsum(size)]).tolist()
-        kind += [index.setdefault(r.bytes[a:b], len(index)) for a, b in zip(edges, edges[1:])]
+        own = zstandard.decompress(r.bytes)
+        kind += [index.setdefault(own[a:b], len(index)) for a, b in zip(edges, edges[1:])]
         i, t, p = from_message(r)
         ids.append(i), tks.append(t), positions.append(p), hashes.append(np.frombuffer(r.hashes, np.uint64))
     kind = np.array(kind, np.int64)
@@ -208,7 +210,7 @@ def copies(messages: pd.DataFrame, groups: int) -> pd.DataFrame:
         own = size[chosen]
         order, prefix = suffix_order(b"".join([texts[c] for c in chosen]), own)
         begin = np.concatenate([[0], np.cumsum(own)])
-        string = np.searchsorted(begin, order, side="right") - 1
+        string = np.repeat(np.arange(len(own)), own)[order]
         whole = order + WIDTH <= begin[string + 1]
         group = np.cumsum(prefix < WIDTH) - 1  # strings of one group share WIDTH bytes; suffixes shorter than that are left out below
         of = least[chosen[string]]
@@ -291,7 +293,8 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     leads_sent = rows.select("id", "tk", "text").mapInPandas(send_leads, MESSAGE)
     shared = leads_sent.groupBy("share").applyInPandas(lambda m: shared_leads(m, groups), MESSAGE)
     places = shared.groupBy("group").applyInPandas(places_of, "id long, tk long, places array<int>")
-    chosen = rows.join(places, ["id", "tk"]).select("id", "tk", "text", "places")
+    # the same columns as in the last join, so that both read one exchange of the texts
+    chosen = rows.join(places, ["id", "tk"]).select("id", "no_id", "tk", "text", "places")
     sent = chosen.mapInPandas(send_segments, MESSAGE + ", sizes binary, bytes binary")
     found = sent.groupBy("share").applyInPandas(lambda m: copies(m, groups), MESSAGE + ", sizes binary")
     runs = found.groupBy("group").applyInPandas(runs_of, "id long, tk long, starts array<int>, ends array<int>")
