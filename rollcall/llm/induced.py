@@ -146,23 +146,26 @@ def suffix_order(strings: bytes, lengths: np.ndarray, depth: int = DEPTH, held:
     is_text = np.ones(n, bool)
     is_text[own_end] = False
     text[is_text] = np.frombuffer(strings, np.uint8).astype(np.int16) + 1
-    ends = np.repeat(own_end, lengths + 1)
+    ends = np.repeat(own_end.astype(np.int32), lengths + 1)
     # types: smaller than the next suffix (S), which equal symbols inherit from the right
     step = np.zeros(n, np.int8)
     step[:-1] = np.sign(text[1:] - text[:-1])
     step[own_end] = 1
-    differs = np.where(step != 0, np.arange(n), n - 1)
-    following = np.minimum.accumulate(differs[::-1])[::-1]
+    following = np.where(step != 0, np.arange(n, dtype=np.int32), np.int32(n - 1))
+    following = np.minimum.accumulate(following[::-1])[::-1]
     small = step[following] > 0
+    del following, step
     small[own_end] = True
     seed = np.zeros(n, bool)
     seed[1:] = small[1:] & ~small[:-1]
-    seeds = np.flatnonzero(seed)
+    seeds = np.flatnonzero(seed).astype(np.int32)
+    del seed
     keys = words_at(text, seeds, ends[seeds], -(-depth // 7))
     order = np.lexsort(keys[::-1])
-    seeds = seeds[order].astype(np.int32)
+    seeds = seeds[order]
     lead = np.zeros(len(seeds), np.int64)
     lead[1:] = common_of_keys([k[order] for k in keys]) if len(seeds) > 1 else lead[1:]
+    del keys, order
     left = ends[seeds] - seeds
     lead[1:] = np.minimum(np.minimum(lead[1:], depth), np.minimum(left[1:], left[:-1]))
     of_seed = text[seeds]
