@@ -6,11 +6,12 @@ A document is the set of its distinct shingles of ``words`` words. Two documents
 2. Points meet in cells: a pair that links differs in at most s shingles (s follows from the sizes), so of m > s parts that shingles are hashed to, one at least is the
    same in both. A point has one cell for each part that is not empty. m leaves room for parts that are empty in both; a point with more empty parts than
    that also has cells for them. So no linked pair is missed, and points that share a passage only do not meet.
-3. Cells that share points form clusters. Each point goes to its cluster once, with its shingles; a cluster of any size is dealt out in chunks.
-4. Within a chunk, group counts are points of an R-tree. Boxes and points whose summed coordinate minima cannot reach the overlap are passed over, and so are
-   leaves whose points are of one class already; surviving pairs are verified. So a chunk of linked copies takes about as many checks as copies.
-5. One point of each class goes to the next round of chunks, until a cluster's classes fit a chunk. What is then outside the largest class of a cluster
-   of several chunks is compared with all its chunks. Links become components in Spark.
+3. In a cell, group counts are points of an R-tree. Boxes and points whose summed coordinate minima cannot reach the overlap are passed over, and so are leaves whose points are
+   of one class already; what survives ties points into clusters.
+4. Each point goes to its cluster once, with its shingles; a cluster of any size is dealt out in chunks. A chunk has an R-tree again, and surviving pairs are verified, but for points
+   of one class. So a chunk of linked copies takes about as many checks as copies.
+5. In clusters of several chunks, one point of each class meets the others, and what is then outside the largest class is compared with all chunks of the cluster. Links become
+   components in Spark.
 
 Documents without words are linked with nothing. Null ids count as larger than all others; rows of one id are told apart by their sets. Texts of any length are read whole. An
 empty table gives an empty result. Other columns are not read. Shingles are compared by 64-bit hashes, sets of shingles by 128 bits.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rollcall.llm.common import NO_ID, blocks, identified, inside, kept_table, mix, named, spread, window_hashes, word_values
 from rollcall.llm.graph import components
-from rollcall.llm.rtree import Sets, Tree, join
+from rollcall.llm.rtree import GROUPS, Sets, Tree, count_vector, join
 
 #: Shingles in a chunk of a cluster.
 CHUNK = 1_000_000
@@ -118,9 +119,34 @@ def points(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
                 seen.add(node)
             halves = np.frombuffer(b"".join(x or bytes(16) for x in nodes), "<i8").reshape(-1, 2)
             own = {"id": block.id, "no_id": block.no_id, "tk": block.tk, "n": sizes, "node": nodes}
+            own["counts"] = [count_vector(h[a:b]).tobytes() if len(c) else None for a, b, c in zip(begin, begin[1:], cells)]
             yield pd.DataFrame({**own, "x": halves[:, 0], "y": halves[:, 1], "cells": cells})
 
-    return rows.mapInPandas(run, "id long, no_id boolean, tk long, n long, node binary, x long, y long, cells array<long>")
+    return rows.mapInPandas(run, "id long, no_id boolean, tk long, n long, node binary, counts binary, x long, y long, cells array<long>")
+
+
+def near_points(num: int, den: int):
+    """Of one bucket of cells (cell, node, n, counts): pairs a-b of nodes that the bound allows, as a forest of each cell."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("cell", kind="stable")
+        cell, nodes, sizes = rows.cell.to_numpy(), rows.node.to_numpy(), rows.n.to_numpy()
+        counts = np.frombuffer(b"".join(rows.counts), np.uint16).reshape(-1, GROUPS)
+        begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
+        n = np.diff([*begin, len(cell)])
+        out: set[tuple[bytes, bytes]] = set()
+        two = begin[n == 2]
+        for part in np.array_split(two, max(1, len(two) // 20_000)):  # most cells
+            overlap = np.minimum(counts[part], counts[part + 1]).sum(1, dtype=np.int64)
+            hit = part[overlap * (num + den) >= num * (sizes[part] + sizes[part + 1])]
+            out.update((nodes[i], nodes[i + 1]) for i in hit)
+        for a, size in zip(begin[n > 2], n[n > 2]):
+            data = Sets(sizes[a : a + size], counts[a : a + size], np.arange(size), num, den)
+            tree = Tree(data, np.arange(size))
+            out.update((nodes[a + i], nodes[a + j]) for i, j in join(data, tree, tree))
+        return pd.DataFrame(sorted(out), columns=["a", "b"])
+
+    return run
 
 
 def chunk_links(num: int, den: int):
@@ -130,7 +156,8 @@ def chunk_links(num: int, den: int):
         classes = rows["class"].map(lambda x: x if x is not None else b"").to_numpy()
         first: dict = {}
         number = np.array([first.setdefault(c, i) if c else i for i, c in enumerate(classes)])
-        data = Sets([np.frombuffer(s, np.uint64) for s in rows.shingles], number, num, den)
+        sets = [np.frombuffer(s, np.uint64) for s in rows.shingles]
+        data = Sets(np.array([len(x) for x in sets]), np.stack([count_vector(x) for x in sets]), number, num, den, sets)
         side = rows.side.to_numpy()
         right = Tree(data, np.flatnonzero(side == 0)) if (side == 0).any() else None
         left = Tree(data, np.flatnonzero(side == 1)) if (side == 1).any() else right
@@ -155,18 +182,13 @@ def cluster_links(members: DataFrame, num: int, den: int, chunk: int) -> DataFra
     if wide.isEmpty():
         return found
     # clusters of several chunks: first one point of each class, then what is outside the largest class
-    while True:
-        classed = classes_of(wide, found)
-        heads = classed.groupBy("cluster", "class").agg(F.min("node").alias("node"), F.min_by("n", "node").alias("n"))
-        sums = heads.groupBy("cluster").agg(F.sum("n").alias("total"), F.count("*").alias("left")).where("left > 1")
-        heads = heads.join(sums, "cluster").withColumn("chunks", F.ceil(F.col("total") / chunk).cast("long"))
-        heads = heads.withColumn("chunk", F.pmod(F.xxhash64("node", "total"), F.col("chunks")))
-        payload = members.select("cluster", "node", "shingles")
-        more = heads.join(payload, ["cluster", "node"]).withColumn("side", F.lit(0)).withColumn("class", nothing)
-        more = kept_table(more.groupBy("cluster", "chunk").applyInPandas(link, schema), "join-links")
-        if more.isEmpty():
-            break
-        found = found.unionAll(more)
+    payload = members.select("cluster", "node", "shingles")
+    heads = classes_of(wide, found).groupBy("cluster", "class").agg(F.min("node").alias("node"), F.min_by("n", "node").alias("n"))
+    sums = heads.groupBy("cluster").agg(F.sum("n").alias("total"), F.count("*").alias("left")).where("left > 1")
+    heads = heads.join(sums, "cluster").withColumn("chunks", F.ceil(F.col("total") / chunk).cast("long"))
+    heads = heads.withColumn("chunk", F.pmod(F.xxhash64("node", "total"), F.col("chunks")))
+    more = heads.join(payload, ["cluster", "node"]).withColumn("side", F.lit(0)).withColumn("class", nothing)
+    found = kept_table(found.unionAll(more.groupBy("cluster", "chunk").applyInPandas(link, schema)), "join-links")
     classed = kept_table(classes_of(wide, found), "join-classes")
     sizes = classed.groupBy("cluster", "class").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("cluster").agg(F.max_by("class", F.struct("size", "class")).alias("largest"), F.count("*").alias("left")).where("left > 1").drop("left")
@@ -192,9 +214,12 @@ def similar(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_c
     listed = base.where(F.size("cells") > 0).select("node", "x", "y", F.explode("cells").alias("cell"))
     ends = listed.groupBy("cell").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
     shared = ends.where("x0 < x1 or y0 < y1").select("cell")
-    meet = kept_table(listed.join(shared, "cell").select("cell", "node"), "join-meetings")
-    heads = meet.groupBy("cell").agg(F.min("node").alias("a"))
-    clusters = kept_table(components(meet.join(heads, "cell").select("a", F.col("node").alias("b")).distinct()), "join-clusters")
+    meet = listed.join(shared, "cell").select("cell", "node").distinct()
+    vectors = base.where("counts is not null").groupBy("node").agg(F.min("counts").alias("counts"), F.min("n").alias("n"))
+    buckets = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    known = meet.join(vectors, "node").withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(4 * buckets)))
+    near = known.groupBy("bucket").applyInPandas(near_points(num, den), "a binary, b binary")
+    clusters = kept_table(components(near), "join-clusters")
 
     def with_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in blocks(batches, limit=2 << 20):

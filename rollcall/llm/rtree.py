@@ -9,20 +9,22 @@ import numpy as np
 LEAF = 64
 #: Groups that shingles are hashed to.
 GROUPS = 128
+#: A count that is not known to be smaller; it bounds nothing.
+FULL = (1 << 16) - 1
 
 
 def count_vector(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.uint16)
+    counts = np.bincount((hashes >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    return np.minimum(counts, FULL).astype(np.uint16) if counts.max(initial=0) < FULL else np.full(GROUPS, FULL, np.uint16)
 
 
 class Sets:
-    """Shingle sets with their count vectors, and the classes that links have made of them."""
+    """Count vectors of shingle sets (with the sets, if pairs are to be verified), and the classes that links have made of them."""
 
-    def __init__(self, sets: list[np.ndarray], classes: np.ndarray, num: int, den: int) -> None:
+    def __init__(self, sizes: np.ndarray, counts: np.ndarray, classes: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None) -> None:
         self.sets, self.num, self.den = sets, num, den
-        self.sizes = np.array([len(s) for s in sets])
-        self.counts = np.stack([count_vector(s) for s in sets]).astype(np.int32)
-        self.parent = np.asarray(classes).copy()  # by class number; numbers are at most len(sets) - 1
+        self.sizes, self.counts = sizes, counts.astype(np.int32)
+        self.parent = np.asarray(classes).copy()  # by class number; numbers are at most len(sizes) - 1
 
     def root(self, i: int) -> int:
         p = self.parent
@@ -32,6 +34,8 @@ class Sets:
         return i
 
     def linked(self, i: int, j: int) -> bool:
+        if self.sets is None:  # no sets to verify with: the bound decides
+            return True
         both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
         return self.den * both >= self.num * (self.sizes[i] + self.sizes[j] - both)
 
