@@ -34,7 +34,7 @@ SENSITIVE = {
 LEAST_SCORE = 5.0
 STEMS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer")
 #: Values that only stand for a secret.
-STAND_INS = re.compile(r"^(?:\$\{.*|\{\{.*|<.*|%\(.*|x{4,}|\*+|changeme|example.*|your[_-].*|placeholder.*|none|null|true|false|undefined)$", re.I)
+STAND_INS = re.compile(r"^(?:\[.*|\$\{.*|\{\{.*|<.*|%\(.*|x{4,}|\*+|changeme|example.*|your[_-].*|placeholder.*|none|null|true|false|undefined)$", re.I)
 LEX = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
     r"""|(?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)(?![A-Za-z0-9+/_=-]*[+/][A-Za-z0-9+/]{8})"""

@@ -1,12 +1,14 @@
 """Toxicity by multiple-instance learning: only documents have labels; sentences get scores.
 
-A sentence is toxic with probability sigmoid(bias + weights of its distinct words), a document with 1 - product(1 - sentence), the noisy-or. Weights are
+A sentence with words of the model is toxic with probability sigmoid(bias + weights of these words), other sentences are not. A document is toxic with
+1 - (1 - leak) * product(1 - sentence), the noisy-or; the leak takes up labels that no sentence explains, so that long documents do not gather them. Weights, bias and leak are
 learned from document labels through the noisy-or; the sentence scores then locate what made a document toxic.
 
 The model is fitted on a bounded sample: at most SAMPLE labelled rows of each label, those with the smallest digests of their id, read as whole texts. Their
-words are hashed to FEATURES numbers and the WORDS numbers that tell the labels best apart become the model's words, so what reaches the driver is bounded.
+words are hashed to FEATURES numbers, and at most WORDS numbers that documents labelled toxic have LIFT times as often, and more often by LEAST_Z standard errors, become the model's words: what
+reaches the driver is bounded.
 
-Null and empty texts have no sentence and score sigmoid(bias). Rows are scored by themselves, whatever their id. Rows whose label is null are not learned
+Null and empty texts have no sentence and score the leak. Rows are scored by themselves, whatever their id. Rows whose label is null are not learned
 from; a table without both labels gives a model without words (every score 0). An empty table gives an empty result. Other columns are not read.
 """
 
@@ -23,8 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.llm.common import kept_table
 
-SAMPLE, FEATURES, WORDS = 6000, 1 << 18, 2000
-STEPS, RATE, SHRINK = 400, 0.1, 2e-4
+SAMPLE, FEATURES, WORDS, LEAST_Z, LIFT = 6000, 1 << 18, 2000, 5, 3
+STEPS, RATE, SHRINK = 400, 0.1, 1e-4
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 WORD = re.compile(r"\w+")
 REMEMBERED = 400_000
@@ -33,6 +35,7 @@ REMEMBERED = 400_000
 @dataclass
 class Model:
     bias: float = -30.0
+    leak: float = 0.0
     weights: dict[int, float] = field(default_factory=dict)
 
 
@@ -78,9 +81,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     if not n.get(0) or not n.get(1):
         return Model()
     counts = rows.mapInPandas(counted, "feature long, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    share = (F.col("toxic") + F.col("clean")) / (n[0] + n[1])
+    spread = F.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]))
     p, q = F.col("toxic") / n[1], F.col("clean") / n[0]
-    gap = F.abs(p - q) / F.sqrt((p + q + 0.001) / 2)
-    best = [r["feature"] for r in counts.where("toxic + clean >= 5").orderBy(gap.desc(), "feature").limit(WORDS).collect()]
+    z = (p - q) / F.when(spread > 0, spread)
+    best = [r["feature"] for r in counts.where((z >= LEAST_Z) & (p >= LIFT * q)).orderBy(z.desc(), "feature").limit(WORDS).collect()]
     index = {f: i for i, f in enumerate(best)}
 
     def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,38 +94,38 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
             for label, text in zip(batch.label, batch.text):
                 bags = [sorted(index[f] for f in features(s) if f in index) for s in SENTENCE.findall(text)]
                 kept = {tuple(b) for b in bags if b}  # sentences of one bag say the same
-                out.append((label, sum(1 for b in bags if not b), [i for b in kept for i in b], [len(b) for b in kept]))
-            yield pd.DataFrame(out, columns=["label", "plain", "words", "sizes"])
+                out.append((label, [i for b in kept for i in b], [len(b) for b in kept]))
+            yield pd.DataFrame(out, columns=["label", "words", "sizes"])
 
-    kept = rows.mapInPandas(reduced, "label int, plain long, words array<int>, sizes array<int>").toPandas()
-    bias, weights = learned(kept, len(best))
-    return Model(bias, {f: float(w) for f, w in zip(best, weights) if abs(w) > 1e-3})
+    kept = rows.mapInPandas(reduced, "label int, words array<int>, sizes array<int>").toPandas()
+    bias, leak, weights = learned(kept, len(best))
+    return Model(bias, leak, {f: float(w) for f, w in zip(best, weights)})
 
 
-def learned(bags: pd.DataFrame, width: int) -> tuple[float, np.ndarray]:
-    """Weights that maximise the likelihood of the document labels under the noisy-or (Adam, full batches)."""
-    y, plain = bags.label.to_numpy(float), bags.plain.to_numpy(float)
+def learned(bags: pd.DataFrame, width: int) -> tuple[float, float, np.ndarray]:
+    """Bias, leak and weights that maximise the likelihood of the document labels under the noisy-or (Adam, full batches)."""
+    y = bags.label.to_numpy(float)
     sizes = [np.asarray(s, int) for s in bags.sizes]
     doc = np.repeat(np.arange(len(bags)), [len(s) for s in sizes])
-    per = np.concatenate(sizes) if sizes else np.zeros(0, int)
+    per = np.concatenate(sizes)
     word = np.concatenate([np.asarray(w, int) for w in bags.words])
     sentence = np.repeat(np.arange(len(per)), per)
-    theta, bias = np.zeros(width), -5.0
-    m, v = np.zeros(width + 1), np.zeros(width + 1)
+    x = np.zeros(width + 2)  # weights, bias, leak as a logit
+    x[width:] = -3.0
+    m, v = np.zeros(width + 2), np.zeros(width + 2)
     for step in range(1, STEPS + 1):
-        z = bias + np.bincount(sentence, theta[word], len(per)) if len(per) else np.zeros(0)
-        none = -np.bincount(doc, np.logaddexp(0, z), len(bags)) - plain * np.logaddexp(0, bias)
-        none = np.minimum(none, -1e-9)
-        slope = (y / np.expm1(-none)) - (1 - y)  # of the loss by log(no toxic sentence)
-        p = 1 / (1 + np.exp(-z))
-        g = -slope[doc] * p
-        grad = np.bincount(word, g[sentence], width) if len(word) else np.zeros(width)
-        grad_bias = g.sum() - (slope * plain).sum() / (1 + np.exp(-bias))
-        all_grad = np.append(grad / len(bags) + SHRINK * theta, grad_bias / len(bags))
-        m, v = 0.9 * m + 0.1 * all_grad, 0.999 * v + 0.001 * all_grad**2
-        move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        theta, bias = theta - move[:-1], bias - move[-1]
-    return float(bias), theta
+        theta, bias, leak = x[:width], x[width], x[width + 1]
+        z = bias + np.bincount(sentence, theta[word], len(per))
+        none = np.minimum(-np.bincount(doc, np.logaddexp(0, z), len(bags)) - np.logaddexp(0, leak), -1e-9)
+        slope = y / np.expm1(-none) - (1 - y)  # of the loss by the logarithm of (no toxic sentence)
+        g = -slope[doc] / (1 + np.exp(-z))
+        grad = np.zeros(width + 2)
+        grad[:width] = np.bincount(word, g[sentence], width) / len(bags) + SHRINK * theta
+        grad[width] = g.sum() / len(bags)
+        grad[width + 1] = -slope.sum() / (1 + np.exp(-leak)) / len(bags)
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        x = x - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    return float(x[width]), float(1 / (1 + np.exp(-x[width + 1]))), x[:width]
 
 
 class Weights(dict):
@@ -140,23 +145,22 @@ class Weights(dict):
 def scorer(model: Model):
     """A function from text to (document score, sentences as (start, end, score) with score of half or more)."""
     weights = Weights(model.weights)
-    quiet = float(np.logaddexp(0, model.bias))
+    quiet = float(-np.log1p(-model.leak))
 
     def score(text: str) -> tuple[float, list[tuple[int, int, float]]]:
         lower = text.lower()
-        offending, none = [], 0.0
+        offending, none = [], quiet
         for m in SENTENCE.finditer(lower):
             total = 0.0
             for w in set(WORD.findall(m[0])):
                 total += weights[w]
             if total == 0.0:
-                none += quiet
                 continue
             z = model.bias + total
             none += np.logaddexp(0, z)
             if z >= 0:
                 offending.append((m.start(), m.end(), float(1 / (1 + np.exp(-z)))))
-        return float(-np.expm1(-(none or quiet))), offending if len(lower) == len(text) else []
+        return float(-np.expm1(-none)), offending if len(lower) == len(text) else []
 
     return score
 
