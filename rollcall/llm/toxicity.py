@@ -26,7 +26,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollcall.llm.common import kept_table
 
 SAMPLE, FEATURES, WORDS, LEAST_Z, LIFT = 6000, 1 << 18, 2000, 5, 3
-STEPS, RATE, SHRINK = 400, 0.1, 1e-4
+STEPS, RATE, SHRINK = 400, 0.1, 5e-5
+#: Where the bias is drawn to, so that words alone make a sentence toxic, and how strongly.
+QUIET, HOLD = -7.0, 1e-2
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 WORD = re.compile(r"\w+")
 REMEMBERED = 400_000
@@ -111,7 +113,7 @@ def learned(bags: pd.DataFrame, width: int) -> tuple[float, float, np.ndarray]:
     word = np.concatenate([np.asarray(w, int) for w in bags.words])
     sentence = np.repeat(np.arange(len(per)), per)
     x = np.zeros(width + 2)  # weights, bias, leak as a logit
-    x[width:] = -3.0
+    x[width], x[width + 1] = QUIET, -3.0
     m, v = np.zeros(width + 2), np.zeros(width + 2)
     for step in range(1, STEPS + 1):
         theta, bias, leak = x[:width], x[width], x[width + 1]
@@ -121,7 +123,7 @@ def learned(bags: pd.DataFrame, width: int) -> tuple[float, float, np.ndarray]:
         g = -slope[doc] / (1 + np.exp(-z))
         grad = np.zeros(width + 2)
         grad[:width] = np.bincount(word, g[sentence], width) / len(bags) + SHRINK * theta
-        grad[width] = g.sum() / len(bags)
+        grad[width] = g.sum() / len(bags) + HOLD * (bias - QUIET)
         grad[width + 1] = -slope.sum() / (1 + np.exp(-leak)) / len(bags)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         x = x - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
