@@ -12,7 +12,7 @@ from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.modelling.fitting import encoded_columns, stage_of
-from rollcall.operators.ordered import running_totals
+from rollcall.operators.ordered import group_join, running_totals
 
 
 def _curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -58,7 +58,10 @@ def hard_label(score: str | Column, threshold: float = 0.5) -> Column:
 
 
 def confusion(df: DataFrame, actual: str, predicted: str, classes: Sequence, normalize: bool = False) -> DataFrame:
-    """Counts for every pair of classes, zeros included; ``normalize`` adds the share within the actual class."""
+    """Counts for every pair of classes, zeros included, and for every other pair that occurs (also with NULL).
+
+    ``normalize`` adds the share among all rows of the actual class.
+    """
     counts = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -70,10 +73,11 @@ def confusion(df: DataFrame, actual: str, predicted: str, classes: Sequence, nor
         )
         .withColumn("predicted", F.col("predicted").cast(df.select(predicted).schema[0].dataType))
     )
-    out = every.join(counts, ["actual", "predicted"], "left").fillna(0, ["n"])
+    pairs = every.unionByName(counts.select("actual", "predicted")).distinct()
+    out = group_join(pairs, counts, ["actual", "predicted"], "left").fillna(0, ["n"])
     if normalize:
         totals = out.groupBy("actual").agg(F.sum("n").alias("total"))
-        out = out.join(totals, ["actual"]).withColumn("share", F.try_divide(F.col("n"), F.col("total"))).drop("total")
+        out = group_join(out, totals, ["actual"]).withColumn("share", F.try_divide(F.col("n"), F.col("total"))).drop("total")
     return out
 
 

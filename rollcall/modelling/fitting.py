@@ -75,6 +75,11 @@ def build_grid(forest: Forest, options: Mapping[str, Mapping[str, Sequence]], n_
     def axis(param, values):
         axes.append([(param, v) for v in dict.fromkeys(values)])
 
+    known = {"imputer": {"strategy"}, "variancethreshold": {"threshold"}}
+    known["randomforestclassifier"] = {"n_estimators", "max_depth", "max_features", "min_samples_split"}
+    unknown = [f"{step}.{o}" for step, given in options.items() if step in known for o in given if o not in known[step]]
+    if unknown:
+        raise ValueError(f"no such grid options: {', '.join(unknown)}")
     imputing = options.get("imputer", {})
     if forest.imputer is not None and "strategy" in imputing:
         axis(forest.imputer.strategy, [IMPUTE[v] for v in imputing["strategy"]])
@@ -87,9 +92,10 @@ def build_grid(forest: Forest, options: Mapping[str, Mapping[str, Sequence]], n_
     if "n_estimators" in growing:
         axis(rf.numTrees, [int(v) for v in growing["n_estimators"]])
     if "max_depth" in growing:
-        if max(growing["max_depth"]) > MAX_DEPTH:
+        depths = [MAX_DEPTH if v is None else int(v) for v in growing["max_depth"]]  # None: as deep as Spark goes
+        if max(depths) > MAX_DEPTH:
             warnings.warn(f"depths above {MAX_DEPTH} are grown to {MAX_DEPTH}", stacklevel=2)
-        axis(rf.maxDepth, [min(int(v), MAX_DEPTH) for v in growing["max_depth"]])
+        axis(rf.maxDepth, [min(v, MAX_DEPTH) for v in depths])
     if "max_features" in growing:
         axis(rf.featureSubsetStrategy, [str(v) for v in growing["max_features"]])
     if "min_samples_split" in growing:

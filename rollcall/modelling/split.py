@@ -48,9 +48,9 @@ def stratified_split(
     """
     digested = df.withColumn("digest__", row_digest(key, seed))
     order = ["digest__", *key]
-    last = rows_at_ranks(digested, order, {"last": lambda n: F.floor(n * F.lit(test) + 0.5) - 1}, by=[label])
-    if len(last) > MAX_CLASSES:
+    if df.select(label).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
         raise ValueError(f"{label} has more than {MAX_CLASSES} values; is it a class label?")
+    last = rows_at_ranks(digested, order, {"last": lambda n: F.floor(n * F.lit(test) + 0.5) - 1}, by=[label])
     in_test = F.lit(False)
     for row in last:
         in_test = in_test | (F.col(label).eqNullSafe(F.lit(row[label])) & at_or_before(order, row))

@@ -10,6 +10,7 @@ only the slot sizes depend on the approximation.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -77,7 +78,10 @@ def _text_slots(df: DataFrame, slots: Mapping[str, str]) -> DataFrame:
     """Text has no number that keeps its order, so its split points are texts drawn evenly from the distinct ones."""
     for c, slot in slots.items():
         n = min(slot_count(df), MAX_TEXT_SLOTS)
-        start = F.substring(F.col(f"`{c}`"), 1, 100).alias("text")
+        # texts that begin alike (paths, digests) are told apart by what follows their common beginning
+        ends = df.agg(F.min(F.col(f"`{c}`")).alias("lo"), F.max(F.col(f"`{c}`")).alias("hi")).first()
+        shared = len(os.path.commonprefix([ends["lo"] or "", ends["hi"] or ""]))
+        start = F.substring(F.col(f"`{c}`"), 1, shared + 100).alias("text")
         drawn = df.filter(F.rand(7) < SPLIT_SHARE).select(start).filter("text IS NOT NULL").distinct()
         # the smallest hashes are an even draw of the distinct texts; each task sends at most this many
         found = drawn.orderBy(F.xxhash64("text")).limit(16 * n).collect()
@@ -106,6 +110,13 @@ def group_join(left: DataFrame, right: DataFrame, columns: Sequence[str], how: s
     return left.join(renamed, on, how).drop(*[f"right__{i}" for i in range(len(columns))])
 
 
+def null_safe_semi(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose values of ``columns`` occur in ``right``; NULL equals NULL."""
+    renamed = right.select(*[F.col(f"`{c}`").alias(f"right__{i}") for i, c in enumerate(columns)])
+    on = [F.col(f"`{c}`").eqNullSafe(F.col(f"right__{i}")) for i, c in enumerate(columns)]
+    return left.join(renamed, on, "left_semi")
+
+
 def _over(by: Sequence[str]) -> Window:
     # only ever used on slot tables: at most MAX_SLOTS + 1 rows per group
     return Window.partitionBy(*[F.col(f"`{c}`") for c in by]) if by else Window.partitionBy(F.lit(0))

@@ -10,22 +10,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.operators.ordered import at_or_after, rows_at_ranks, values_at_ranks
+from rollcall.operators.ordered import at_or_after, group_join, null_safe_semi, rows_at_ranks, values_at_ranks
 
 
 def _edge_rows(df: DataFrame, person: str, year: str, first: int, last: int, edge) -> DataFrame:
     within = df.filter(F.col(year).between(first, last))
     edges = within.groupBy(person).agg(edge(year).alias(year))
-    return within.join(edges, [person, year], "left_semi")
+    return null_safe_semi(within, edges, [person, year])
 
 
 def first_rows(df: DataFrame, person: str, year: str, first: int, last: int) -> DataFrame:
-    """All rows of each person's earliest year within the range."""
+    """All rows of each person's earliest year within the range; rows without a person are one person's."""
     return _edge_rows(df, person, year, first, last, F.min)
 
 
 def last_rows(df: DataFrame, person: str, year: str, first: int, last: int) -> DataFrame:
-    """All rows of each person's latest year within the range."""
+    """All rows of each person's latest year within the range; rows without a person are one person's."""
     return _edge_rows(df, person, year, first, last, F.max)
 
 
@@ -67,8 +67,8 @@ def latest(
 
 
 def with_group_size(df: DataFrame, by: Sequence[str], name: str = "n_rows") -> DataFrame:
-    """Number of rows of the group beside each row."""
-    return df.join(df.groupBy(*by).agg(F.count(F.lit(1)).alias(name)), list(by))
+    """Number of rows of the group beside each row; NULL is a group of its own."""
+    return group_join(df, df.groupBy(*by).agg(F.count(F.lit(1)).alias(name)), by)
 
 
 def rank_bands(df: DataFrame, column: str, cuts: Sequence[float], name: str = "band") -> DataFrame:

@@ -13,6 +13,7 @@ from itertools import chain, combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall import DEFAULT_KEY
+from rollcall.operators.ordered import null_safe_semi
 
 
 def in_keys(df: DataFrame, keys: DataFrame, key: Sequence[str] = DEFAULT_KEY) -> DataFrame:
@@ -70,8 +71,8 @@ def duplicate_keys(df: DataFrame, key: Sequence[str] = DEFAULT_KEY) -> DataFrame
 
 
 def duplicate_rows(df: DataFrame, key: Sequence[str] = DEFAULT_KEY) -> DataFrame:
-    """The rows behind :func:`duplicate_keys`."""
-    return in_keys(df, duplicate_keys(df, key), key)
+    """The rows behind :func:`duplicate_keys`, rows with NULL in the key included."""
+    return null_safe_semi(df, duplicate_keys(df, key), key)
 
 
 def require_unique(df: DataFrame, key: Sequence[str], name: str = "table") -> DataFrame:

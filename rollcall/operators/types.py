@@ -91,8 +91,9 @@ def value_variety(df: DataFrame, columns: Sequence[str] | None = None) -> dict[s
     )
     row = ends.first()
     between = []
+    one = lambda i: row[f"lo{i}"] == row[f"hi{i}"] or row[f"lo{i}"] != row[f"lo{i}"]  # noqa: E731  NaN is the largest: all are NaN
     for i, (c, v) in enumerate(cols.items()):
-        if row[f"n{i}"] and row[f"lo{i}"] != row[f"hi{i}"]:
+        if row[f"n{i}"] and not one(i):
             lo, hi = F.lit(row[f"lo{i}"]), F.lit(row[f"hi{i}"])
             between.append(F.count_if((v != lo) & (v != hi)).alias(f"m{i}"))
     more = df.agg(*between).first().asDict() if between else {}
@@ -100,7 +101,7 @@ def value_variety(df: DataFrame, columns: Sequence[str] | None = None) -> dict[s
     for i, c in enumerate(columns):
         if not row[f"n{i}"]:
             distinct = 0
-        elif row[f"lo{i}"] == row[f"hi{i}"]:
+        elif one(i):
             distinct = 1
         else:
             distinct = 3 if more[f"m{i}"] else 2

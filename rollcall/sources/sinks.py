@@ -35,21 +35,21 @@ def write_split(df: DataFrame, band: str, root: str, year: str, key: Sequence[st
 
     One aggregate finds the empty columns of all bands. Rows are range-partitioned on the year and key within
     each band, so a large band is written by many tasks; the files of a folder are ordered by their number.
-    Returns the columns written per band.
+    An empty band goes to the folder ``rest``, NULL to ``unknown``. Returns the columns written per band.
     """
     others = [c for c in df.columns if c != band]
     filled = df.groupBy(band).agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in others])
     written: dict[str, list[str]] = {}
     for row in filled.collect():  # one row per band
-        columns = [c for c in others if row[c] > 0]
-        if not columns:
-            continue
+        columns = [c for c in others if row[c] > 0] or others[:1]  # rows without any value stay rows
         part = df.filter(F.col(band).eqNullSafe(F.lit(row[band]))).select(*[F.col(f"`{c}`") for c in columns])
         part = fix_colnames(part)
         order = [F.col(year).desc(), *[F.col(k) for k in key]] if year in part.columns else []
         if order:
             part = part.repartitionByRange(*order).sortWithinPartitions(*order)
-        name = str(row[band]) if row[band] else "rest"
+        name = "unknown" if row[band] is None else str(row[band]) or "rest"
+        if name in written:
+            raise ValueError(f"two bands would be written to {name}")
         write_csv(part, f"{root.rstrip('/')}/{name}")
         written[name] = part.columns
     return written

@@ -68,17 +68,17 @@ def fix_names(spark, sf):
 
 @query(
     "regex_rename",
-    "SELECT l_orderkey AS order_id, l_quantity AS total_percentile, l_tax AS low_percentile, l_discount AS received FROM lineitem",
+    "SELECT l_orderkey AS order_id, l_quantity AS total_percentile, l_tax AS low_percentile, l_discount AS quantity FROM lineitem",
 )
 def regex_rename(spark, sf):
     rows = load(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_quantity").alias("total_high_p"),
         F.col("l_tax").alias("low_p"),
-        F.col("l_discount").alias("recevied"),
+        F.col("l_discount").alias("quantitty"),
     )
     return cols.rename_regex(
-        rows, {"(?<=(low))_p$|(?<=(high))_p$": "_percentile", "_high": "", "recevied": "received"}
+        rows, {"(?<=low)_p$|_high_p$": "_percentile", "quantitty": "quantity"}
     )
 
 
