@@ -14,7 +14,7 @@ A document is the set of its distinct shingles of ``words`` words. Two documents
    components in Spark.
 
 Documents without words are linked with nothing. Null ids count as larger than all others; rows of one id are told apart by their sets. Texts of any length are read whole. An
-empty table gives an empty result. Other columns are not read. Shingles are compared by 64-bit hashes, sets of shingles by 128 bits.
+empty table gives an empty result. Other columns are not read. Shingles are compared by 64-bit hashes, and so are sets that look for others; equal sets by 128 bits.
 """
 
 from __future__ import annotations
@@ -26,10 +26,13 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rollcall.llm.common import NO_ID, blocks, identified, inside, kept_table, mix, named, spread, window_hashes, word_values
+from rollcall.llm.common import NO_ID, blocks, from_planes, identified, inside, kept_table, mix, named, spread, to_planes, window_hashes, word_values
 from rollcall.llm.graph import components
 from rollcall.llm.rtree import GROUPS, Sets, Tree, count_vector, join
+from rollcall.llm.substring import at_runs, by_key, lengths
 
+#: Cells in a share, and the bytes of a cell that are sent (chance agreement adds pairs that the bound or the check drops).
+SHARE_CELLS, SENT = 2_000_000, 5
 #: Shingles in a chunk of a cluster.
 CHUNK = 1_000_000
 
@@ -103,7 +106,7 @@ def cells_of(h: np.ndarray, begin: np.ndarray, units: Units) -> list[np.ndarray]
 
 
 def points(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """id, no_id, tk, n, node (digest of the set; null without words), its halves x and y, cells; a block lists a set's cells once."""
+    """id, no_id, tk, n, node (digest of the set; null without words), its first half x, cells; a block lists a set's cells once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in blocks(batches, limit=2 << 20):
@@ -120,9 +123,41 @@ def points(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
             halves = np.frombuffer(b"".join(x or bytes(16) for x in nodes), "<i8").reshape(-1, 2)
             own = {"id": block.id, "no_id": block.no_id, "tk": block.tk, "n": sizes, "node": nodes}
             own["counts"] = [count_vector(h[a:b]).tobytes() if len(c) else None for a, b, c in zip(begin, begin[1:], cells)]
-            yield pd.DataFrame({**own, "x": halves[:, 0], "y": halves[:, 1], "cells": cells})
-
-    return rows.mapInPandas(run, "id long, no_id boolean, tk long, n long, node binary, counts binary, x long, y long, cells array<long>")
+            yield pd.DataFrame({**own, "x": halves[:, 0], "cells": cells})
+
+    return rows.mapInPandas(run, "id long, no_id boolean, tk long, n long, node binary, counts binary, x long, cells array<long>")
+
+
+def sent_cells(points: pd.DataFrame, shares: int) -> pd.DataFrame:
+    """Per share of the cells: the points' cells, SENT bytes of each, points as runs."""
+    counts = points.cells.str.len().to_numpy()
+    cell = np.concatenate(points.cells.to_list()).view(np.uint64)
+    x = np.repeat(points.x.to_numpy(), counts)
+    share = (mix(cell) % np.uint64(shares)).astype(np.int64)
+    turn = by_key(share, shares)
+    cell, x, share = cell[turn], x[turn], share[turn]
+    begin = at_runs(share)
+    rows = []
+    for a, n in zip(begin, lengths(begin, len(share))):
+        own = x[a : a + n]
+        runs = at_runs(own)
+        rows.append((int(share[a]), n, to_planes(cell[a : a + n] >> np.uint64(64 - 8 * SENT), SENT), own[runs].tobytes(), to_planes(lengths(runs, n), 4)))
+    return pd.DataFrame(rows, columns=["share", "count", "cells", "points", "runs"])
+
+
+def shared_cells(messages: pd.DataFrame) -> pd.DataFrame:
+    """Of one share: the cells that two points or more have, with their points."""
+    cell = np.concatenate([from_planes(r.cells, r.count, SENT) for r in messages.itertuples(index=False)])
+    x = np.concatenate([np.repeat(np.frombuffer(r.points, np.int64), from_planes(r.runs, len(r.points) // 8, 4).astype(np.int64)) for r in messages.itertuples(index=False)])
+    order = np.lexsort((x, cell))
+    cell, x = cell[order], x[order]
+    begin = at_runs(cell, x)  # each point once
+    cell, x = cell[begin], x[begin]
+    begin = at_runs(cell)
+    n = lengths(begin, len(cell))
+    several = np.repeat(n > 1, n)
+    name = mix(cell[several] + mix(np.uint64(messages.share.iloc[0] + 1) + np.zeros(1, np.uint64)))
+    return pd.DataFrame({"cell": name.view(np.int64), "x": x[several]})
 
 
 def near_points(num: int, den: int):
@@ -210,14 +245,19 @@ def similar(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_c
     rows = identified(docs, id_column, text_column)
     base = kept_table(points(rows, words, num, den), "join-points")
     nodes = base.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "tk")).alias("first"), F.min("n").alias("n"))
-    # cells with two sets or more: sums of the tasks over the halves of the digest decide
-    listed = base.where(F.size("cells") > 0).select("node", "x", "y", F.explode("cells").alias("cell"))
-    ends = listed.groupBy("cell").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    shared = ends.where("x0 < x1 or y0 < y1").select("cell")
-    meet = listed.join(shared, "cell").select("cell", "node").distinct()
-    vectors = base.where("counts is not null").groupBy("node").agg(F.min("counts").alias("counts"), F.min("n").alias("n"))
+    cells = base.where(F.size("cells") > 0).select("x", "cells")
+    entries = cells.agg(F.sum(F.size("cells"))).first()[0] or 0
+    shares = max(1, entries // SHARE_CELLS)
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for a in range(0, len(batch), 2000):
+                yield sent_cells(batch.iloc[a : a + 2000], shares)
+
+    meet = cells.mapInPandas(send, "share long, count long, cells binary, points binary, runs binary").groupBy("share").applyInPandas(shared_cells, "cell long, x long")
+    vectors = base.where("counts is not null").groupBy("x").agg(F.min("node").alias("node"), F.min_by("counts", "node").alias("counts"), F.min_by("n", "node").alias("n"))
     buckets = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    known = meet.join(vectors, "node").withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(4 * buckets)))
+    known = meet.join(vectors, "x").withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(4 * buckets)))
     near = known.groupBy("bucket").applyInPandas(near_points(num, den), "a binary, b binary")
     clusters = kept_table(components(near), "join-clusters")
 
