@@ -19,11 +19,23 @@ REMEMBERED_WORDS = 200_000
 NO_ID = (1 << 63) - 1
 
 
+#: Lets Spark free the shuffle files of a statement at its end.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def kept_table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written below the shared folder and read again: later steps survive lost executors and do not repeat it."""
+    """``df`` written below the shared folder and read again: later steps survive lost executors and do not repeat it.
+
+    The shuffle files behind it are freed once it is written, so the steps of an operator do not add up on the executors' disks.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -136,7 +148,5 @@ def from_planes(data: bytes, count: int, width: int) -> np.ndarray:
     return raw.reshape(-1).view("<u8")
 
 
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")

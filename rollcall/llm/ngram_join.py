@@ -146,18 +146,22 @@ def sent_cells(points: pd.DataFrame, shares: int) -> pd.DataFrame:
 
 
 def shared_cells(messages: pd.DataFrame) -> pd.DataFrame:
-    """Of one share: the cells that two points or more have, with their points."""
+    """Of one share: the cells that two points or more have, with their points. A cell is named by its points: cells of the same points say the same and are kept once."""
     cell = np.concatenate([from_planes(r.cells, r.count, SENT) for r in messages.itertuples(index=False)])
     x = np.concatenate([np.repeat(np.frombuffer(r.points, np.int64), from_planes(r.runs, len(r.points) // 8, 4).astype(np.int64)) for r in messages.itertuples(index=False)])
     order = np.lexsort((x, cell))
     cell, x = cell[order], x[order]
     begin = at_runs(cell, x)  # each point once
     cell, x = cell[begin], x[begin]
-    begin = at_runs(cell)
-    n = lengths(begin, len(cell))
-    several = np.repeat(n > 1, n)
-    name = mix(cell[several] + mix(np.uint64(messages.share.iloc[0] + 1) + np.zeros(1, np.uint64)))
-    return pd.DataFrame({"cell": name.view(np.int64), "x": x[several]})
+    n = lengths(at_runs(cell), len(cell))
+    x, n = x[np.repeat(n > 1, n)], n[n > 1]
+    if not len(n):
+        return pd.DataFrame({"cell": x[:0], "x": x[:0]})
+    name = mix(np.add.reduceat(mix(x.view(np.uint64)), np.cumsum(n) - n) + n.astype(np.uint64))
+    once = np.zeros(len(n), bool)
+    once[np.unique(name, return_index=True)[1]] = True
+    once = np.repeat(once, n)
+    return pd.DataFrame({"cell": np.repeat(name, n)[once].view(np.int64), "x": x[once]})
 
 
 def near_points(num: int, den: int):
@@ -257,6 +261,8 @@ def similar(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_c
     meet = cells.mapInPandas(send, "share long, count long, cells binary, points binary, runs binary").groupBy("share").applyInPandas(shared_cells, "cell long, x long")
     vectors = base.where("counts is not null").groupBy("x").agg(F.min("node").alias("node"), F.min_by("counts", "node").alias("counts"), F.min_by("n", "node").alias("n"))
     buckets = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # shares agree on the names, so most cells of a pair fall together before the vectors come to them
+    meet = meet.repartition(F.col("x")).dropDuplicates(["cell", "x"])
     known = meet.join(vectors, "x").withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(4 * buckets)))
     near = known.groupBy("bucket").applyInPandas(near_points(num, den), "a binary, b binary")
     clusters = kept_table(components(near), "join-clusters")
