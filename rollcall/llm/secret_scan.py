@@ -100,7 +100,7 @@ def lexed(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
             more = k < last and tokens[k][0] == "plus"
             k += more
         if places:
-            constants[name] = places[:64]
+            places = constants[name] = list(dict.fromkeys(places))  # a place that came by several names counts once
             yield name, places
 
 
