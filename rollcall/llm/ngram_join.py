@@ -26,13 +26,13 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rollcall.llm.common import NO_ID, blocks, from_planes, identified, inside, kept_table, mix, named, spread, to_planes, window_hashes, word_values
+from rollcall.llm.common import NO_ID, blocks, from_planes, identified, kept_table, mix, named, to_planes, total_bytes, window_hashes, word_values
 from rollcall.llm.graph import components
-from rollcall.llm.rtree import GROUPS, Sets, Tree, count_vector, join
+from rollcall.llm.rtree import Sets, Tree, count_vector, join, packed_counts, unpacked_counts
 from rollcall.llm.substring import at_runs, by_key, lengths
 
-#: Cells in a share, and the bytes of a cell that are sent (chance agreement adds pairs that the bound or the check drops).
-SHARE_CELLS, SENT = 2_000_000, 5
+#: Bytes of text whose cells make up a share, and the bytes of a cell that are sent (chance agreement adds pairs that the bound or the check drops).
+SHARE_BYTES, SENT = 24 << 20, 5
 #: Shingles in a chunk of a cluster.
 CHUNK = 1_000_000
 
@@ -40,19 +40,18 @@ CHUNK = 1_000_000
 def shingle_sets(texts, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, one text after another, and where each begins."""
     values, starts = word_values(texts, lower=True)
-    h, ok = window_hashes(values, words), inside(starts, words)
-    h, doc = h[ok], spread(starts)[: len(ok)][ok]
-    counts = np.diff(starts)
-    short = np.flatnonzero((counts > 0) & (counts < words))
-    if len(short):  # the whole sequence is the only shingle; its length tells it from others
-        own = [xxhash.xxh3_64_intdigest(values[starts[d] : starts[d + 1]].tobytes(), seed=int(counts[d])) for d in short]
-        h, doc = np.concatenate([h, np.array(own, np.uint64)]), np.concatenate([doc, short])
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    h, doc = h[new], doc[new]
-    return h, np.searchsorted(doc, np.arange(len(counts) + 1))
+    h = window_hashes(values, words)
+    sets = []
+    for a, b in zip(starts, starts[1:]):
+        if b - a >= words:
+            own = np.sort(h[a : b - words + 1])
+            own = own[at_runs(own)]
+        elif b > a:  # the whole sequence is the only shingle; its length tells it from others
+            own = np.array([xxhash.xxh3_64_intdigest(values[a:b].tobytes(), seed=int(b - a))], np.uint64)
+        else:
+            own = h[:0]
+        sets.append(own)
+    return np.concatenate([h[:0], *sets]), np.cumsum([0, *map(len, sets)])
 
 
 class Units:
@@ -105,8 +104,15 @@ def cells_of(h: np.ndarray, begin: np.ndarray, units: Units) -> list[np.ndarray]
     return [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
 
 
-def points(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """id, no_id, tk, n, node (digest of the set; null without words), its first half x, cells; a block lists a set's cells once."""
+POINT = {"id": "long", "no_id": "boolean", "tk": "long", "n": "long", "node": "binary", "counts": "binary", "x": "long"}
+MESSAGE = {"share": "long", "count": "long", "cells": "binary", "points": "binary", "runs": "binary"}
+
+
+def points_and_cells(rows: DataFrame, words: int, num: int, den: int, shares: int) -> DataFrame:
+    """One reading of the texts gives both kinds of rows: a point for each text, and the cells of a block for each share (the columns of the other kind are null).
+
+    Points: id, no_id, tk, n, node (digest of the set; null without words), its first half x, counts. A block sends the cells of equal sets once.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in blocks(batches, limit=2 << 20):
@@ -121,11 +127,15 @@ def points(rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
                     cells[k] = cells[k][:0]
                 seen.add(node)
             halves = np.frombuffer(b"".join(x or bytes(16) for x in nodes), "<i8").reshape(-1, 2)
-            own = {"id": block.id, "no_id": block.no_id, "tk": block.tk, "n": sizes, "node": nodes}
-            own["counts"] = [count_vector(h[a:b]).tobytes() if len(c) else None for a, b, c in zip(begin, begin[1:], cells)]
-            yield pd.DataFrame({**own, "x": halves[:, 0], "cells": cells})
+            own = {"id": block.id, "no_id": block.no_id, "tk": block.tk, "n": sizes, "node": nodes, "x": halves[:, 0]}
+            own["counts"] = [packed_counts(count_vector(h[a:b])) if len(c) else None for a, b, c in zip(begin, begin[1:], cells)]
+            yield pd.DataFrame({c: own.get(c, [None] * len(block)) for c in [*POINT, *MESSAGE]})
+            with_cells = [k for k, c in enumerate(cells) if len(c)]
+            if with_cells:
+                sent = sent_cells(pd.DataFrame({"cells": [cells[k] for k in with_cells], "x": halves[with_cells, 0]}), shares)
+                yield pd.DataFrame({c: sent.get(c, [None] * len(sent)) for c in [*POINT, *MESSAGE]})
 
-    return rows.mapInPandas(run, "id long, no_id boolean, tk long, n long, node binary, counts binary, x long, cells array<long>")
+    return rows.mapInPandas(run, ", ".join(f"{c} {t}" for c, t in {**POINT, **MESSAGE}.items()))
 
 
 def sent_cells(points: pd.DataFrame, shares: int) -> pd.DataFrame:
@@ -165,25 +175,24 @@ def shared_cells(messages: pd.DataFrame) -> pd.DataFrame:
 
 
 def near_points(num: int, den: int):
-    """Of one bucket of cells (cell, node, n, counts): pairs a-b of nodes that the bound allows, as a forest of each cell."""
+    """Of one bucket of cells (cell, x, n, counts): pairs a-b of points that the bound allows, as a forest of each cell."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("cell", kind="stable")
-        cell, nodes, sizes = rows.cell.to_numpy(), rows.node.to_numpy(), rows.n.to_numpy()
-        counts = np.frombuffer(b"".join(rows.counts), np.uint16).reshape(-1, GROUPS)
+        cell, x, sizes, counts = rows.cell.to_numpy(), rows.x.to_numpy(), rows.n.to_numpy(), unpacked_counts(rows.counts)
         begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
         n = np.diff([*begin, len(cell)])
-        out: set[tuple[bytes, bytes]] = set()
+        out: set[tuple[int, int]] = set()
         two = begin[n == 2]
         for part in np.array_split(two, max(1, len(two) // 20_000)):  # most cells
             overlap = np.minimum(counts[part], counts[part + 1]).sum(1, dtype=np.int64)
             hit = part[overlap * (num + den) >= num * (sizes[part] + sizes[part + 1])]
-            out.update((nodes[i], nodes[i + 1]) for i in hit)
+            out.update(zip(x[hit].tolist(), x[hit + 1].tolist()))
         for a, size in zip(begin[n > 2], n[n > 2]):
             data = Sets(sizes[a : a + size], counts[a : a + size], np.arange(size), num, den)
             tree = Tree(data, np.arange(size))
-            out.update((nodes[a + i], nodes[a + j]) for i, j in join(data, tree, tree))
-        return pd.DataFrame(sorted(out), columns=["a", "b"])
+            out.update((int(x[a + i]), int(x[a + j])) for i, j in join(data, tree, tree))
+        return pd.DataFrame(sorted(out), columns=["a", "b"], dtype=np.int64)
 
     return run
 
@@ -247,25 +256,18 @@ def classes_of(wide: DataFrame, links: DataFrame) -> DataFrame:
 def similar(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK) -> DataFrame:
     """doc_id, tk, n_shingles, component_id (the smallest doc_id reachable by links, itself included) per row."""
     rows = identified(docs, id_column, text_column)
-    base = kept_table(points(rows, words, num, den), "join-points")
-    nodes = base.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "tk")).alias("first"), F.min("n").alias("n"))
-    cells = base.where(F.size("cells") > 0).select("x", "cells")
-    entries = cells.agg(F.sum(F.size("cells"))).first()[0] or 0
-    shares = max(1, entries // SHARE_CELLS)
-
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for a in range(0, len(batch), 2000):
-                yield sent_cells(batch.iloc[a : a + 2000], shares)
-
-    meet = cells.mapInPandas(send, "share long, count long, cells binary, points binary, runs binary").groupBy("share").applyInPandas(shared_cells, "cell long, x long")
-    vectors = base.where("counts is not null").groupBy("x").agg(F.min("node").alias("node"), F.min_by("counts", "node").alias("counts"), F.min_by("n", "node").alias("n"))
-    buckets = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shares = max(1, total_bytes(rows, "text") // SHARE_BYTES)
+    both = kept_table(points_and_cells(rows, words, num, den, shares), "join-points")
+    base = both.where("share is null").select(*POINT)
+    nodes = base.where("node is not null").groupBy("node").agg(F.min(F.struct("id", "tk")).alias("first"), F.min("n").alias("n"), F.min("x").alias("x"))
+    meet = both.where("share is not null").select(*MESSAGE).groupBy("share").applyInPandas(shared_cells, "cell long, x long")
+    vectors = base.where("counts is not null").groupBy("x").agg(F.min_by("counts", "node").alias("counts"), F.min_by("n", "node").alias("n"))
+    buckets = max(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), shares)
     # shares agree on the names, so most cells of a pair fall together before the vectors come to them
     meet = meet.repartition(F.col("x")).dropDuplicates(["cell", "x"])
-    known = meet.join(vectors, "x").withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(4 * buckets)))
-    near = known.groupBy("bucket").applyInPandas(near_points(num, den), "a binary, b binary")
-    clusters = kept_table(components(near), "join-clusters")
+    known = meet.join(vectors, "x").withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(buckets)))
+    near = known.groupBy("bucket").applyInPandas(near_points(num, den), "a long, b long")
+    clusters = kept_table(components(near).select(F.col("node").alias("x"), "component"), "join-clusters")
 
     def with_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in blocks(batches, limit=2 << 20):
@@ -273,9 +275,9 @@ def similar(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_c
             own = [h[a:b].tobytes() for a, b in zip(begin, begin[1:])]
             yield pd.DataFrame({"cluster": block.cluster, "node": block.node, "n": np.diff(begin), "shingles": own})
 
-    wanted = clusters.join(nodes, "node").select(F.col("component").alias("cluster"), "node", F.col("first.id").alias("id"), F.col("first.tk").alias("tk"))
+    wanted = clusters.join(nodes, "x").select(F.col("component").alias("cluster"), "node", F.col("first.id").alias("id"), F.col("first.tk").alias("tk"))
     texts = rows.select("id", "tk", "text").join(wanted, ["id", "tk"]).select("cluster", "node", "text")
-    members = texts.mapInPandas(with_shingles, "cluster binary, node binary, n long, shingles binary").dropDuplicates(["node"])
+    members = texts.mapInPandas(with_shingles, "cluster long, node binary, n long, shingles binary").dropDuplicates(["node"])
     links = cluster_links(kept_table(members, "join-members"), num, den, chunk)
     joined = components(links).select(F.col("node").alias("m"), "component")
     classed = nodes.join(joined, F.col("node") == F.col("m"), "left").select("node", F.coalesce("component", "node").alias("class"), F.col("first.id").alias("id"))

@@ -18,6 +18,20 @@ def count_vector(hashes: np.ndarray) -> np.ndarray:
     return np.minimum(counts, FULL).astype(np.uint16) if counts.max(initial=0) < FULL else np.full(GROUPS, FULL, np.uint16)
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """A count vector as bytes, one byte a count where all fit."""
+    return (counts.astype(np.uint8) if counts.max(initial=0) < 256 else counts).tobytes()
+
+
+def unpacked_counts(vectors) -> np.ndarray:
+    """Packed vectors as rows of one matrix."""
+    small = np.array([len(v) == GROUPS for v in vectors], bool)
+    out = np.empty((len(small), GROUPS), np.uint16)
+    out[small] = np.frombuffer(b"".join(v for v in vectors if len(v) == GROUPS), np.uint8).reshape(-1, GROUPS)
+    out[~small] = np.frombuffer(b"".join(v for v in vectors if len(v) != GROUPS), np.uint16).reshape(-1, GROUPS)
+    return out
+
+
 class Sets:
     """Count vectors of shingle sets (with the sets, if pairs are to be verified), and the classes that links have made of them."""
 
