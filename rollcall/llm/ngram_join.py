@@ -255,6 +255,12 @@ def classes_of(wide: DataFrame, links: DataFrame) -> DataFrame:
 
 def similar(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK) -> DataFrame:
     """doc_id, tk, n_shingles, component_id (the smallest doc_id reachable by links, itself included) per row."""
+    found = classed_rows(docs, words, num, den, id_column, text_column, chunk)
+    return named(found.drop("class"), id_column)
+
+
+def classed_rows(docs: DataFrame, words: int, num: int, den: int, id_column: str, text_column: str, chunk: int = CHUNK) -> DataFrame:
+    """id, no_id, tk, n_shingles, component_id, class per row; ``class`` is the component itself (the smallest digest of its sets, null without words)."""
     rows = identified(docs, id_column, text_column)
     shares = max(1, total_bytes(rows, "text") // SHARE_BYTES)
     both = kept_table(points_and_cells(rows, words, num, den, shares), "join-points")
@@ -282,21 +288,18 @@ def similar(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_c
     joined = components(links).select(F.col("node").alias("m"), "component")
     classed = nodes.join(joined, F.col("node") == F.col("m"), "left").select("node", F.coalesce("component", "node").alias("class"), F.col("first.id").alias("id"))
     least = classed.groupBy("class").agg(F.min("id").alias("least"))
-    by_node = classed.join(least, "class").select(F.col("node").alias("m"), "least")
+    by_node = classed.join(least, "class").select(F.col("node").alias("m"), "class", "least")
     out = base.join(by_node, F.col("node") == F.col("m"), "left")
     least_id = F.coalesce("least", "id")
-    out = out.select("id", "no_id", "tk", F.col("n").alias("n_shingles"), F.when(least_id != NO_ID, least_id).alias("component_id"))
-    return named(out, id_column)
+    return out.select("id", "no_id", "tk", F.col("n").alias("n_shingles"), F.when(least_id != NO_ID, least_id).alias("component_id"), "class")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies, all columns as they are: of each component the row with the smallest id stays, and all rows without words."""
-    found = similar(docs, words, num, den, id_column, text_column)
-    wordless = F.col("n_shingles") == 0
-    first = found.where(wordless | F.col(id_column).eqNullSafe(F.col("component_id")))
-    # texts of one id in one component: one of them
-    kept = first.groupBy("component_id", F.when(wordless, F.col("tk")).alias("apart")).agg(F.min("tk").alias("tk"), F.max(wordless).alias("wordless"))
-    kept = kept.select(F.coalesce("component_id", F.lit(NO_ID)).alias("id"), "tk", "wordless")
+    found = classed_rows(docs, words, num, den, id_column, text_column)
+    # of a component one text, also where several texts have its smallest id
+    first = found.where("n_shingles > 0").groupBy("class").agg(F.min(F.struct("id", "tk")).alias("first")).select("first.*", F.lit(False).alias("wordless"))
+    kept = first.unionAll(found.where("n_shingles = 0").select("id", "tk", F.lit(True)).distinct())
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     own = own.withColumns({"id": F.coalesce(F.col(f"row.`{id_column}`").cast("long"), F.lit(NO_ID)), "tk": F.xxhash64(F.coalesce(F.col(f"row.`{text_column}`"), F.lit("")))})
     joined = own.join(kept, ["id", "tk"])

@@ -175,6 +175,19 @@ def test_one_of_each_keeps_columns_and_wordless_rows(docs):
     assert left.count(((False, 3), "same id, another text")) == 1
 
 
+def test_one_of_each_keeps_unlinked_texts_of_one_id(spark):
+    apart = [" ".join(f"{c}{i}" for i in range(60)) for c in "pqrst"]
+    near = apart[0] + " end"
+    rows = [(None, apart[0]), (None, near), (None, apart[1]), (None, apart[1]), (5, apart[2]), (5, apart[3]), (5, apart[3] + " end"), (None, apart[4]), (6, apart[4]), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = [(r.doc_id, r.text) for r in ngram_join.one_of_each(frame, 5, 80, 100).collect()]
+    assert sum((i, t) in ((None, apart[0]), (None, near)) for i, t in left) == 1
+    assert sum((i, t) in ((5, apart[3]), (5, apart[3] + " end")) for i, t in left) == 1
+    for row in ((None, apart[1]), (5, apart[2]), (6, apart[4]), (None, "")):
+        assert left.count(row) == 1
+    assert len(left) == 6
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 9), (5, 4), (7, 7), (None, 1)], "a long, b long")
     assert {r.node: r.component for r in graph.components(edges).collect()} == {1: 1, 2: 1, 3: 1, 9: 1, 4: 4, 5: 4}
