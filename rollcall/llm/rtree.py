@@ -9,13 +9,14 @@ import numpy as np
 LEAF = 64
 #: Groups that shingles are hashed to.
 GROUPS = 128
-#: A count that is not known to be smaller; it bounds nothing.
-FULL = (1 << 16) - 1
+#: Types of counts, by their bytes.
+COUNTS = {1: np.uint8, 2: np.uint16, 4: np.uint32}
 
 
 def count_vector(hashes: np.ndarray) -> np.ndarray:
+    """Exact group counts, two bytes a count where all fit."""
     counts = np.bincount((hashes >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return np.minimum(counts, FULL).astype(np.uint16) if counts.max(initial=0) < FULL else np.full(GROUPS, FULL, np.uint16)
+    return counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.uint32)
 
 
 def packed_counts(counts: np.ndarray) -> bytes:
@@ -25,10 +26,10 @@ def packed_counts(counts: np.ndarray) -> bytes:
 
 def unpacked_counts(vectors) -> np.ndarray:
     """Packed vectors as rows of one matrix."""
-    small = np.array([len(v) == GROUPS for v in vectors], bool)
-    out = np.empty((len(small), GROUPS), np.uint16)
-    out[small] = np.frombuffer(b"".join(v for v in vectors if len(v) == GROUPS), np.uint8).reshape(-1, GROUPS)
-    out[~small] = np.frombuffer(b"".join(v for v in vectors if len(v) != GROUPS), np.uint16).reshape(-1, GROUPS)
+    width = np.array([len(v) // GROUPS for v in vectors], int)
+    out = np.empty((len(width), GROUPS), COUNTS[max(2, width.max(initial=0))])
+    for w in np.unique(width):
+        out[width == w] = np.frombuffer(b"".join(v for v in vectors if len(v) == w * GROUPS), COUNTS[w]).reshape(-1, GROUPS)
     return out
 
 

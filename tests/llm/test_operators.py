@@ -12,6 +12,7 @@ import pytest
 
 from rollcall.llm import chat, graph, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, suffix_dedup, toxicity
 from rollcall.llm.induced import suffix_order
+from rollcall.llm.rtree import Sets, Tree, count_vector, join, packed_counts, unpacked_counts
 from rollcall.llm.template import Template, TemplateError, unescape
 
 DOCS = "doc_id long, text string, lang string, source string, tk string, spans string"
@@ -166,6 +167,19 @@ def test_ngram_join(spark, docs, empty, k, num, chunk):
     assert ngram_join.similar(empty).count() == 0
 
 
+def test_bound_of_very_large_sets():
+    sets = [np.arange(n, dtype=np.uint64) << np.uint64(32) for n in (9_000_000, 9_000_100, 128 * 70, 7)]
+    counts = [count_vector(h) for h in sets]
+    assert [int(c.sum()) for c in counts] == [len(h) for h in sets]
+    packed = [packed_counts(c) for c in counts]
+    assert (unpacked_counts(packed) == np.stack(counts)).all()
+    cells = hilbert.pd.DataFrame({"cell": [1, 1], "x": [10, 11], "n": [len(h) for h in sets[:2]], "counts": packed[:2]})
+    assert ngram_join.near_points(90, 100)(cells).values.tolist() == [[10, 11]]
+    data = Sets(np.array([len(h) for h in sets[:2]]), np.stack(counts[:2]), np.arange(2), 90, 100, sets[:2])
+    tree = Tree(data, np.arange(2))
+    assert list(join(data, tree, tree)) == [(0, 1)]
+
+
 def test_one_of_each_keeps_columns_and_wordless_rows(docs):
     out = ngram_join.one_of_each(docs, 3, 90, 100)
     assert out.columns == docs.columns
