@@ -32,7 +32,8 @@ SENSITIVE = {
 }
 #: A literal is reported when name and make-up reach this together.
 LEAST_SCORE = 5.0
-STEMS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer")
+#: Names with less are not reported.
+LEAST_WEIGHT = 2
 #: Values that only stand for a secret.
 STAND_INS = re.compile(r"^(?:\[.*|\$\{.*|\{\{.*|<.*|%\(.*|x{4,}|\*+|changeme|example.*|your[_-].*|placeholder.*|none|null|true|false|undefined)$", re.I)
 LEX = re.compile(
@@ -62,6 +63,17 @@ def name_weight(name: str) -> int:
     return sum(SENSITIVE.get(w, 0) for w in set(words))
 
 
+def may_name(lower: str) -> bool:
+    """Whether the words of a lower-cased text can give any name in it the least weight."""
+    weight = 0
+    for word, w in SENSITIVE.items():
+        if word in lower:
+            weight += w
+            if weight >= LEAST_WEIGHT:
+                return True
+    return False
+
+
 def make_up(value: str) -> float:
     """Up to 4: entropy per character, kinds of characters and length."""
     if len(value) < 8 or " " in value or STAND_INS.match(value):
@@ -113,11 +125,11 @@ def find(text: str) -> list[Span]:
         for m in ASSIGN.finditer(text):
             if m.end(2) - m.start(2) >= ASSIGN_LEAST:
                 found.append(Span("assign", m.start(), m.end(), m.start(2), m.end(2)))
-    if ("=" in text or ":" in text) and any(stem in lower for stem in STEMS):
+    if ("=" in text or ":" in text) and may_name(lower):
         taken = [(s.start, s.end) for s in found]
         for name, places in lexed(text):
             weight = name_weight(name)
-            for a, b in places if weight >= 2 else ():
+            for a, b in places if weight >= LEAST_WEIGHT else ():
                 if weight + make_up(text[a:b]) >= LEAST_SCORE and not any(s < b and a < e for s, e in taken):
                     taken.append((a, b))
                     found.append(Span("named", a, b, a, b))

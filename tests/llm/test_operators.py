@@ -248,6 +248,13 @@ def test_secrets(docs, empty):
     assert sorted(map(str, secret_scan.redact(docs).collect())) == sorted(map(str, docs.collect()))
 
 
+@pytest.mark.parametrize("name", ["api_access", "private_api", "client_encryption", "SigningClient"])
+def test_secrets_of_any_sensitive_name(name):
+    text = f'{name} = "Zx81Qw7Er6Ty5Ui4Op3"'
+    assert [text[s.start : s.end] for s in secret_scan.find(text)] == ["Zx81Qw7Er6Ty5Ui4Op3"]
+    assert secret_scan.find(text + "\n# the key") == secret_scan.find(text)
+
+
 def test_quality(docs, empty):
     for r in quality.quality(docs).collect():
         assert not (r.base_failed and r.kept)
