@@ -1,7 +1,8 @@
 """Secret scans: patterns of known forms, and assignment-aware lexing of source and configuration text.
 
 The lexer turns a text into name-literal pairs, follows names that were given a literal before (constants, also joined with +), and
-scores each literal by the sensitivity of the name it ends up under and by its own make-up.
+scores each literal by the sensitivity of the name it ends up under and by its own make-up. Values without quotes must hold a digit; after a colon and a name
+without quotes they must also end their line, which keeps prose out.
 
 A null text counts as empty, and an empty text has no spans; every row is scanned by itself, whatever its id; an empty table gives an
 empty result. Texts are scanned whole, and nothing is shuffled.
@@ -46,6 +47,10 @@ LEX = re.compile(
     r"""|(?P<other>[^\s])""",
     re.A,
 )
+#: The rest of a run without spaces, and what may stand between such a run and the end of its line or a comment.
+RUN = re.compile(r"\S*", re.A)
+LINE_END = re.compile(r"[ \t\r]*+(?:\n|\Z|(?<=[ \t])(?:\#|//))")
+CLOSING = ",;.)}]"
 
 
 class Span(NamedTuple):
@@ -88,7 +93,7 @@ def lexed(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     """Names and the places of the literals they get, constants followed."""
     constants: dict[str, list[tuple[int, int]]] = {}
     tokens = [(m.lastgroup, m.start(), m.end()) for m in LEX.finditer(text)]
-    k, last = 0, len(tokens)
+    k, last, run_end, ends_line = 0, len(tokens), -1, False
     while k < last:
         kind, a, b = tokens[k]
         named = kind == "name" or kind == "string" and b - a > 2
@@ -96,7 +101,7 @@ def lexed(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
             k += 1
             continue
         name = text[a:b].strip("\"'`")
-        quoted_only = text[tokens[k + 1][1] : tokens[k + 1][2]] == ":" and kind == "name"  # prose has colons, too
+        colon = text[tokens[k + 1][1] : tokens[k + 1][2]] == ":" and kind == "name"  # prose has colons, too: a bare value must end its line
         k, places, more = k + 2, [], True
         while k < last and more:
             kind, a, b = tokens[k]
@@ -104,7 +109,16 @@ def lexed(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
                 places.append((a + 1, b - 1))
             elif kind == "name" and text[a:b] in constants:
                 places += constants[text[a:b]]
-            elif kind in ("bare", "name") and not quoted_only and any(c.isdigit() for c in text[a:b]):
+            elif kind in ("bare", "name") and any(c.isdigit() for c in text[a:b]):
+                if colon:
+                    if b > run_end:
+                        run_end = RUN.match(text, b).end()
+                        ends_line = LINE_END.match(text, run_end) is not None
+                    if places or not ends_line:
+                        break
+                    b += len(text[b:run_end].rstrip(CLOSING))
+                    while k + 1 < last and tokens[k + 1][1] < b:
+                        k += 1
                 places.append((a, b))
             else:
                 break

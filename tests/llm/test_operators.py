@@ -255,6 +255,21 @@ def test_secrets_of_any_sensitive_name(name):
     assert secret_scan.find(text + "\n# the key") == secret_scan.find(text)
 
 
+def test_secrets_after_a_colon():
+    value = "Zx81Qw7Er6Ty5Ui4"
+    for line in ("signing_key: {}", "client_credential: {}\r\nport: 80", "private_key:{}  # rotated", "a:\n  - auth_bearer: {}\nb: 1", "{{signing_key: {}}}", "signing_key: {},\n"):
+        text = line.format(value)
+        found = secret_scan.find(text)
+        assert [text[s.start : s.end] for s in found] == [value]
+        assert secret_scan.redacted(text, found) == line.format("[secret]")
+    whole = "private_key: Zx81Qw7!Er6:Ty5#Ui4/+Op==\nnext: 1"
+    assert [whole[s.start : s.end] for s in secret_scan.find(whole)] == ["Zx81Qw7!Er6:Ty5#Ui4/+Op=="]
+    two = f"signing_key: {value}\napi_access: {value[::-1]}"
+    assert [two[s.start : s.end] for s in secret_scan.find(two)] == [value, value[::-1]]
+    for prose in (f"The signing key: {value} is the old one.", "private key: see page 12", "signing_key:\n", "private_key: 8080", "The key: 12 steps"):
+        assert secret_scan.find(prose) == []
+
+
 def test_quality(docs, empty):
     for r in quality.quality(docs).collect():
         assert not (r.base_failed and r.kept)
