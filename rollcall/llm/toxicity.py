@@ -150,11 +150,10 @@ def scorer(model: Model):
     quiet = float(-np.log1p(-model.leak))
 
     def score(text: str) -> tuple[float, list[tuple[int, int, float]]]:
-        lower = text.lower()
         offending, none = [], quiet
-        for m in SENTENCE.finditer(lower):
+        for m in SENTENCE.finditer(text):  # lower-casing can change the length, so places are the text's own
             total = 0.0
-            for w in set(WORD.findall(m[0])):
+            for w in set(WORD.findall(m[0].lower())):
                 total += weights[w]
             if total == 0.0:
                 continue
@@ -162,7 +161,7 @@ def scorer(model: Model):
             none += np.logaddexp(0, z)
             if z >= 0:
                 offending.append((m.start(), m.end(), float(1 / (1 + np.exp(-z)))))
-        return float(-np.expm1(-none)), offending if len(lower) == len(text) else []
+        return float(-np.expm1(-none)), offending
 
     return score
 

@@ -352,6 +352,14 @@ def test_toxicity_held_out(spark, empty):
     assert toxicity.fit(empty, labels.limit(0)).weights == {}
 
 
+def test_offending_places_where_lower_case_is_longer():
+    model = toxicity.Model(-7.0, 0.0, {f: 9.0 for f in toxicity.features("vile")})
+    text = "\u0130\u0130yi g\u00fcn. A VILE \u0130 one! The end."
+    score, offending = toxicity.scorer(model)(text)
+    assert score > 0.5 and [text[a:b] for a, b, _ in offending] == [" A VILE \u0130 one!"]
+    assert toxicity.scorer(model)(text.replace("\u0130", "I"))[0] == score
+
+
 def test_nearest_vectors(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(700, 8)).round(3)
