@@ -130,4 +130,55 @@ SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
 FROM d LEFT JOIN cut USING (rid)
 """
 
-ORACLES = {"op4_suffix_dedup": SUFFIX, "op3_ngram_jaccard": JACCARD, "op10_substring_dedup": SUBSTRING, "op1_chat_formatting": CHAT, "op6_quality_rules": QUALITY, "op9_source_mix": MIX}
+CAPTURES = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS t, row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST) AS nth,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS head FROM pages),
+h AS (SELECT *, list_transform(range(0, 8), lambda k: CAST('0x' || substr(sha1(t), 5 * k + 1, 5) AS BIGINT)) AS fives FROM p)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(fives, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+    lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> b) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN nth > 1 THEN head END AS refers_to
+FROM h
+"""
+
+CODES_START = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS rid, vec_id, label, list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+c AS MATERIALIZED (
+  SELECT rid, (i - 1) // (len(x) // 8) AS part, (i - 1) % (len(x) // 8) AS place, x[i] AS x FROM (SELECT rid, x, unnest(range(1, len(x) + 1)) AS i FROM v)),
+b0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, place, x AS e FROM c WHERE rid <= 16)"""
+
+CODES_ROUND = """,
+a{r} AS MATERIALIZED (
+  SELECT rid, part, min(struct_pack(d := d, k := entry)) AS best FROM (
+    SELECT rid, c.part, entry, sum((x - e) * (x - e)) AS d FROM c JOIN b{r} b ON c.part = b.part AND c.place = b.place GROUP BY ALL) GROUP BY ALL)"""
+
+CODES_NEXT = """,
+m{r} AS (SELECT c.part, a.best.k AS entry, place, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM c JOIN a{r} a ON c.rid = a.rid AND c.part = a.part GROUP BY ALL),
+b{next} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.place, CAST(CASE WHEN n IS NULL THEN e ELSE (s - ((s % n) + n) % n) // n END AS BIGINT) AS e
+  FROM b{r} b LEFT JOIN m{r} m ON b.part = m.part AND b.entry = m.entry AND b.place = m.place)"""
+
+CODES_END = """,
+o AS (
+  SELECT rid, string_agg(printf('%02x', best.k), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a6 GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(e AS VARCHAR), ',' ORDER BY part, entry, place)) FROM b6) AS codebooks_sha256
+FROM v JOIN o USING (rid)
+"""
+
+#: Six rounds, written out one after another, and the last assignment.
+CODES = CODES_START + "".join(CODES_ROUND.format(r=r) + CODES_NEXT.format(r=r, next=r + 1) for r in range(6)) + CODES_ROUND.format(r=6) + CODES_END
+
+ORACLES = {
+    "op1_chat_formatting": CHAT,
+    "op3_ngram_jaccard": JACCARD,
+    "op4_suffix_dedup": SUFFIX,
+    "op6_quality_rules": QUALITY,
+    "op9_source_mix": MIX,
+    "op10_substring_dedup": SUBSTRING,
+    "op11_warc_captures": CAPTURES,
+    "op13_vector_codes": CODES,
+}

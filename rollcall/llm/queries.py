@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollcall.llm import chat, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, suffix_dedup, toxicity
+from rollcall.llm import captures, chat, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, suffix_dedup, toxicity, vector_codes, whitening
 from rollcall.llm.common import table
 from rollcall.llm.oracles import ORACLES
 
@@ -68,6 +68,19 @@ def suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def warc_captures(spark: SparkSession, sf: str) -> DataFrame:
+    return captures.stored_pages(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    # a deviation that needs more than 64 bits is null here; the operator's own is a decimal
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def vector_compression(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_formatting": chat_formatting,
     "op2_secret_scans": secret_scans,
@@ -79,6 +92,9 @@ QUERIES = {
     "op8_packing": packed,
     "op9_source_mix": source_mix,
     "op10_substring_dedup": substring_dedup,
+    "op11_warc_captures": warc_captures,
+    "op12_embedding_whitening": embedding_whitening,
+    "op13_vector_codes": vector_compression,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
