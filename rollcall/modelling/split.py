@@ -9,15 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall import DEFAULT_KEY
 from rollcall.operators.columns import columns_of
-from rollcall.operators.ordered import at_or_before, rows_at_ranks
+from rollcall.operators.ordered import at_or_before_cut, cut_rows, group_join, small_or_lazy
 from rollcall.operators.relational import in_keys
 from rollcall.operators.types import binary_columns
 
 # Fixed value: names of grade-count columns, which stay numeric even with two values.
 COUNT_COLUMN = r"_[ABCDF]$"
 
-MAX_CLASSES = 1000
-
 
 def categorical_columns(df: DataFrame, exclude: Sequence[str] = (), numeric_pattern: str = COUNT_COLUMN) -> list[str]:
     """Text columns and columns with just two values (runs two jobs); ``exclude`` names key and outcome."""
@@ -43,18 +41,17 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``set``: per label the first ``test`` share of rows in digest order is ``test``, the rest ``train``.
 
-    The digest of the last test row of each label is looked up (jobs), then every row is compared with it, so
-    no label is gathered or sorted in one task.
+    The digest of the last test row of each label is looked up (jobs), then joined to the rows of its label, so
+    no label is gathered or sorted in one task, whatever the number of labels.
     """
-    digested = df.withColumn("digest__", row_digest(key, seed))
     order = ["digest__", *key]
-    if df.select(label).distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values; is it a class label?")
-    last = rows_at_ranks(digested, order, {"last": lambda n: F.floor(n * F.lit(test) + 0.5) - 1}, by=[label])
-    in_test = F.lit(False)
-    for row in last:
-        in_test = in_test | (F.col(label).eqNullSafe(F.lit(row[label])) & at_or_before(order, row))
-    return digested.withColumn(name, F.when(in_test, "test").otherwise("train")).drop("digest__")
+    digested = df.withColumn("digest__", row_digest(key, seed))
+    last = cut_rows(digested, order, {"last": lambda n: F.floor(n * F.lit(test) + 0.5) - 1}, by=[label])
+    cuts = last.select(label, "depth__", *[F.col(f"`{c}`").alias(f"cut__{c}") for c in order])
+    beside = group_join(digested, small_or_lazy(cuts), [label], "left")
+    in_test = F.coalesce(at_or_before_cut(order, "cut__", "depth__"), F.lit(False))
+    out = beside.withColumn(name, F.when(in_test, "test").otherwise("train"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c != name], name)
 
 
 def fold_column(key: Sequence[str], folds: int, seed: int = 1100) -> Column:

@@ -1,8 +1,15 @@
 """Exact order statistics without a global sort or a one-task window.
 
 A window over an unbounded group puts that group into one task. The functions here instead cut the value
-range into slots of about equal size (split points come from one small approximate-quantile job), count rows per
-slot with map-side combining, find the slot that holds a wanted rank, and look only at the rows of that slot.
+range into slots, count rows per slot with map-side combining, find the slot that holds a wanted rank, and look
+only at the rows of that slot.
+
+Slots have levels. Split points first come from one small approximate-quantile job. Then rows are counted per
+slot, and only the slots with more rows than the target are cut again, by split points drawn from their own rows,
+until every slot is below the target or holds a single value. So a slot is a task's work whatever the number and
+spread of the values: long common beginnings, far outliers and hot values only cost further levels. A table below
+the target needs no second level.
+
 The slot is a pure function of the value, so a recomputed partition gives the same answer, and equal values
 are counted before they are ordered, so a value held by a third of all rows is one row. Answers are exact;
 only the slot sizes depend on the approximation.
@@ -10,26 +17,29 @@ only the slot sizes depend on the approximation.
 
 from __future__ import annotations
 
-import os
+import math
+import sys
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-MIN_SLOTS, MAX_SLOTS, MAX_TEXT_SLOTS = 128, 4096, 512
+from rollcall.session import settle
 
-# Rows of (group, slot, rank) that are broadcast at most; beyond, Spark joins as it sees fit.
-MAX_BROADCAST_ROWS = 20_000
+#: Slots of the first level, and pieces that one level cuts a slot into at most.
+FIRST_SLOTS, MOST_PIECES = 128, 1024
+#: Rows above which a slot is cut again, unless they all hold one value.
+ROWS_PER_SLOT = 1_000_000
 
-# Share of the values that the split points are estimated from. It bears on how equal the slots are, never on
-# an answer: every row is counted in its slot.
-SPLIT_SHARE = 0.05
+# Share of the values that the split points are estimated from, and the number of rows wanted at least. They bear
+# on how equal the slots are, never on an answer: every row is counted in its slot.
+SPLIT_SHARE, SPLIT_ROWS = 0.05, 10_000
 
 
 def slot_count(df: DataFrame) -> int:
-    """At least as many slots as shuffle partitions, so one slot is at most about one task's work."""
-    return max(MIN_SLOTS, min(MAX_SLOTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """Slots of the first level: at least as many as shuffle partitions, up to the most that one level makes."""
+    return max(FIRST_SLOTS, min(MOST_PIECES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def order_code(column: Column, data_type: T.DataType) -> Column:
@@ -42,62 +52,154 @@ def order_code(column: Column, data_type: T.DataType) -> Column:
     return column.cast("double")
 
 
-def add_slots(df: DataFrame, slots: Mapping[str, str]) -> DataFrame:
-    """Add a slot column per value column, ``{value column: slot column}`` (one or two jobs for split points)."""
+class _Numbers:
+    """Split points of values with a number that keeps their order."""
+
+    code_type = "double"
+
+    @staticmethod
+    def code(column: Column, data_type: T.DataType) -> Column:
+        return order_code(column, data_type)
+
+    @staticmethod
+    def slot(df: DataFrame, code: str, points: Sequence[float], slot: str) -> DataFrame:
+        edges = [float("-inf"), *points, float("inf")]
+        if not points:
+            return df.withColumn(slot, F.lit(0.0))
+        return Bucketizer(splits=edges, inputCol=code, outputCol=slot, handleInvalid="keep").transform(df)
+
+    @staticmethod
+    def after(point: float) -> float:
+        return math.nextafter(point, math.inf)
+
+    @staticmethod
+    def point(value: float) -> float:
+        # the largest finite number parts infinity from all others
+        return min(max(value, -sys.float_info.max), sys.float_info.max)
+
+    @staticmethod
+    def drawn(codes: DataFrame, pieces: int) -> DataFrame:
+        """column, slot, points, n: approximate quantiles and number of each slot's rows."""
+        shares = ", ".join(f"{i / pieces}D" for i in range(1, pieces))  # one text instead of many calls into the JVM
+        cuts = F.expr(f"percentile_approx(nullif(code, 'NaN'), array({shares}), {4 * pieces})")
+        return codes.groupBy("column", "slot").agg(cuts.alias("points"), F.count(F.lit(1)).alias("n"))
+
+
+class _Texts:
+    """Split points of texts, which have no number that keeps their order: texts drawn evenly from the distinct ones."""
+
+    code_type = "string"
+
+    @staticmethod
+    def code(column: Column, data_type: T.DataType) -> Column:
+        return column
+
+    @staticmethod
+    def slot(df: DataFrame, code: str, points: Sequence[str], slot: str) -> DataFrame:
+        return df.withColumn(slot, F.expr(_search(f"`{code}`", points)).cast("double"))
+
+    @staticmethod
+    def after(point: str) -> str:
+        return point + "\0"
+
+    @staticmethod
+    def point(value: str) -> str:
+        return value
+
+    @staticmethod
+    def drawn(codes: DataFrame, pieces: int) -> DataFrame:
+        """column, slot, points, n (unknown): every 16th of the texts with the smallest hashes, an even draw of the distinct ones."""
+        at = ["column", "slot"]
+        # the filter by row_number becomes a group limit before the shuffle: a task sends at most that many for a slot
+        by_hash = Window.partitionBy(*at).orderBy(F.xxhash64("code"), "code")
+        some = codes.distinct().withColumn("place", F.row_number().over(by_hash)).filter(F.col("place") <= 16 * pieces)
+        by_text = Window.partitionBy(*at).orderBy("code")
+        some = some.withColumns({"nth": F.row_number().over(by_text), "n": F.count(F.lit(1)).over(Window.partitionBy(*at))})
+        step = F.greatest(F.lit(1), F.floor(F.col("n") / pieces))
+        some = some.filter((F.col("nth") - 1) % step == 0)
+        return some.groupBy(*at).agg(F.array_sort(F.collect_list("code")).alias("points"), F.lit(None).cast("long").alias("n"))  # at most 2 * pieces
+
+
+def _search(column: str, points: Sequence[str]) -> str:
+    """SQL text of a binary search: how many points are at most the value."""
+    if not points:
+        return "0"
+    known = ", ".join(f"CAST(X'{p.encode().hex()}' AS STRING)" for p in points)
+    steps = ", ".join(str(1 << k) for k in reversed(range(len(points).bit_length())))
+    step = f"IF(at + step <= {len(points)} AND get(array({known}), at + step - 1) <= {column}, at + step, at)"
+    return f"CASE WHEN {column} IS NULL THEN 0 ELSE aggregate(array({steps}), 0, (at, step) -> {step}) END"
+
+
+def add_slots(df: DataFrame, slots: Mapping[str, str], target: int | None = None, first: int | None = None) -> DataFrame:
+    """Add a slot column per value column, ``{value column: slot column}`` (one job, and two for each further level).
+
+    Slots have at most ``target`` rows (:data:`ROWS_PER_SLOT`) or a single value; ``first`` is the number of slots of
+    the first level. NULL is in the first slot, NaN in one after the last.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     texts = {c: s for c, s in slots.items() if isinstance(types[c], T.StringType)}
     numbers = {c: s for c, s in slots.items() if c not in texts}
-    return _number_slots(_text_slots(df, texts), numbers, types)
-
-
-def _number_slots(df: DataFrame, slots: Mapping[str, str], types: Mapping[str, T.DataType]) -> DataFrame:
-    if not slots:
-        return df
-    codes = {c: f"code__{i}" for i, c in enumerate(slots)}
-    coded = df.withColumns({code: order_code(F.col(f"`{c}`"), types[c]) for c, code in codes.items()})
-    n = slot_count(df)
-    shares = ", ".join(f"{i / n}D" for i in range(1, n))  # one text instead of n calls into the JVM
-    row = (
-        coded.filter(F.rand(7) < SPLIT_SHARE)
-        .agg(*[F.expr(f"percentile_approx(nullif({c}, 'NaN'), array({shares}), {4 * n})").alias(c) for c in codes.values()])
-        .first()
-    )
-    for c, code in codes.items():
-        inner = sorted(set(row[code] or ()))
-        if inner:
-            edges = [float("-inf"), *inner, float("inf")]
-            coded = Bucketizer(
-                splits=edges, inputCol=code, outputCol=slots[c], handleInvalid="keep"
-            ).transform(coded)
-        else:
-            coded = coded.withColumn(slots[c], F.lit(0.0))
-    return coded.drop(*codes.values())
-
-
-def _text_slots(df: DataFrame, slots: Mapping[str, str]) -> DataFrame:
-    """Text has no number that keeps its order, so its split points are texts drawn evenly from the distinct ones."""
-    for c, slot in slots.items():
-        n = min(slot_count(df), MAX_TEXT_SLOTS)
-        # texts that begin alike (paths, digests) are told apart by what follows their common beginning
-        ends = df.agg(F.min(F.col(f"`{c}`")).alias("lo"), F.max(F.col(f"`{c}`")).alias("hi")).first()
-        shared = len(os.path.commonprefix([ends["lo"] or "", ends["hi"] or ""]))
-        start = F.substring(F.col(f"`{c}`"), 1, shared + 100).alias("text")
-        drawn = df.filter(F.rand(7) < SPLIT_SHARE).select(start).filter("text IS NOT NULL").distinct()
-        # the smallest hashes are an even draw of the distinct texts; each task sends at most this many
-        found = drawn.orderBy(F.xxhash64("text")).limit(16 * n).collect()
-        texts = sorted((r["text"].encode() for r in found))
-        points = sorted({texts[len(texts) * i // n] for i in range(1, n)}) if texts else []
-        df = df.withColumn(slot, F.expr(_search(f"`{c}`", points, 0, len(points))))
+    target, first = target or ROWS_PER_SLOT, first or slot_count(df)
+    for kind, chosen in ((_Texts, texts), (_Numbers, numbers)):
+        if chosen:
+            coded = df.withColumns({f"code__{i}": kind.code(F.col(f"`{c}`"), types[c]) for i, c in enumerate(chosen)})
+            points = _split_points(coded.select(*[f"code__{i}" for i in range(len(chosen))]), kind, target, first)
+            for i, slot in enumerate(chosen.values()):
+                coded = kind.slot(coded, f"code__{i}", points[i], slot)
+            df = coded.drop(*[f"code__{i}" for i in range(len(chosen))])
     return df
 
 
-def _search(column: str, points: Sequence[bytes], lo: int, hi: int) -> str:
-    """SQL text of a binary search: how many points are at most the value."""
-    if lo == hi:
-        return f"{lo}D"
-    mid = (lo + hi) // 2
-    below, above = _search(column, points, lo, mid), _search(column, points, mid + 1, hi)
-    return f"CASE WHEN {column} < CAST(X'{points[mid].hex()}' AS STRING) THEN {below} ELSE {above} END"
+def _melted_codes(coded: DataFrame, kind, points: Mapping[int, Sequence]) -> DataFrame:
+    """column, slot, code: one row per row and value column."""
+    codes = list(coded.columns)
+    for i, code in enumerate(codes):
+        coded = kind.slot(coded, code, points[i], f"slot__{i}")
+    rows = [F.struct(F.lit(i).alias("column"), F.col(f"slot__{i}").alias("slot"), F.col(c).alias("code")) for i, c in enumerate(codes)]
+    return coded.select(F.inline(F.array(*rows))).filter(F.col("code").isNotNull())
+
+
+def _split_points(coded: DataFrame, kind, target: int, first: int) -> dict[int, list]:
+    """Sorted split points per column, so that slots have at most ``target`` rows or one value."""
+    points: dict[int, list] = {i: [] for i in range(len(coded.columns))}
+    sample = _melted_codes(coded.filter(F.rand(7) < SPLIT_SHARE), kind, points)
+    start = kind.drawn(sample, first).collect()
+    for row in start:
+        points[row["column"]] = sorted({kind.point(p) for p in row["points"] or ()})
+    drawn = [row["n"] for row in start]
+    # a small table needs no second look; its size is told from the draw where that counts rows
+    few = max(drawn) / SPLIT_SHARE < 0.8 * target if drawn and None not in drawn else coded.count() <= target
+    while not few:
+        codes = _melted_codes(coded, kind, points)
+        sizes = codes.groupBy("column", "slot").agg(F.count(F.lit(1)).alias("n"), F.min("code").alias("lo"), F.max("code").alias("hi"))
+        # the driver sees the overfull slots only, of which there are fewer than rows / target
+        full = sizes.filter((F.col("n") > target) & (F.col("lo") < F.col("hi"))).collect()
+        if not full:
+            break
+        starts = {(r["column"], r["slot"]): r["lo"] for r in full}
+        pieces = min(MOST_PIECES, max(2, math.ceil(2 * max(r["n"] for r in full) / target)))
+        share = min(1.0, max(SPLIT_SHARE, SPLIT_ROWS / min(r["n"] for r in full)))
+        overfull = reduce(
+            lambda a, b: a | b,
+            [(F.col("column") == i) & F.col("slot").isin([s for c, s in starts if c == i]) for i in {c for c, _ in starts}],
+        )
+        found = kind.drawn(codes.filter(overfull & (F.rand(11) < share)), pieces).collect()
+        before = sum(map(len, points.values()))
+        for row in found:
+            points[row["column"]] = _with_new_points(points[row["column"]], row["points"], starts[row["column"], row["slot"]], kind)
+        missed = set(starts) - {(r["column"], r["slot"]) for r in found}
+        for column, slot in missed:  # no row of the slot was drawn: its smallest value is told from the others
+            points[column] = _with_new_points(points[column], [starts[column, slot]], starts[column, slot], kind)
+        if sum(map(len, points.values())) == before:
+            break  # values that differ although nothing lies between them
+    return points
+
+
+def _with_new_points(points: Sequence, drawn: Sequence, lo, kind) -> list:
+    """A value that was drawn twice, or the slot's smallest one, gets a slot of its own, so each level gets on."""
+    drawn = list(drawn or ())
+    own = [p for i, p in enumerate(drawn) if p == lo or p in drawn[:i][-1:]]
+    return sorted({*points, *map(kind.point, drawn), *(kind.point(kind.after(p)) for p in own)})
 
 
 def group_join(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
@@ -118,7 +220,7 @@ def null_safe_semi(left: DataFrame, right: DataFrame, columns: Sequence[str]) ->
 
 
 def _over(by: Sequence[str]) -> Window:
-    # only ever used on slot tables: at most MAX_SLOTS + 1 rows per group
+    # only ever used on slot tables, which have one row per slot and group
     return Window.partitionBy(*[F.col(f"`{c}`") for c in by]) if by else Window.partitionBy(F.lit(0))
 
 
@@ -127,16 +229,25 @@ def _running(table: DataFrame, window, names: Sequence[str], suffix: str = "_bef
     return table.withColumns({f"{m}{suffix}": F.coalesce(F.sum(m).over(span), F.lit(0)) for m in names})
 
 
-def _small_or_lazy(wanted: DataFrame) -> DataFrame:
-    """Broadcast the wanted slots if there are few (one job), so the table they select from is not shuffled.
+def small_or_lazy(table: DataFrame) -> DataFrame:
+    """``table`` with a broadcast hint if it is below the session's broadcast threshold (one job), else as it is.
 
-    Without knowing the size beforehand Spark would shuffle the whole table and only then see that one side is
-    tiny. With more than MAX_BROADCAST_ROWS of them, as for a rank per person, the join stays Spark's to choose.
+    Without knowing the size beforehand Spark would shuffle the table on the other side and only then see that this
+    one is tiny.
     """
-    rows = wanted.limit(MAX_BROADCAST_ROWS + 1).collect()
-    if len(rows) > MAX_BROADCAST_ROWS:
-        return wanted
-    return F.broadcast(wanted.sparkSession.createDataFrame(rows, wanted.schema).coalesce(1))
+    threshold = _bytes(table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    width = 16 + sum(64 if isinstance(f.dataType, (T.StringType, T.BinaryType)) else 16 for f in table.schema.fields)
+    rows = table.limit(max(0, threshold // width) + 1).collect() if threshold > 0 else None
+    if rows is None or sum(width + sum(len(v) for v in r if isinstance(v, (str, bytes))) for r in rows) > threshold:
+        return table
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema).coalesce(1))
+
+
+def _bytes(text: str) -> int:
+    """A size setting in bytes."""
+    units = {"b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
+    number = text.strip().lower().rstrip("bkmg")
+    return int(number) << units[text.strip().lower()[len(number) :] or "b"]
 
 
 def values_at_ranks(
@@ -175,7 +286,7 @@ def values_at_ranks(
     wanted = slots.filter((F.col("rank") >= F.col("n_before")) & (F.col("rank") < F.col("n_before") + F.col("n")))
     wanted = wanted.select(*by, slot, "rank_name", "group_size", (F.col("rank") - F.col("n_before")).alias("rank"))
 
-    wanted = _small_or_lazy(wanted)
+    wanted = small_or_lazy(wanted)
     holders = wanted.select(*by, slot)
     inside = group_join(known, holders, [*by, slot], "left_semi")
     counts = inside.groupBy(*by, slot, value).agg(F.count(F.lit(1)).alias("n"))
@@ -239,43 +350,45 @@ def running_totals(
     )
 
 
-def rows_at_ranks(
+def cut_rows(
     df: DataFrame,
     order: Sequence[str],
     ranks: Mapping[str, Callable[[Column], Column]],
     by: Sequence[str] = (),
-) -> list[dict]:
-    """The rows at given 0-based ranks of the order by several columns, found column by column (runs jobs).
+) -> DataFrame:
+    """``(by..., rank_name, order...)``: the rows at given 0-based ranks of the order by several columns (runs jobs).
 
-    Ties on the first column are broken by the next one, and so on; columns not needed to tell the row from
-    all others are None. Returns at most one small dict per group and rank, so ``by`` must be a column with few
-    values, such as a class label.
+    Ties on the first column are broken by the next one, and so on; columns not needed to tell the row from all
+    others are NULL, and ``depth__`` says how many are needed. Rows stay in Spark, so ``by`` may have any number of
+    values; the driver only asks whether ties are left.
     """
     by, order = list(by), list(order)
     narrow = df.select(*by, *order)
-    kinds = {f.name: f.dataType for f in narrow.schema.fields}
-    open_rows = [r.asDict() for r in values_at_ranks(narrow, order[0], ranks, by).collect()]
-    done: list[dict] = []
+    open_rows = settle(values_at_ranks(narrow, order[0], ranks, by))
+    done = []
     for depth in range(1, len(order) + 1):
-        done += [r for r in open_rows if r["n_equal"] == 1 or depth == len(order)]
-        open_rows = [r for r in open_rows if r["n_equal"] > 1 and depth < len(order)]
-        if not open_rows:
+        told = F.lit(depth == len(order)) | (F.col("n_equal") == 1)
+        later = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order[depth:]]
+        done.append(open_rows.filter(told).select(*by, "rank_name", *order[:depth], *later, F.lit(depth).alias("depth__")))
+        open_rows = open_rows.filter(~told)
+        if depth == len(order) or open_rows.isEmpty():
             break
         prefix = [*by, *order[:depth]]
-        ties = reduce(
-            lambda a, b: a | b,
-            [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in prefix]) for r in open_rows],
-        )
-        schema = T.StructType(
-            [T.StructField(c, kinds[c]) for c in prefix]
-            + [T.StructField("rank_name", T.StringType()), T.StructField("rank", T.LongType())]
-        )
-        targets = df.sparkSession.createDataFrame(
-            [(*[r[c] for c in prefix], r["rank_name"], r["rank_in_value"]) for r in open_rows], schema
-        )
-        found = values_at_ranks(narrow.filter(ties), order[depth], by=prefix, targets=targets)
-        open_rows = [r.asDict() for r in found.collect()]
-    return [{c: r.get(c) for c in [*by, "rank_name", *order]} for r in done]
+        targets = open_rows.select(*prefix, "rank_name", F.col("rank_in_value").alias("rank"))
+        ties = null_safe_semi(narrow, small_or_lazy(targets.select(*prefix).distinct()), prefix)
+        open_rows = settle(values_at_ranks(ties, order[depth], by=prefix, targets=targets))
+    return reduce(DataFrame.unionAll, done)
+
+
+def rows_at_ranks(
+    df: DataFrame,
+    order: Sequence[str],
+    ranks: Mapping[str, Callable[[Column], Column]],
+    by: Sequence[str] = (),
+) -> list[dict]:
+    """The rows of :func:`cut_rows` as dicts, for ranks whose number is a parameter; columns not needed are None."""
+    by, order = list(by), list(order)
+    return [{c: r[c] for c in [*by, "rank_name", *order]} for r in cut_rows(df, order, ranks, by).collect()]
 
 
 def at_or_after(order: Sequence[str], row: Mapping) -> Column:
@@ -292,3 +405,12 @@ def at_or_before(order: Sequence[str], row: Mapping) -> Column:
     for c in reversed([c for c in order if row[c] is not None]):
         out = (F.col(c) < F.lit(row[c])) | ((F.col(c) == F.lit(row[c])) & out)
     return out
+
+
+def at_or_before_cut(order: Sequence[str], prefix: str, depth: str) -> Column:
+    """Whether a row is a row of :func:`cut_rows` or comes earlier, with that row's columns beside it as ``prefix`` + name."""
+    out = F.lit(True)
+    for k, c in reversed(list(enumerate(order))):
+        mine, cut = F.col(f"`{c}`"), F.col(f"`{prefix}{c}`")
+        out = (F.col(depth) <= k) | (mine < cut) | ((mine == cut) & out)
+    return out

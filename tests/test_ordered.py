@@ -125,3 +125,68 @@ def test_plan_has_no_window_without_partition(spark):
     plan = ordered.quantiles(df, "v", {"m": 0.5}, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert math.isfinite(len(plan))
+
+
+def slot_sizes(df, target, first):
+    """Rows and distinct values of each slot; the slots' order is checked on the way."""
+    rows = ordered.add_slots(df, {"v": "slot"}, target, first).filter("v IS NOT NULL").collect()
+    rows.sort(key=lambda r: r["v"].encode() if isinstance(r["v"], str) else (r["v"] != r["v"], r["v"]))
+    assert all(a["slot"] <= b["slot"] for a, b in zip(rows, rows[1:]))
+    sizes = {}
+    for r in rows:
+        sizes.setdefault(r["slot"], []).append(r["v"])
+    return [(len(v), len(set(v))) for v in sizes.values()]
+
+
+START = "é" * 200
+UNEVEN = {
+    "texts with a long common beginning and one other": ("string", [START + str(i) for i in range(3000)] + ["z", None]),
+    "a hot text between others": ("string", ["m"] * 1500 + [f"{c}{i}" for i in range(700) for c in "amz"] + ["m\0", ""]),
+    "numbers close together and far outliers": ("double", [i * 1e-12 for i in range(3000)] + [1e300, -1e300, float("inf"), float("-inf"), float("nan")]),
+    "a hot number between others": ("double", [0.5] * 2000 + [i / 1000 for i in range(1000)]),
+    "hot infinities": ("double", [float("inf")] * 900 + [float("-inf")] * 900 + [1.0, 2.0]),
+    "one number": ("bigint", [7] * 1000),
+    "numbers beyond 53 bits": ("bigint", [2**62 + i * 2**40 for i in range(2500)]),
+}
+
+
+@pytest.mark.parametrize("name", UNEVEN)
+def test_slots_are_bounded(spark, name):
+    kind, values = UNEVEN[name]
+    random.Random(1).shuffle(values)
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}").repartition(3)
+    sizes = slot_sizes(df, 100, 2)
+    assert max(n for n, distinct in sizes if distinct > 1 or len(sizes) == 1) <= (100 if name != "one number" else 1000)
+    assert sum(n for n, _ in sizes) == sum(v is not None for v in values)
+
+
+def test_slots_of_several_columns_are_bounded(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(rng.gauss(0, 1) ** 9, START + str(rng.random()), rng.randrange(3)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b string, c int")
+    out = ordered.add_slots(df, {"a": "sa", "b": "sb", "c": "sc"}, 150, 2)
+    for value, slot in (("a", "sa"), ("b", "sb")):
+        assert out.groupBy(slot).count().agg(F.max("count")).first()[0] <= 150
+    assert out.select("c", "sc").distinct().count() == out.select("sc").distinct().count() == 3
+
+
+def test_answers_do_not_depend_on_the_slots(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_SLOT", 40)
+    monkeypatch.setattr(ordered, "FIRST_SLOTS", 2)
+    rows = [(g, v) for _, g, v in sample(1500, 12) if v is not None]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["m"] for r in ordered.quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
+    assert got == {g: pytest.approx(float(np.median([v for h, v in rows if h == g]))) for g in {g for g, _ in rows}}
+    texts = spark.createDataFrame([(START + f"{i:04}",) for i in range(999)], "v string")
+    (hit,) = ordered.values_at_ranks(texts, "v", {"x": lambda n: F.lit(500)}).collect()
+    assert (hit["v"], hit["n_equal"], hit["group_size"]) == (START + "0500", 1, 999)
+
+
+def test_cut_rows_of_many_groups(spark):
+    rows = [(i % 1500, i % 7, i) for i in range(6000)] + [(None, 1, 1), (None, 1, 0)]
+    df = spark.createDataFrame(rows, "g int, a int, id int")
+    got = {r["g"]: r for r in ordered.cut_rows(df, ["a", "id"], {"last": lambda n: n - 1}, ["g"]).collect()}
+    for g in {r[0] for r in rows}:
+        want = max((a, i) for h, a, i in rows if h == g)
+        assert got[g]["a"] == want[0] and got[g]["id"] in (want[1], None)
+    assert got[None]["id"] == 1 and got[None]["depth__"] == 2
