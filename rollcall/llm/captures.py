@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall.llm import warc
-from rollcall.llm.common import kept_table
+from rollcall.llm.common import drop_folder, kept_at, kept_table
 from rollcall.session import fresh_path
 
 #: Fixed values of the format.
@@ -32,11 +32,12 @@ MAIN, SIDE = ("response", "revisit", "resource"), ("request", "metadata")
 DATE = "2020-01-01T00:00:00Z"
 
 
-def planned(pages: DataFrame, least: int, id_column: str, url_column: str, payload_column: str) -> DataFrame:
-    """id, url, payload, rid and, where another row is the response, its head_rid."""
+def planned(pages: DataFrame, path: str, least: int, id_column: str, url_column: str, payload_column: str) -> DataFrame:
+    """id, url, payload, rid and, where another row is the response, its head_rid; the rows are kept at ``path``."""
     payload = F.coalesce(F.col(payload_column).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_column).cast("long").alias("id"), F.col(url_column).alias("url"), payload.alias("payload"))
-    rows = kept_table(rows.withColumns({"rid": F.expr("uuid()"), "same": F.sha2("payload", 256), "bytes": F.octet_length("payload").cast("long")}), "warc-pages")
+    rows = rows.withColumns({"rid": F.expr("uuid()"), "same": F.sha2("payload", 256), "bytes": F.octet_length("payload").cast("long")})
+    rows = kept_at(rows, path, compression="zstd")
     largest = F.max(F.struct("id", "url", "rid")).alias("head")
     heads = rows.where(F.col("bytes") >= least).groupBy("same", "bytes").agg(largest, F.count("*").alias("n")).where("n > 1")
     heads = kept_table(heads.select(F.col("same").alias("of"), F.col("bytes").alias("of_bytes"), "head"), "warc-heads")
@@ -85,7 +86,8 @@ def write_pages(
     """Archives of all pages below ``path``."""
     spark = pages.sparkSession
     warc.register(spark)
-    plan = planned(pages, least, id_column, url_column, payload_column)
+    staged = fresh_path(spark, "warc-pages")
+    plan = planned(pages, staged, least, id_column, url_column, payload_column)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = warc.arrow_schema()
@@ -101,6 +103,7 @@ def write_pages(
                 yield pa.RecordBatch.from_pylist(out, schema)
 
     plan.mapInArrow(made, warc.COLUMNS).write.format("warc").option("roll", roll).mode("append").save(path)
+    drop_folder(spark, staged)  # the archives hold all of it
 
 
 def read_records(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:

@@ -13,8 +13,8 @@ from rollcall.session import fresh_path
 
 #: Blocks of texts that a task works on at once, in bytes.
 BLOCK_BYTES = 4 << 20
-#: Words whose hash a worker remembers.
-REMEMBERED_WORDS = 200_000
+#: Bytes, about, that each memory of a worker may take.
+REMEMBERED_BYTES = 16 << 20
 #: Stands for a null id: it is smaller than no other id.
 NO_ID = (1 << 63) - 1
 
@@ -28,17 +28,27 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
 
     The shuffle files behind it are freed once it is written, so the steps of an operator do not add up on the executors' disks.
     """
+    return kept_at(df, fresh_path(df.sparkSession, name))
+
+
+def kept_at(df: DataFrame, path: str, **options: str) -> DataFrame:
+    """:func:`kept_table` at a path, with options of the Parquet writer."""
     spark = df.sparkSession
-    path = fresh_path(spark, name)
     before = spark.conf.get(FREE_SHUFFLES, None)
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a table that :func:`kept_at` wrote, once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def total_bytes(df: DataFrame, column: str) -> int:
     """Bytes of all texts of a column."""
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
@@ -61,15 +71,29 @@ def named(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return df.select(F.when(~F.col("no_id"), F.col("id")).alias(id_column), *others)
 
 
-class WordValues(dict):
-    """Word to a 64-bit hash, remembered for frequent words."""
+class Remembered(dict):
+    """What was found for frequent keys; it is emptied when it has grown to about REMEMBERED_BYTES, and by ``forget``."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+    held = 0
+
+    def keep(self, key, value):
+        if self.held >= REMEMBERED_BYTES:
+            self.forget()
+        self.held += 200 + len(key)  # a key, a value and their place
+        self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.held = 0
+
+
+class WordValues(Remembered):
+    """Word to a 64-bit hash."""
+
+    def __missing__(self, word: bytes) -> int:
+        return self.keep(word, xxhash.xxh3_64_intdigest(word))
+
 
 _values = WordValues()
 

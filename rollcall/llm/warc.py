@@ -49,7 +49,7 @@ IN_BRACKETS = {"record_id", "concurrent_to", "refers_to", "profile"}
 LIST = "_archives.json"
 #: Bytes of an archive at which the next one begins, and rows or bytes that a reader hands to Spark at once.
 ROLL, ROWS, BATCH = 256 << 20, 2000, 8 << 20
-LEVEL = 6
+LEVEL = 4
 
 
 def sha1_base32(data: bytes) -> str:
