@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,6 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollcall.operators.profile import category_counts
 
 MISSING = "nan"
+#: Stands for NULL among the levels of an index; no text column holds it.
+NO_LEVEL = "\0no level"
 
 
 def level_text(df: DataFrame, column: str) -> Column:
@@ -36,7 +40,7 @@ class _Columns(Params):
     inputCols = Param(Params._dummy(), "inputCols", "categorical columns", TypeConverters.toListString)
     maxLevels = Param(Params._dummy(), "maxLevels", "most levels a column may have", TypeConverters.toInt)
 
-    def _start(self, columns, max_levels=10_000):
+    def _start(self, columns, max_levels=1_000_000):
         self._setDefault(inputCols=[], maxLevels=max_levels)
         if columns is not None:
             self._set(inputCols=list(columns))
@@ -52,26 +56,34 @@ class _Levels(Params):
 class DummyEncoder(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """Learn the levels of categorical columns.
 
-    The model gives one 0/1 column per level and one for missing values, no level left out. A level that was
-    not seen at fit time is zero in all of them.
+    The model gives one 0/1 value per level and one for missing values, no level left out. A level that was
+    not seen at fit time is zero in all of them. With ``output`` they are one sparse vector, whose metadata holds
+    their names, so a row costs as much as it has categorical columns, whatever the number of levels; without, each
+    is a column.
     """
 
-    def __init__(self, columns: list[str] | None = None):
+    outputCol = Param(Params._dummy(), "outputCol", "vector column, or empty for one column per level", TypeConverters.toString)
+
+    def __init__(self, columns: list[str] | None = None, output: str = ""):
         super().__init__()
+        self._setDefault(outputCol="")
         self._start(columns)
+        self._set(outputCol=output)
 
     def _fit(self, dataset: DataFrame) -> "DummyModel":
         columns = self.getOrDefault(self.inputCols)
         levels = level_counts(dataset, columns, self.getOrDefault(self.maxLevels)) if columns else {}
-        return DummyModel({c: list(found) for c, found in levels.items()})
+        return DummyModel({c: list(found) for c, found in levels.items()}, self.getOrDefault(self.outputCol))
 
 
 class DummyModel(Model, _Levels, DefaultParamsReadable, DefaultParamsWritable):
-    def __init__(self, levels: dict[str, list[str]] | None = None):
+    outputCol = Param(Params._dummy(), "outputCol", "vector column, or empty for one column per level", TypeConverters.toString)
+
+    def __init__(self, levels: dict[str, list[str]] | None = None, output: str = ""):
         super().__init__()
-        self._setDefault(levels={})
+        self._setDefault(levels={}, outputCol="")
         if levels is not None:
-            self._set(levels=levels)
+            self._set(levels=levels, outputCol=output)
 
     def dummies(self) -> list[tuple[str, str | None, str]]:
         """Rows ``(column, level or None for missing, output name)`` in output order."""
@@ -88,6 +100,27 @@ class DummyModel(Model, _Levels, DefaultParamsReadable, DefaultParamsWritable):
         return [name for _, _, name in self.dummies()]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        output = self.getOrDefault(self.outputCol)
+        return self._with_vector(dataset, output) if output else self._with_columns(dataset)
+
+    def _with_vector(self, dataset: DataFrame, output: str) -> DataFrame:
+        """A level index per column, then one sparse vector per row."""
+        known, names = self.known(), self.output_names()
+        attributes = {"attrs": {"binary": [{"idx": i, "name": n} for i, n in enumerate(names)]}, "num_attrs": len(names)}
+        if not known:
+            return dataset.withColumn(output, array_to_vector(F.array().cast("array<double>")))
+        texts, places, hits = ([f"{c}__{kind}" for c in known] for kind in ("level", "place", "hit"))
+        rows = dataset.withColumns({t: F.coalesce(level_text(dataset, c), F.lit(NO_LEVEL)) for t, c in zip(texts, known)})
+        # unseen levels come after the last place, which the one-hot encoder leaves out; both work without a job here
+        index = StringIndexerModel.from_arrays_of_labels(
+            [[*found, NO_LEVEL] for found in known.values()], inputCols=texts, outputCols=places, handleInvalid="keep"
+        )
+        placed = index.transform(rows)
+        encoded = OneHotEncoder(inputCols=places, outputCols=hits, dropLast=True).fit(placed).transform(placed)
+        joined = VectorAssembler(inputCols=hits, outputCol=output).transform(encoded)
+        return joined.select(*[F.col(f"`{c}`") for c in dataset.columns if c != output], F.col(output).alias(output, metadata={"ml_attr": attributes}))
+
+    def _with_columns(self, dataset: DataFrame) -> DataFrame:
         columns = []
         for c, level, name in self.dummies():
             text = level_text(dataset, c)

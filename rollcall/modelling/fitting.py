@@ -7,22 +7,27 @@ import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VarianceThresholdSelector, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import CrossValidatorModel
+from pyspark.sql import DataFrame, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from rollcall import DEFAULT_KEY
 from rollcall.modelling.encoder import DummyEncoder, DummyModel
 from rollcall.modelling.evaluator import MacroAUC
 from rollcall.modelling.split import categorical_columns, fold_column
+from rollcall.modelling.stages import GapFiller, VarianceFilter
 from rollcall.operators.columns import columns_of, empty_columns
 
 # Option names of grid files and what they set here.
 IMPUTE = {"mean": "mean", "median": "median", "most_frequent": "mode"}
 MAX_DEPTH = 30  # the deepest tree Spark grows
+LEVELS = "levels__"  # the vector column of the encoder
 
 DEFAULT_GRID = {
     "imputer": {"strategy": ["mean"]},
@@ -44,12 +49,11 @@ class Forest:
 def forest_pipeline(
     train: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], seed: int = 1100
 ) -> Forest:
-    """Label index, dummies, imputation, variance filter and forest.
+    """Label index, dummies, imputation, variance filter and forest as one unfitted pipeline of Spark's own stages.
 
-    The encoder is fitted here once, because the assembler needs its column names; its state then travels in
-    the pipeline model, so scoring cannot encode differently.
+    The encoder is a stage like the others, so it is fitted with them; its state travels in the pipeline model.
     """
-    encoder = DummyEncoder(list(categorical)).fit(train)
+    encoder = DummyEncoder(list(categorical), LEVELS)
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
     imputer = None
     stages: list = [indexer, encoder]
@@ -58,49 +62,67 @@ def forest_pipeline(
         imputer = Imputer(inputCols=list(numeric), outputCols=[f"{c}__known" for c in numeric])
         stages.append(imputer)
         names = [f"{c}__known" for c in numeric]
-    assembler = VectorAssembler(inputCols=names + encoder.output_names(), outputCol="all_features")
+    assembler = VectorAssembler(inputCols=[*names, LEVELS], outputCol="all_features")
     selector = VarianceThresholdSelector(featuresCol="all_features", outputCol="features")
     classifier = RandomForestClassifier(labelCol="label", featuresCol="features", seed=seed)
     return Forest(Pipeline(stages=[*stages, assembler, selector, classifier]), imputer, selector, classifier)
 
 
-def build_grid(forest: Forest, options: Mapping[str, Mapping[str, Sequence]], n_rows: int) -> list[dict]:
-    """Parameter maps from grid options ``{step: {option: values}}``; unknown steps are ignored.
+@dataclass(frozen=True)
+class Point:
+    """One point of the grid: how gaps are filled, what varies enough, and the forest's parameters."""
 
-    Thresholds refer to the population variance, so they are rescaled to the sample variance Spark uses.
-    ``min_samples_split`` m becomes at least ceil(m / 2) rows per node, and depth is capped with a warning.
-    """
-    axes: list[list[tuple]] = []
+    strategy: str = "mean"
+    threshold: float = 0.0
+    forest: tuple[tuple[str, object], ...] = ()
 
-    def axis(param, values):
-        axes.append([(param, v) for v in dict.fromkeys(values)])
 
+def grid_points(options: Mapping[str, Mapping[str, Sequence]]) -> list[Point]:
+    """The points of grid options ``{step: {option: values}}``; unknown steps are ignored, unknown options are an error.
+
+    Thresholds refer to the population variance. ``min_samples_split`` m becomes at least ceil(m / 2) rows per node, and
+    depth is capped with a warning. Points that mean the same are one.
+    """
     known = {"imputer": {"strategy"}, "variancethreshold": {"threshold"}}
     known["randomforestclassifier"] = {"n_estimators", "max_depth", "max_features", "min_samples_split"}
     unknown = [f"{step}.{o}" for step, given in options.items() if step in known for o in given if o not in known[step]]
     if unknown:
         raise ValueError(f"no such grid options: {', '.join(unknown)}")
-    imputing = options.get("imputer", {})
-    if forest.imputer is not None and "strategy" in imputing:
-        axis(forest.imputer.strategy, [IMPUTE[v] for v in imputing["strategy"]])
-    filtering = options.get("variancethreshold", {})
-    if "threshold" in filtering:
-        scale = n_rows / (n_rows - 1) if n_rows > 1 else 1.0
-        axis(forest.selector.varianceThreshold, [float(v) * scale for v in filtering["threshold"]])
+    strategies = [IMPUTE[v] for v in options.get("imputer", {}).get("strategy", ["mean"])]
+    thresholds = [float(v) for v in options.get("variancethreshold", {}).get("threshold", [0.0])]
     growing = options.get("randomforestclassifier", {})
-    rf = forest.classifier
+    axes: list[list[tuple[str, object]]] = []
+
+    def axis(param: str, values) -> None:
+        axes.append([(param, v) for v in dict.fromkeys(values)])
+
     if "n_estimators" in growing:
-        axis(rf.numTrees, [int(v) for v in growing["n_estimators"]])
+        axis("numTrees", [int(v) for v in growing["n_estimators"]])
     if "max_depth" in growing:
         depths = [MAX_DEPTH if v is None else int(v) for v in growing["max_depth"]]  # None: as deep as Spark goes
         if max(depths) > MAX_DEPTH:
-            warnings.warn(f"depths above {MAX_DEPTH} are grown to {MAX_DEPTH}", stacklevel=2)
-        axis(rf.maxDepth, [min(v, MAX_DEPTH) for v in depths])
+            warnings.warn(f"depths above {MAX_DEPTH} are grown to {MAX_DEPTH}", stacklevel=3)
+        axis("maxDepth", [min(v, MAX_DEPTH) for v in depths])
     if "max_features" in growing:
-        axis(rf.featureSubsetStrategy, [str(v) for v in growing["max_features"]])
+        axis("featureSubsetStrategy", [str(v) for v in growing["max_features"]])
     if "min_samples_split" in growing:
-        axis(rf.minInstancesPerNode, [math.ceil(int(v) / 2) for v in growing["min_samples_split"]])
-    return [dict(point) for point in product(*axes)]
+        axis("minInstancesPerNode", [math.ceil(int(v) / 2) for v in growing["min_samples_split"]])
+    return [Point(*front, tuple(forest)) for front in product(dict.fromkeys(strategies), dict.fromkeys(thresholds)) for forest in product(*axes)]
+
+
+def build_grid(forest: Forest, options: Mapping[str, Mapping[str, Sequence]], n_rows: int) -> list[dict]:
+    """:func:`grid_points` as parameter maps of one pipeline, thresholds rescaled to the sample variance of ``n_rows`` rows."""
+    scale = n_rows / (n_rows - 1) if n_rows > 1 else 1.0
+    maps = []
+    for point in grid_points(options):
+        one = {getattr(forest.classifier, name): value for name, value in point.forest}
+        if forest.imputer is not None and "strategy" in options.get("imputer", {}):
+            one[forest.imputer.strategy] = point.strategy
+        if "threshold" in options.get("variancethreshold", {}):
+            one[forest.selector.varianceThreshold] = point.threshold * scale
+        if one not in maps:
+            maps.append(one)
+    return maps
 
 
 def feature_columns(
@@ -130,6 +152,90 @@ def training_rows(train: DataFrame, label: str, key: Sequence[str], folds: int,
     return known.withColumn("fold__", fold_column(key, folds, seed)).repartition(tasks, *key), n
 
 
+@dataclass(frozen=True)
+class Columns:
+    """What a forest learns from."""
+
+    label: str
+    categorical: tuple[str, ...]
+    numeric: tuple[str, ...]
+    seed: int
+
+
+def _encoder(columns: Columns) -> DummyEncoder:
+    return DummyEncoder(list(columns.categorical), LEVELS)
+
+
+def _assembler(columns: Columns) -> VectorAssembler:
+    return VectorAssembler(inputCols=[*[f"{c}__known" for c in columns.numeric], LEVELS], outputCol="all_features")
+
+
+def _classifier(point: Point, columns: Columns) -> RandomForestClassifier:
+    return RandomForestClassifier(labelCol="label", featuresCol="features", seed=columns.seed, **dict(point.forest))
+
+
+def fit_point(rows: DataFrame, columns: Columns, point: Point, index: StringIndexerModel) -> PipelineModel:
+    """All stages of one point, fitted on ``rows`` (with their label index)."""
+    stages = [index, _encoder(columns), GapFiller(columns.numeric, point.strategy), _assembler(columns)]
+    return Pipeline(stages=[*stages, VarianceFilter(point.threshold), _classifier(point, columns)]).fit(rows)
+
+
+def _branches(points: Sequence[Point], part) -> dict:
+    """Points by what a stage needs to know of them, in the order of the grid."""
+    out: dict = {}
+    for p in points:
+        out.setdefault(part(p), []).append(p)
+    return out
+
+
+def _kept(pair: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    return tuple(df.persist(StorageLevel.MEMORY_AND_DISK) for df in pair)
+
+
+def _freed(pair: tuple[DataFrame, DataFrame]) -> None:
+    for df in pair:
+        df.unpersist()
+
+
+def search(
+    rows: DataFrame, columns: Columns, points: Sequence[Point], index: StringIndexerModel, folds: int, parallelism: int, fold: str = "fold__"
+) -> dict[Point, list[float]]:
+    """AUC of each point on each fold, as a tree of stages.
+
+    Points that agree on the first stages share them: in a fold the encoder is fitted once, gaps are filled once per
+    strategy, the variance filter is fitted once per strategy and threshold, and only forests are fitted per point, on
+    vectors that are kept meanwhile. Every stage learns from the fold's training rows alone.
+    """
+    judge = MacroAUC(classes=len(index.labels))
+    indexed = index.transform(rows)
+    scores: dict[Point, list[float]] = {p: [] for p in points}
+
+    def both(stage, pair, *names):
+        return tuple(stage.transform(df).select(*names) for df in pair)
+
+    with ThreadPool(parallelism) as pool:
+        for k in range(folds):
+            parts = (indexed.filter(F.col(fold) != k), indexed.filter(F.col(fold) == k))
+            encoder = _encoder(columns).fit(parts[0])
+            coded = _kept(both(encoder, parts, "label", LEVELS, *[F.col(f"`{c}`") for c in columns.numeric]))
+            for strategy, of_strategy in _branches(points, lambda p: p.strategy).items():
+                filler = GapFiller(columns.numeric, strategy).fit(coded[0])
+                assembler = _assembler(columns)
+                vectors = _kept(tuple(assembler.transform(filler.transform(df)).select("label", "all_features") for df in coded))
+                for threshold, of_threshold in _branches(of_strategy, lambda p: p.threshold).items():
+                    chosen = _kept(both(VarianceFilter(threshold).fit(vectors[0]), vectors, "label", "features"))
+
+                    def judged(point: Point, chosen=chosen) -> float:
+                        return judge.evaluate(_classifier(point, columns).fit(chosen[0]).transform(chosen[1]))
+
+                    for point, auc in zip(of_threshold, pool.map(judged, of_threshold)):
+                        scores[point].append(auc)
+                    _freed(chosen)
+                _freed(vectors)
+            _freed(coded)
+    return scores
+
+
 def fit_forest(
     train: DataFrame,
     label: str = "outcome",
@@ -140,29 +246,22 @@ def fit_forest(
     skip: Sequence[str] = (),
     seed: int = 1100,
 ) -> CrossValidatorModel | PipelineModel:
-    """Search the grid by cross-validated AUC and refit the best point on all training rows.
+    """Search the grid by cross-validated AUC and refit the best point (the first of several) on all training rows.
 
     A grid of one point needs no search and is fitted directly. Rows without a label are left out.
     """
-    rows, n_rows = training_rows(train, label, key, folds, seed)
-    known = rows.persist()
+    points = grid_points(grid)
+    known = training_rows(train, label, key, folds, seed)[0].persist()
     try:
         categorical, numeric = feature_columns(known, label, key, [*skip, "fold__"])
-        forest = forest_pipeline(known, label, categorical, numeric, seed)
-        points = build_grid(forest, grid, n_rows)
+        columns = Columns(label, tuple(categorical), tuple(numeric), seed)
+        index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(known)
         if len(points) == 1:
-            return forest.pipeline.fit(known, points[0])
-        classes = len(label_index(forest.pipeline.getStages()).labels)
-        search = CrossValidator(
-            estimator=forest.pipeline,
-            estimatorParamMaps=points,
-            evaluator=MacroAUC(classes=classes),
-            numFolds=folds,
-            foldCol="fold__",
-            parallelism=parallelism,
-            seed=seed,
-        )
-        return search.fit(known)
+            return fit_point(known, columns, points[0], index)
+        scores = search(known, columns, points, index, folds, parallelism)
+        means = [float(np.mean(scores[p])) for p in points]
+        best = fit_point(known, columns, points[int(np.argmax(means))], index)
+        return CrossValidatorModel(best, avgMetrics=means, stdMetrics=[float(np.std(scores[p])) for p in points])
     finally:
         known.unpersist()
 
@@ -189,8 +288,10 @@ def label_index(stages: Sequence) -> StringIndexerModel:
 
 def encoded_columns(model: CrossValidatorModel | PipelineModel) -> list[str]:
     """Names of the assembled features, before the variance filter."""
-    names = stage_of(model, VectorAssembler).getInputCols()
-    return [n.removesuffix("__known") for n in names]
+    out: list[str] = []
+    for name in stage_of(model, VectorAssembler).getInputCols():
+        out += encoder_of(model).output_names() if name == LEVELS else [name.removesuffix("__known")]
+    return out
 
 
 def encoder_of(model: CrossValidatorModel | PipelineModel) -> DummyModel:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rollcall import DEFAULT_KEY
 from rollcall.modelling.encoder import DummyEncoder, RarePooler
 from rollcall.modelling.evaluator import MacroAUC
-from rollcall.modelling.fitting import feature_columns, training_rows
+from rollcall.modelling.fitting import LEVELS, feature_columns, training_rows
 from rollcall.operators.profile import category_counts
 
 
@@ -52,16 +52,14 @@ def lasso_pipeline(
     rare: float = 0.05,
     max_iter: int = 50,
 ) -> tuple[Pipeline, LogisticRegression]:
-    """Stages fitted on the training rows only. ``unscaled`` columns are imputed but keep their scale."""
-    pooler = RarePooler(list(categorical), rare).fit(train)
-    encoder = DummyEncoder(list(categorical)).fit(pooler.transform(train))
+    """Stages fitted on the training rows only, but for the label index. ``unscaled`` columns are imputed but keep their scale."""
     known = {c: f"{c}__known" for c in numeric}
     stages = [
         StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train),
-        pooler,
-        encoder,
+        RarePooler(list(categorical), rare),
+        DummyEncoder(list(categorical), LEVELS),
     ]
-    inputs = encoder.output_names()
+    inputs = [LEVELS]
     if numeric:
         stages.append(Imputer(strategy="mean", inputCols=list(known), outputCols=list(known.values())))
         scaled = [known[c] for c in numeric if c not in unscaled]

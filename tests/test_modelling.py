@@ -1,8 +1,13 @@
 import math
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from rollcall.modelling import evaluation as measure
@@ -13,6 +18,8 @@ from rollcall.modelling.matrix import scoring_matrix, training_matrix
 from rollcall.modelling.recipe import fit_lasso
 from rollcall.modelling.scoring import class_labels, load_model, save_model, score, with_net_score
 from rollcall.modelling.split import categorical_columns, stratified_split
+from rollcall.modelling.stages import GapFiller, VarianceFilter, typical_values
+from rollcall.operators import ordered
 from rollcall.plans.spec import ModelSpec
 from rollcall.session import fresh_path
 from rollcall.streaming.incremental import daily_run, score_by_cohort, score_stream, stored_predictions
@@ -60,6 +67,72 @@ def test_encoder_names_unseen_and_missing(spark, people, tmp_path):
         encoder.fit(people)
 
 
+def test_vector_of_levels_equals_the_columns(spark, people):
+    wide, sparse = DummyEncoder(["kind", "flag"]).fit(people), DummyEncoder(["kind", "flag"], "v").fit(people)
+    new = people.select("id", "kind", "flag").union(spark.createDataFrame([(-1, "zzz", 1), (-2, None, None), (-3, "", 5)], "id int, kind string, flag int"))
+    names = wide.output_names()
+    out = sparse.transform(new)
+    assert [a["name"] for a in out.schema["v"].metadata["ml_attr"]["attrs"]["binary"]] == names
+    got = {r["id"]: list(r["v"].toArray()) for r in out.collect()}
+    assert got == {r["id"]: [r[n] for n in names] for r in wide.transform(new).collect()}
+    assert out.columns == ["id", "kind", "flag", "v"] and out.first()["v"].numNonzeros() <= 2
+    assert DummyEncoder([], "v").fit(people).transform(people).first()["v"].size == 0
+
+
+def test_many_levels(spark):
+    rows = spark.range(20_000).select(
+        F.col("id").cast("int").alias("id"), F.concat(F.lit("level "), F.col("id")).alias("many"), (F.col("id") % 3).cast("double").alias("x"),
+        F.when(F.col("id") % 3 == 0, "yes").otherwise("no").alias("outcome"),
+    )
+    start = time.perf_counter()
+    fitted = DummyEncoder(["many"], "v").fit(rows)
+    vectors = VectorAssembler(inputCols=["x", "v"], outputCol="features").transform(fitted.transform(rows))
+    labelled = vectors.select((F.col("outcome") == "yes").cast("double").alias("label"), "features")
+    model = LogisticRegression(maxIter=5, regParam=0.01).fit(labelled)
+    assert model.numFeatures == 20_002 and model.coefficients[0] < 0
+    assert time.perf_counter() - start < 90  # a column per level does not get through planning in that time
+
+
+@pytest.mark.parametrize("strategy", ["mean", "median", "mode"])
+def test_typical_values_are_exact(spark, strategy, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_SLOT", 50)
+    rng = random.Random(3)
+    rows = [(rng.choice([None, float("nan"), round(rng.gauss(0, 2), 1), 4.0]), rng.randrange(5) or None, None) for _ in range(401)]
+    found = typical_values(spark.createDataFrame(rows, "a double, b int, c double").repartition(3), ["a", "b", "c"], strategy)
+    for name, values in (("a", [r[0] for r in rows if r[0] is not None and r[0] == r[0]]), ("b", [r[1] for r in rows if r[1] is not None])):
+        want = {"mean": np.mean, "median": np.median, "mode": lambda v: min(set(v), key=lambda x: (-v.count(x), x))}[strategy](values)
+        assert found[name] == pytest.approx(float(want))
+    assert found["c"] is None
+
+
+def test_variance_filter_takes_the_population(spark):
+    rows = spark.createDataFrame([(Vectors.dense([i % 2, 1.0, i]),) for i in range(4)], ["all_features"])
+    assert VarianceFilter(0.0).fit(rows).selectedFeatures == [0, 2]
+    assert VarianceFilter(0.25).fit(rows).selectedFeatures == [2]  # the sample variance of the first is 1/3
+    assert VarianceFilter(0.2499).fit(rows).selectedFeatures == [0, 2]
+    with pytest.raises(ValueError, match="no feature"):
+        VarianceFilter(9.0).fit(rows)
+
+
+def test_search_fits_each_stage_once_per_fold(people, monkeypatch):
+    fits = Counter()
+    for kind in (DummyEncoder, GapFiller, VarianceFilter, RandomForestClassifier):
+        def counted(self, data, kind=kind, fit=kind._fit):
+            fits[kind.__name__] += 1
+            return fit(self, data)
+
+        monkeypatch.setattr(kind, "_fit", counted)
+    grid = {
+        "imputer": {"strategy": ["mean", "median"]},
+        "variancethreshold": {"threshold": [0, 0.01]},
+        "randomforestclassifier": {"n_estimators": [2, 3], "max_depth": [1, 2]},
+    }
+    model = fit_forest(people, "outcome", KEY, grid, folds=2)
+    # the last of each is the refit of the best point
+    assert fits == {"DummyEncoder": 2 + 1, "GapFiller": 2 * 2 + 1, "VarianceFilter": 2 * 4 + 1, "RandomForestClassifier": 2 * 16 + 1}
+    assert len(model.avgMetrics) == len(model.stdMetrics) == 16 and max(model.avgMetrics) > 0.7
+
+
 def test_rare_levels_are_pooled(spark):
     df = spark.createDataFrame([("a",)] * 97 + [("b",)] * 3 + [(None,)], "k string")
     out = RarePooler(["k"], 0.05).fit(df).transform(df)

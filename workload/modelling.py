@@ -1,15 +1,19 @@
 """Splits, encoders, measures, models, explanations and incremental scoring."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame, functions as F
 
 from rollcall.modelling import evaluation as measure
 from rollcall.modelling.encoder import DummyEncoder, RarePooler
 from rollcall.modelling.explain import Background, explain
 from rollcall.modelling.fitting import best_pipeline, encoder_of, fit_forest
-from rollcall.modelling.matrix import training_matrix
+from rollcall.modelling.matrix import scoring_matrix, training_matrix
 from rollcall.modelling.recipe import fit_lasso, near_constant_columns
 from rollcall.modelling.scoring import class_labels, load_model, save_model, score, with_net_score
 from rollcall.modelling.split import categorical_columns, split_stored, stratified_split
+from rollcall.modelling.stages import STRATEGIES, GapFiller, VarianceFilter
 from rollcall.operators.people import top_k_label as label_top
 from rollcall.operators.profile import category_counts
 from rollcall.plans.spec import ModelSpec
@@ -241,14 +245,71 @@ def forest_scores(spark, sf):
     return scored.select("doc_id", "outcome", F.col("predicted_good").between(0, 1).alias("is_probability"))
 
 
+FOLDS = f"""{LABELLED}, folded AS (SELECT doc_id, lang, n_chars, doc_id % 5 AS fold, CASE WHEN doc_id % 10 <> 0 THEN n_chars END AS gappy_chars,
+  CAST(doc_id % 7 AS DOUBLE) AS weekday FROM labelled)"""
+
+
+def folded(spark, sf):
+    gappy = F.when(F.col("doc_id") % 10 != 0, F.col("n_chars")).alias("gappy_chars")
+    return labelled(spark, sf).select("doc_id", "lang", "n_chars", (F.col("doc_id") % 5).alias("fold"), gappy, (F.col("doc_id") % 7).cast("double").alias("weekday"))
+
+
+def of_folds(rows, fitted):
+    """What ``fitted`` learns from the training rows of each fold, as one table."""
+    parts = [fitted(rows.filter(F.col("fold") != k)).withColumn("fold", F.lit(k).cast("long")) for k in range(5)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "imputed_values",
+    f"""WITH {FOLDS}, parts AS (SELECT f.fold, v.* FROM folded v, (SELECT DISTINCT fold FROM folded) f WHERE v.fold <> f.fold),
+long AS (SELECT fold, 'gappy_chars' AS variable, gappy_chars AS x FROM parts UNION ALL SELECT fold, 'weekday', weekday FROM parts),
+counts AS (SELECT fold, variable, x, count(*) AS n FROM long WHERE x IS NOT NULL GROUP BY ALL),
+often AS (SELECT fold, variable, x, row_number() OVER (PARTITION BY fold, variable ORDER BY n DESC, x) AS place FROM counts)
+SELECT fold, variable, 'mean' AS strategy, round(avg(x), 6) AS value FROM long GROUP BY fold, variable
+UNION ALL SELECT fold, variable, 'median', round(quantile_cont(x, 0.5), 6) FROM long GROUP BY fold, variable
+UNION ALL SELECT fold, variable, 'mode', round(x, 6) FROM often WHERE place = 1""",
+)
+def imputed_values(spark, sf):
+    columns = ["gappy_chars", "weekday"]
+
+    def fitted(rows):
+        found = [(c, s, float(v)) for s in STRATEGIES for c, v in GapFiller(columns, s).fit(rows).known().items()]
+        return spark.createDataFrame(found, "variable string, strategy string, value double").withColumn("value", F.round("value", 6))
+
+    return of_folds(folded(spark, sf), fitted)
+
+
+@query(
+    "features_above_variance",
+    f"""WITH {FOLDS}, parts AS (SELECT f.fold, v.* FROM folded v, (SELECT DISTINCT fold FROM folded) f WHERE v.fold <> f.fold),
+long AS (
+  SELECT fold, 'weekday' AS feature, weekday AS x FROM parts
+  {"".join(f" UNION ALL SELECT fold, 'lang_{x}', CAST(lang = '{x}' AS DOUBLE) FROM parts" for x in ("de", "en", "es", "fr"))}
+  UNION ALL SELECT fold, 'lang_nan', 0 FROM parts),
+t(threshold) AS (VALUES (0.0::DOUBLE), (0.1), (0.18), (1.0))
+SELECT fold, threshold, feature FROM long, t GROUP BY ALL HAVING var_pop(x) > threshold""",
+)
+def features_above_variance(spark, sf):
+    def fitted(rows):
+        encoder = DummyEncoder(["lang"], "levels").fit(rows)
+        names = ["weekday", *encoder.output_names()]
+        vectors = VectorAssembler(inputCols=["weekday", "levels"], outputCol="all_features").transform(encoder.transform(rows))
+        found = [(t, names[i]) for t in (0.0, 0.1, 0.18, 1.0) for i in VarianceFilter(t).fit(vectors).selectedFeatures]
+        return spark.createDataFrame(found, "threshold double, feature string")
+
+    return of_folds(folded(spark, sf), fitted)
+
+
 @query("forest_grid_search")
 def forest_grid_search(spark, sf):
     grid = {
-        "imputer": {"strategy": ["mean", "most_frequent"]},
-        "randomforestclassifier": {"n_estimators": [3], "max_depth": [2, 50]},
+        "imputer": {"strategy": ["mean"]},
+        "variancethreshold": {"threshold": [0]},
+        "randomforestclassifier": {"n_estimators": [10, 50], "max_depth": [1, 5], "max_features": ["sqrt"], "min_samples_split": [2]},
     }
     rows = quality_rows(spark, sf)
-    model = fit_forest(rows, "outcome", DOC_KEY, grid, folds=2, parallelism=4)
+    model = fit_forest(rows, "outcome", DOC_KEY, grid, folds=5, parallelism=4)
     return measure.auc(
         score(model, rows, DOC_KEY, "outcome").withColumn("hit", (F.col("outcome") == "good").cast("int")), "hit", "predicted_good"
     ).withColumn("n_points", F.lit(len(model.avgMetrics)))
@@ -304,6 +365,30 @@ def trained(spark, sf, spec, tables):
     return best_pipeline(fit_forest(matrix, "outcome", KEY, SMALL_GRID))
 
 
+MATRIX_SQL = f"""{APPLICATIONS}, {PEOPLE}, members AS (
+  SELECT a.person_id, a.app_id, a.price, a.priority, p.home, p.balance, a.decision, a.app_year, coalesce(p.segment, 'none') AS segment
+  FROM apps a LEFT JOIN people p USING (person_id))"""
+
+
+@query(
+    "training_matrix",
+    f"""WITH {MATRIX_SQL} SELECT person_id, app_id, decision AS outcome, price, priority, home, balance FROM members
+WHERE app_year < 2000 AND segment IN ('BUILDING', 'HOUSEHOLD')""",
+)
+def training_rows_of_a_specification(spark, sf):
+    return training_matrix(specification("a", ["BUILDING", "HOUSEHOLD"]), model_tables(spark, sf), KEY, unique=False)
+
+
+@query(
+    "scoring_matrix",
+    f"""WITH {MATRIX_SQL} SELECT person_id, app_id, price, priority, home, balance FROM members
+WHERE app_year >= 2000 AND segment IN ('BUILDING', 'HOUSEHOLD') AND NOT coalesce(priority = '5-LOW', false)""",
+)
+def scoring_rows_of_a_specification(spark, sf):
+    spec = specification("a", ["BUILDING", "HOUSEHOLD"])
+    return scoring_matrix(spec, model_tables(spark, sf), scored_before(spark, sf, 7), 7, KEY, unique=False)
+
+
 @query(
     "score_new_rows",
     f"""WITH {MODEL_CTE} SELECT person_id, app_id, CAST(7 AS BIGINT) AS algorithm_id, true AS sums_to_one, true AS is_difference
