@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rollcall.operators.profile import category_counts
 
 MISSING = "nan"
-#: Stands for NULL among the levels of an index; no text column holds it.
-NO_LEVEL = "\0no level"
+#: Labels of the index: NULL, and what comes before the text of a level, as a label cannot be empty.
+NO_LEVEL, LEVEL = "none", "="
 
 
 def level_text(df: DataFrame, column: str) -> Column:
@@ -110,12 +110,12 @@ class DummyModel(Model, _Levels, DefaultParamsReadable, DefaultParamsWritable):
         if not known:
             return dataset.withColumn(output, array_to_vector(F.array().cast("array<double>")))
         texts, places, hits = ([f"{c}__{kind}" for c in known] for kind in ("level", "place", "hit"))
-        rows = dataset.withColumns({t: F.coalesce(level_text(dataset, c), F.lit(NO_LEVEL)) for t, c in zip(texts, known)})
-        # unseen levels come after the last place, which the one-hot encoder leaves out; both work without a job here
-        index = StringIndexerModel.from_arrays_of_labels(
-            [[*found, NO_LEVEL] for found in known.values()], inputCols=texts, outputCols=places, handleInvalid="keep"
-        )
-        placed = index.transform(rows)
+        placed = dataset.withColumns({t: F.coalesce(F.concat(F.lit(LEVEL), level_text(dataset, c)), F.lit(NO_LEVEL)) for t, c in zip(texts, known)})
+        # unseen levels come after the last place, which the one-hot encoder leaves out; both work without a job here.
+        # One index per column: arrays of labels of unequal length do not reach the JVM as they are
+        for found, text, place in zip(known.values(), texts, places):
+            labels = [*[LEVEL + level for level in found], NO_LEVEL]
+            placed = StringIndexerModel.from_labels(labels, inputCol=text, outputCol=place, handleInvalid="keep").transform(placed)
         encoded = OneHotEncoder(inputCols=places, outputCols=hits, dropLast=True).fit(placed).transform(placed)
         joined = VectorAssembler(inputCols=hits, outputCol=output).transform(encoded)
         return joined.select(*[F.col(f"`{c}`") for c in dataset.columns if c != output], F.col(output).alias(output, metadata={"ml_attr": attributes}))

@@ -68,6 +68,7 @@ def test_encoder_names_unseen_and_missing(spark, people, tmp_path):
 
 
 def test_vector_of_levels_equals_the_columns(spark, people):
+    people = people.select("id", "kind", "flag").union(spark.createDataFrame([(-9, "", 1), (-8, "none", 1), (-7, "=x", 1)], "id int, kind string, flag int"))
     wide, sparse = DummyEncoder(["kind", "flag"]).fit(people), DummyEncoder(["kind", "flag"], "v").fit(people)
     new = people.select("id", "kind", "flag").union(spark.createDataFrame([(-1, "zzz", 1), (-2, None, None), (-3, "", 5)], "id int, kind string, flag int"))
     names = wide.output_names()
