@@ -96,7 +96,7 @@ class _Texts:
 
     @staticmethod
     def slot(df: DataFrame, code: str, points: Sequence[str], slot: str) -> DataFrame:
-        return df.withColumn(slot, F.expr(_search(f"`{code}`", points)).cast("double"))
+        return df.withColumn(slot, F.expr(search_text(f"`{code}`", [f"CAST(X'{p.encode().hex()}' AS STRING)" for p in points])).cast("double"))
 
     @staticmethod
     def after(point: str) -> str:
@@ -120,14 +120,13 @@ class _Texts:
         return some.groupBy(*at).agg(F.array_sort(F.collect_list("code")).alias("points"), F.lit(None).cast("long").alias("n"))  # at most 2 * pieces
 
 
-def _search(column: str, points: Sequence[str]) -> str:
-    """SQL text of a binary search: how many points are at most the value."""
+def search_text(value: str, points: Sequence[str]) -> str:
+    """SQL text of a binary search: how many of the points (SQL text of sorted values) are at most the value."""
     if not points:
         return "0"
-    known = ", ".join(f"CAST(X'{p.encode().hex()}' AS STRING)" for p in points)
     steps = ", ".join(str(1 << k) for k in reversed(range(len(points).bit_length())))
-    step = f"IF(at + step <= {len(points)} AND get(array({known}), at + step - 1) <= {column}, at + step, at)"
-    return f"CASE WHEN {column} IS NULL THEN 0 ELSE aggregate(array({steps}), 0, (at, step) -> {step}) END"
+    step = f"IF(at + step <= {len(points)} AND get(array({', '.join(points)}), at + step - 1) <= {value}, at + step, at)"
+    return f"CASE WHEN {value} IS NULL THEN 0 ELSE aggregate(array({steps}), 0, (at, step) -> {step}) END"
 
 
 def add_slots(df: DataFrame, slots: Mapping[str, str], target: int | None = None, first: int | None = None) -> DataFrame:

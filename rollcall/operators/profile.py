@@ -6,9 +6,14 @@ taken by a window, so a group with a third of all rows is split by adaptive exec
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import math
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from rollcall.operators.columns import columns_of
 from rollcall.operators.ordered import add_slots, group_join, quantiles
@@ -220,6 +225,20 @@ def missing_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return df.select(*flags).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Rows that centres are taken from. They keep sums of squares small and have no bearing on the answer.
+CENTRE_ROWS = 1000
+#: Bytes of sums that a task holds before it sends them.
+SUMS_BYTES = 64 << 20
+
+
+def _pair_sums(x: np.ndarray) -> np.ndarray:
+    """Six matrices over the rows in which both columns are known: count, sums of the one and the other, their squares and product."""
+    known = ~np.isnan(x)
+    m, v = known.astype(float), np.where(known, x, 0.0)
+    n, first, second = m.T @ m, v.T @ m, (v * v).T @ m
+    return np.stack([n, first, first.T, second, second.T, v.T @ v], 1)
+
+
 def correlations(
     df: DataFrame,
     group: str | Sequence[str] | None = None,
@@ -229,25 +248,52 @@ def correlations(
 ) -> DataFrame:
     """Pearson correlations of the number columns as rows ``(group..., x, y, r)``, full matrix, in one pass.
 
-    Pairs use all rows in which both values are known; ``complete`` uses only rows without any NULL.
+    Pairs use all rows in which both values are known; ``complete`` uses only rows without any NULL. NaN counts as
+    unknown; ``r`` is NULL for pairs without two rows and where a value does not vary. Tasks add up matrices of
+    pairwise sums, so the plan is the same for any number of columns, and send one vector per column and group.
     """
     by = _group(group)
     columns = [c for c in (columns or columns_of(df, "number")) if c not in by]
     if complete:
         df = df.dropna(subset=columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-
-    def known(i: int, j: int) -> Column:
-        a, b = (F.col(f"`{columns[k]}`").cast("double") for k in (i, j))
-        return F.corr(a, b).alias(f"r{i}_{j}")
-
-    wide = df.groupBy(*by).agg(*[known(i, j) for i, j in pairs])
-    rows = []
-    for i, j in pairs:
-        r = F.round(f"r{i}_{j}", digits).alias("r")
-        for a, b in {(i, j), (j, i)}:
-            rows.append(F.struct(F.lit(columns[a]).alias("x"), F.lit(columns[b]).alias("y"), r))
-    return wide.select(*by, F.inline(F.array(*rows)))
+    numbers = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(columns)]
+    # the group travels as text, so that its types stay as they are
+    keys = F.struct(*[F.col(f"`{c}`") for c in by]) if by else F.struct(F.lit(0).alias("all"))
+    rows = df.select(F.to_json(keys).alias("group"), *numbers)
+    some = rows.limit(CENTRE_ROWS).agg(*[F.avg(f"c{i}") for i in range(len(columns))]).first()
+    centre = np.array([0.0 if v is None or not math.isfinite(v) else v for v in some])
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[str, np.ndarray] = {}
+
+        def sent() -> pd.DataFrame:
+            out = [(g, i, s.ravel()) for g, matrix in sums.items() for i, s in enumerate(matrix)]
+            sums.clear()
+            return pd.DataFrame(out, columns=["group", "i", "sums"])
+
+        for b in batches:
+            x = b[[f"c{i}" for i in range(len(columns))]].to_numpy(float) - centre
+            codes, groups = pd.factorize(b["group"])
+            for k, g in enumerate(groups):
+                own = _pair_sums(x[codes == k])
+                sums[g] = sums[g] + own if g in sums else own
+                if len(sums) * own.nbytes >= SUMS_BYTES:
+                    yield sent()
+        yield sent()
+
+    parts = rows.mapInPandas(summed, "group string, i int, sums array<double>")
+    totals = parts.groupBy("group", "i").agg(Summarizer.sum(array_to_vector("sums")).alias("sums"))
+    part = lambda k: F.get("s", F.lit(k * len(columns)) + F.col("j"))
+    n, x, y, xx, yy, xy = (part(k) for k in range(6))
+    # less than rounding leaves is no variation
+    varies = lambda squares, total: F.when(squares - total * total / n > squares * 1e-13, squares - total * total / n).otherwise(0.0)
+    spread = F.sqrt(varies(xx, x)) * F.sqrt(varies(yy, y))
+    r = F.when((n < 2) | (spread == 0), None).otherwise((xy - x * y / n) / spread)
+    one = totals.select("group", "i", vector_to_array("sums").alias("s"), F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))).alias("j"))
+    names = F.array(*[F.lit(c) for c in columns])
+    schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in by] or [T.StructField("all", T.IntegerType())])
+    shown = one.select(F.from_json("group", schema).alias("g"), F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"), F.round(r, digits).alias("r"))
+    return shown.select(*[F.col(f"g.`{c}`").alias(c) for c in by], "x", "y", "r")
 
 
 def histogram(df: DataFrame, column: str, lo: float, hi: float, bins: int = 25) -> DataFrame:

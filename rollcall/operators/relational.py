@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import chain, combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -31,38 +30,43 @@ def not_yet_in(
     """Rows whose key does not occur in ``done``.
 
     By default a NULL in a key matches nothing. ``null_aware`` gives the meaning of SQL ``NOT IN``: a row
-    stays only if it certainly differs from every row of ``done``.
+    stays only if it certainly differs from every row of ``done`` (runs two jobs).
     """
     if not null_aware:
         return df.join(done.select(*key).distinct(), list(key), "left_anti")
     return _certainly_absent(df, done.select(*key).distinct(), list(key))
 
 
-def _subsets(key: list[str]) -> list[tuple[str, ...]]:
-    return list(chain.from_iterable(combinations(key, n) for n in range(len(key) + 1)))
+def null_pattern(key: Sequence[str]) -> Column:
+    """Which of the columns are NULL, as bits: bit i for column i."""
+    bits = [F.when(F.col(f"`{c}`").isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(key)]
+    return reduce(lambda a, b: a + b, bits, F.lit(0).cast("long"))
 
 
-def _known_exactly(key: list[str], known: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [F.col(c).isNotNull() if c in known else F.col(c).isNull() for c in key]
-    )
+def _patterns(df: DataFrame, key: Sequence[str]) -> list[int]:
+    return sorted(r[0] for r in df.select(null_pattern(key)).distinct().collect())
 
 
 def _certainly_absent(df: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
-    # A pair may be equal if it agrees on the columns known on both sides. Per pattern of known columns that
-    # is one hash anti-join, instead of the nested loop a multi-column NOT IN becomes.
+    # A pair may be equal if it agrees on the columns known on both sides. The patterns of NULL that occur are looked
+    # up first (two jobs); rows of one pattern need a hash anti-join for each set of columns that they and some pattern
+    # of ``done`` both know, so keys without NULL need one join, whatever the number of columns
+    mine, theirs = _patterns(df, key), _patterns(done, key)
+    if not theirs:
+        return df
     parts = []
-    for mine in _subsets(key):
-        rest = df.filter(_known_exactly(key, mine))
-        for theirs in _subsets(key):
-            shared = [c for c in key if c in mine and c in theirs]
-            other = done.filter(_known_exactly(key, theirs))
-            if shared:
-                rest = rest.join(other.select(*shared).distinct(), shared, "left_anti")
-            else:
-                rest = rest.filter(other.agg(F.count(F.lit(1)).alias("n")).scalar() == 0)
-        parts.append(rest)
-    return reduce(DataFrame.unionByName, parts)
+    for pattern in mine:
+        by_shared: dict[tuple[str, ...], list[int]] = {}
+        for other in theirs:
+            by_shared.setdefault(tuple(c for i, c in enumerate(key) if not (pattern | other) >> i & 1), []).append(other)
+        if () in by_shared:
+            continue  # some row of ``done`` may equal every row of this pattern
+        rest = df if len(mine) == 1 else df.filter(null_pattern(key) == pattern)
+        for shared, others in by_shared.items():
+            known = done if len(others) == len(theirs) else done.filter(null_pattern(key).isin(others))
+            rest = rest.join(known.select(*shared).distinct(), list(shared), "left_anti")
+        parts.append(rest.select(*[F.col(f"`{c}`") for c in df.columns]))
+    return reduce(DataFrame.unionAll, parts) if parts else df.limit(0)
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str] = DEFAULT_KEY) -> DataFrame:

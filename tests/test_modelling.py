@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rollcall.modelling import evaluation as measure
 from rollcall.modelling.encoder import DummyEncoder, RarePooler
-from rollcall.modelling.explain import Background, explain
+from rollcall.modelling.explain import Background, drawn_level, explain, fills, samples
 from rollcall.modelling.fitting import build_grid, fit_forest, forest_pipeline, stage_names
 from rollcall.modelling.matrix import scoring_matrix, training_matrix
 from rollcall.modelling.recipe import fit_lasso
@@ -210,6 +210,35 @@ def test_explanations_point_at_the_signal(people):
     assert all(math.isfinite(r["weight"]) for r in found.collect())
 
 
+def test_explanations_equal_a_direct_regression(spark, people):
+    rows = people.drop("flag").withColumn("outcome", F.when(F.col("outcome") == "invite", "yes").otherwise("no"))
+    model = fit_forest(rows, "outcome", KEY, SMALL)
+    background = Background.of(rows, ["x", "noise"], ["kind"])
+    some = rows.filter("id < 12").repartition(3)
+    found = explain(model, some, background, n_features=3, n_samples=90, key=KEY).collect()
+    drawn = samples(some, background, 90, KEY, 1100, fills(model))
+    assert fills(model).keys() == {"x", "noise"} and drawn.filter("x IS NULL").count() == 0  # gaps are filled first
+    scored = model.transform(drawn).select("id", "sample__", "kept__", "probability").toPandas()
+    for i, own in scored.groupby("id"):
+        z, y = np.array(own["kept__"].to_list(), float), np.array([p[1] for p in own.probability])
+        assert len(own) == 90 and z[own["sample__"] == 0].all()
+        w = np.sqrt(np.exp(-(3 - z.sum(1)) / 9.0))
+        centred = z - np.average(z, axis=0, weights=w)
+        want = np.linalg.solve((centred * w[:, None]).T @ centred + np.eye(3), (centred * w[:, None]).T @ y)
+        got = {r["feature"]: r["weight"] for r in found if r["id"] == i}
+        assert [got[c] for c in background.features] == pytest.approx(want)
+        assert [r["place"] for r in found if r["id"] == i] == [1, 2, 3]
+
+
+def test_levels_are_drawn_by_their_shares(spark):
+    levels = [(f"level {i}", (i + 1) / 20_000) for i in range(20_000)]
+    start = time.perf_counter()
+    draws = spark.range(5000).select((F.col("id") / 5000).alias("u")).withColumn("level", drawn_level("u", levels)).collect()
+    assert [r["level"] for r in draws] == [f"level {int(r['u'] * 20_000 + 1e-9)}" for r in draws]
+    assert time.perf_counter() - start < 60
+    assert spark.range(1).select(drawn_level("0.5D", [("only", 1.0)]).alias("x")).first()["x"] == "only"
+
+
 @pytest.fixture(scope="module")
 def world(spark, people):
     keys = people.select("id", F.when(F.col("id") < 200, "fit").otherwise("predict").alias("fit_or_predict"), "flag")

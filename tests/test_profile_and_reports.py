@@ -1,5 +1,9 @@
+import time
+
+import numpy as np
+import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from rollcall.functions import rules, values as v
 from rollcall.operators import profile, tabulate
@@ -131,6 +135,31 @@ def test_correlation_needs_two_rows(spark):
     assert got[("a", "x", "y")] is None and got[("b", "x", "y")] == -1.0 and got[("b", "y", "x")] == -1.0
 
 
+def test_correlations_of_many_columns_with_gaps(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 300)) @ rng.normal(size=(300, 300)) * 0.05 + rng.normal(size=300) * 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7] = 0.1  # does not vary
+    rows = [(i % 3 or None, "2020-01-01", *[None if v != v else float(v) for v in row]) for i, row in enumerate(x)]
+    names = [f"c.{i}" for i in range(300)]
+    df = spark.createDataFrame(rows, T.StructType([T.StructField("g", T.IntegerType()), T.StructField("d", T.StringType()), *[T.StructField(n, T.DoubleType()) for n in names]]))
+    df = df.withColumn("d", F.col("d").cast("date")).repartition(4).cache()
+    start = time.perf_counter()
+    got = profile.correlations(df, columns=names, digits=9).collect()
+    assert len(got) == 300 * 300 and time.perf_counter() - start < 60
+    want = pd.DataFrame(x, columns=names).corr(min_periods=2).to_dict()
+    for r in got[::37]:
+        w = None if "c.7" in (r["x"], r["y"]) else want[r["x"]][r["y"]]
+        assert r["r"] == (None if w is None or w != w else pytest.approx(w, abs=1e-6))
+    groups = profile.correlations(df, ["g", "d"], columns=names[:5], digits=9)
+    assert groups.dtypes[:2] == [("g", "int"), ("d", "date")]
+    for g in (None, 1, 2):
+        own = pd.DataFrame(x[[i for i in range(400) if (i % 3 or None) == g], :5], columns=names[:5]).corr().to_dict()
+        mine = groups.filter(F.col("g").eqNullSafe(F.lit(g))).collect()
+        assert len(mine) == 25 and all(r["r"] == pytest.approx(own[r["x"]][r["y"]], abs=1e-6) for r in mine)
+    assert profile.correlations(df.limit(0), columns=names[:2]).collect() == []
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(-1.0,), (-0.99,), (1.0,), (1.1,), (-2.0,), (None,)], "x double")
     got = {r["bin"]: r["n"] for r in profile.histogram(df, "x", -1, 1, 25).collect()}

@@ -37,6 +37,24 @@ def test_null_aware_plan_has_no_nested_loop(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+@pytest.mark.parametrize("columns", [1, 2, 3])
+def test_null_aware_keys_without_null_take_one_join(spark, columns):
+    key = ["a", "b", "c"][:columns]
+    left = spark.range(100).select(*[F.when(F.col("id") >= 0, F.col("id") % 7 + i).alias(c) for i, c in enumerate(key)])
+    out = rel.not_yet_in(left, left.limit(3), key, null_aware=True)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 1
+
+
+def test_null_aware_three_columns_match_not_in(spark):
+    values = [None, 1, 2]
+    left = spark.createDataFrame(list(itertools.product(values, values, values)), "a int, b int, c int")
+    for right in ([(1, None, 2), (2, 2, 2)], [(None, None, 1), (1, 2, None)], [(2, 1, 1)], [(None, None, None)], []):
+        done = spark.createDataFrame(right, "a int, b int, c int")
+        absent = [r for r in itertools.product(values, values, values) if all(any(x is not None and y is not None and x != y for x, y in zip(r, d)) for d in right)]
+        got = rel.not_yet_in(left, done, ["a", "b", "c"], null_aware=True).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(absent, key=str), right
+
+
 def test_star_join_refuses_repeated_keys_and_clashes(spark):
     base = spark.createDataFrame([(1, 1, "x")], "a int, b int, y string")
     block = spark.createDataFrame([(1, 1, 5), (1, 1, 6)], "a int, b int, f int")
