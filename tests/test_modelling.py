@@ -14,6 +14,7 @@ from rollcall.modelling import evaluation as measure
 from rollcall.modelling.encoder import DummyEncoder, RarePooler
 from rollcall.modelling.explain import Background, drawn_level, explain, fills, samples
 from rollcall.modelling.fitting import build_grid, fit_forest, forest_pipeline, stage_names
+from rollcall.modelling.lasso_path import fit_lasso_path, fold_aucs, solve_path
 from rollcall.modelling.matrix import scoring_matrix, training_matrix
 from rollcall.modelling.recipe import fit_lasso
 from rollcall.modelling.scoring import class_labels, load_model, save_model, score, with_net_score
@@ -311,3 +312,52 @@ def test_stream_scores_each_record_once(spark):
     run()
     stored = stored_predictions(spark, root, "id bigint, s double")
     assert sorted(r["id"] for r in stored.collect()) == list(range(10))
+
+
+def planted(spark, n=900, seed=5):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 6)) * np.array([1, 10, 1, 0.1, 1, 1]) + np.array([0, 100, 0, 0, 0, 0])
+    x[:, 5] = 3.0  # does not vary
+    z = 1.6 * x[:, 0] - 0.09 * (x[:, 1] - 100) + 5 * x[:, 3] - 0.3
+    y = (rng.random(n) < 1 / (1 + np.exp(-z))).astype(int)
+    rows = [(row.tolist(), int(t), int(i % 3)) for i, (row, t) in enumerate(zip(x, y))]
+    return x, y, spark.createDataFrame(rows, "x array<double>, y int, fold int").repartition(3).cache()
+
+
+def test_lasso_path_is_optimal_at_every_penalty(spark):
+    x, y, rows = planted(spark)
+    path = solve_path(rows, list("abcdef"), folds=3, penalties=8, lowest=0.02)
+    sd = np.where(x.std(0) > 1e-12, x.std(0), 1)
+    assert path.penalties[0] == pytest.approx(np.abs(((x - x.mean(0)) / sd).T @ (y - y.mean()) / len(y)).max())
+    assert not path.coefficients[0, -1].any() and not path.coefficients[:, :, 5].any()
+    for at, level in enumerate(path.penalties):
+        for m in range(4):
+            mine = np.arange(len(y)) % 3 != m
+            p = 1 / (1 + np.exp(-(path.intercepts[at, m] + x[mine] @ path.coefficients[at, m])))
+            g = ((x[mine] - x.mean(0)) / sd).T @ (y[mine] - p) / mine.sum()
+            used = path.coefficients[at, m] != 0
+            assert abs((y[mine] - p).mean()) < 1e-6
+            assert np.abs(g[used] - level * np.sign(path.coefficients[at, m][used])).max(initial=0) < 1e-5
+            assert (np.abs(g[~used]) <= level + 1e-5).all()
+    entered = [(name, sign) for _, name, sign, _ in path.entries()]
+    assert entered[:3] == [("a", 1), ("b", -1), ("d", 1)]
+    aucs = fold_aucs(rows, path, 3)
+    assert aucs.shape == (8, 3) and aucs[-1].min() > 0.8
+    held = np.arange(len(y)) % 3 == 1
+    s = path.intercepts[4, 1] + x[held] @ path.coefficients[4, 1]
+    pos, neg = s[y[held] == 1], s[y[held] == 0]
+    assert aucs[4, 1] == pytest.approx(np.mean(pos[:, None] > neg[None]), abs=1e-9)
+
+
+def test_fitted_lasso_path(spark, people):
+    rows = people.withColumn("outcome", F.when(F.col("outcome") == "invite", "yes").otherwise("no"))
+    fitted = fit_lasso_path(rows, "outcome", KEY, folds=3, penalties=10)
+    path = fitted.path
+    assert path.entries()[0][1:3] == ("x", 1) and 0 <= path.one_standard_error <= path.best < 10
+    scored = fitted.score(rows, KEY, keep=["outcome"])
+    assert scored.columns == ["id", "outcome", "predicted_yes"]
+    hit = scored.withColumn("hit", (F.col("outcome") == "yes").cast("int"))
+    assert measure.auc(hit, "hit", "predicted_yes").first()[0] > 0.9
+    flat = fitted.score(rows, KEY, at=0).select("predicted_yes").distinct().collect()
+    share = rows.filter("outcome = 'yes'").count() / rows.count()
+    assert flat[0][0] == pytest.approx(share, abs=1e-6)

@@ -9,6 +9,7 @@ from rollcall.modelling import evaluation as measure
 from rollcall.modelling.encoder import DummyEncoder, RarePooler
 from rollcall.modelling.explain import Background, explain
 from rollcall.modelling.fitting import best_pipeline, encoder_of, fit_forest
+from rollcall.modelling.lasso_path import fit_lasso_path, solve_path
 from rollcall.modelling.matrix import scoring_matrix, training_matrix
 from rollcall.modelling.recipe import fit_lasso, near_constant_columns
 from rollcall.modelling.scoring import class_labels, load_model, save_model, score, with_net_score
@@ -330,6 +331,42 @@ def lasso_scores(spark, sf):
     return score(model, test, DOC_KEY, "outcome")
 
 
+PLANTED = """planted AS (
+  SELECT o_orderkey, CAST(o_orderkey % 2 AS DOUBLE) AS odd, CAST(o_orderkey % 3 = 0 AS DOUBLE) AS third, CAST(o_orderkey % 5 = 0 AS DOUBLE) AS fifth,
+    CAST(o_orderkey % 13 AS DOUBLE) AS rest, CAST(4 * (o_orderkey % 2) - 3 * CAST(o_orderkey % 3 = 0 AS INTEGER) + 2 * CAST(o_orderkey % 5 = 0 AS INTEGER)
+      + (o_orderkey * 31) % 101 / 20.0 > 4 AS INTEGER) AS y FROM orders)"""
+
+
+@query(
+    "lasso_path_entries",
+    f"""WITH {PLANTED}, long AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS x, y FROM planted" for c in ("odd", "third", "fifth", "rest"))}),
+g AS (SELECT feature, covar_pop(x, y) / stddev_pop(x) AS slope FROM long GROUP BY feature)
+SELECT CAST(row_number() OVER (ORDER BY abs(slope) DESC) AS INTEGER) AS place, feature, CAST(sign(slope) AS INTEGER) AS sign,
+  round(max(abs(slope)) OVER (), 9) AS largest_penalty FROM g ORDER BY place LIMIT 3""",
+)
+def lasso_path_entries(spark, sf):
+    k = F.col("o_orderkey")
+    flag = lambda c: c.cast("double")
+    noise = (k * 31) % 101 / 20.0
+    hit = 4 * (k % 2) - 3 * (k % 3 == 0).cast("int") + 2 * (k % 5 == 0).cast("int") + noise > 4
+    x = F.array(flag(k % 2), flag(k % 3 == 0), flag(k % 5 == 0), flag(k % 13))
+    rows = load(spark, sf, "orders").select(x.alias("x"), hit.cast("int").alias("y"), F.pmod(F.xxhash64(k), F.lit(5)).cast("int").alias("fold")).persist()
+    path = solve_path(rows, ["odd", "third", "fifth", "rest"], folds=5, penalties=25, lowest=0.05)
+    rows.unpersist()
+    found = [(place, name, sign) for place, name, sign, _ in path.entries() if place <= 3]
+    out = spark.createDataFrame(found, "place int, feature string, sign int")
+    return out.withColumn("largest_penalty", F.round(F.lit(float(path.penalties[0])), 9))
+
+
+@query("lasso_path_scores")
+def lasso_path_scores(spark, sf):
+    rows = quality_rows(spark, sf)
+    fitted = fit_lasso_path(rows, "outcome", DOC_KEY, folds=5, penalties=12)
+    at = F.lit(fitted.path.one_standard_error).alias("place_of_penalty")
+    return fitted.score(rows, DOC_KEY, at=fitted.path.one_standard_error, keep=["outcome"]).select("*", at)
+
+
 MODEL_CTE = f"""{APPLICATIONS}, {PEOPLE}, waiting AS (
   SELECT a.person_id, a.app_id, p.segment FROM apps a JOIN people p USING (person_id)
   WHERE a.app_year >= 2000 AND NOT coalesce(a.priority = '5-LOW', false))"""
