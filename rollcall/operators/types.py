@@ -14,8 +14,18 @@ def parse_dates(column: Column, layouts: Sequence[str]) -> Column:
 
 
 def year_first_timestamp(column: Column) -> Column:
-    """Parse year-first text with any date separator and an optional, possibly shortened time part."""
-    text = F.regexp_replace(F.trim(column), "^(\\d{4})[/.\\- ](\\d{1,2})[/.\\- ](\\d{1,2})(?=$|[T ])", "$1-$2-$3")
+    """Parse year-first text with any date separator or none and an optional, possibly shortened time part.
+
+    The time may have any separator as well (``2018-06-24 12-03-51``), or none after a date without one
+    (``20180624120351``, ``20180624 120351``).
+    """
+    text = F.regexp_replace(F.trim(column), "^(\\d{4})(\\d{2})(\\d{2})(\\d{2})(\\d{2})(\\d{2})$", "$1-$2-$3 $4:$5:$6")
+    text = F.regexp_replace(text, "^(\\d{4})(\\d{2})(\\d{2})(?=$|[T ])", "$1-$2-$3")
+    text = F.regexp_replace(text, "^(\\d{4})[/.\\- ](\\d{1,2})[/.\\- ](\\d{1,2})(?=$|[T ])", "$1-$2-$3")
+    text = F.regexp_replace(text, "^(\\d{4}-\\d{1,2}-\\d{1,2}[T ])(\\d{2})(\\d{2})(\\d{2})?$", "$1$2:$3:$4")
+    text = F.regexp_replace(text, "^(\\d{4}-\\d{1,2}-\\d{1,2}[T ]\\d{1,2})[-.](\\d{1,2})(?=$|[-.])", "$1:$2")
+    text = F.regexp_replace(text, "^(\\d{4}-\\d{1,2}-\\d{1,2}[T ]\\d{1,2}:\\d{1,2})[-.](\\d{1,2})", "$1:$2")
+    text = F.regexp_replace(text, ":$", "")
     whole_hour = F.when(text.rlike("^\\d{4}-\\d{1,2}-\\d{1,2}[T ]\\d{1,2}$"), F.concat(text, F.lit(":00")))
     year_first = text.rlike("^\\d{4}-\\d{1,2}-\\d{1,2}")
     return F.when(year_first, F.coalesce(whole_hour, text).try_cast("timestamp"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rollcall.operators.columns import fix_colnames
+from rollcall.operators.ordered import null_safe_semi
+from rollcall.session import settle
 
 
 def booleans_to_int(df: DataFrame) -> DataFrame:
@@ -84,6 +87,57 @@ def delete_rows(df: DataFrame, condition: Column) -> DataFrame:
     return df.filter(~F.coalesce(condition, F.lit(False)))
 
 
+def _rewrite(df: DataFrame, path: str, condition: Column, change, partitions: Sequence[str]) -> int:
+    hit = df.filter(condition)
+    if not partitions:
+        n = hit.count()
+        if n:
+            settle(change(df)).write.mode("overwrite").parquet(path)
+        return n
+    touched = hit.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n__")).collect()  # one row per touched partition
+    if not touched:
+        return 0
+    keys = df.sparkSession.createDataFrame([tuple(r[p] for p in partitions) for r in touched], df.select(*partitions).schema)
+    kept = settle(change(null_safe_semi(df, F.broadcast(keys), partitions)))
+    replace_partitions(kept, path, partitions)
+    # a partition that lost its last row is not among those that were replaced
+    left = {tuple(r) for r in kept.select(*partitions).distinct().collect()}
+    for r in touched:
+        if tuple(r[p] for p in partitions) not in left:
+            _drop_partition(df.sparkSession, path, {p: r[p] for p in partitions})
+    return sum(r["n__"] for r in touched)
+
+
+def _drop_partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> None:
+    # Spark's writers name partition folders this way
+    folders = ["__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in values.values()]
+    if any(not re.fullmatch(r"[\w.\- ]+", f) for f in folders):
+        raise ValueError(f"no plain folder name for the partition {dict(values)}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{k}={f}" for k, f in zip(values, folders)]]))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def update_table(
+    spark: SparkSession, path: str, schema: str | T.StructType, condition: Column, values: Mapping[str, Column | object], partitions: Sequence[str] = ()
+) -> int:
+    """``UPDATE`` of a stored table in place; returns the number of rows that met the condition.
+
+    Only the partitions that hold such rows are rewritten, from a copy that is complete in the shared folder before the
+    first file is replaced, so a lost executor costs a task. The table has a single writer. Partition columns stay as
+    they are.
+    """
+    if clash := sorted(set(values) & set(partitions)):
+        raise ValueError(f"partition columns cannot be updated: {', '.join(clash)}")
+    df = spark.read.schema(schema).parquet(path)
+    return _rewrite(df, path, condition, lambda rows: update_rows(rows, condition, values), partitions)
+
+
+def delete_from_table(spark: SparkSession, path: str, schema: str | T.StructType, condition: Column, partitions: Sequence[str] = ()) -> int:
+    """``DELETE`` from a stored table in place, as :func:`update_table` does it; returns the number of rows deleted."""
+    df = spark.read.schema(schema).parquet(path)
+    return _rewrite(df, path, condition, lambda rows: delete_rows(rows, condition), partitions)
+
+
 def alter_columns(
     df: DataFrame,
     rename: Mapping[str, str] | None = None,

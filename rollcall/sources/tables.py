@@ -137,12 +137,33 @@ def read_csv_na(
     )
 
 
+def header_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The columns of a CSV's header as text; reads the header only."""
+    header = spark.read.csv(path, header=True, quote='"', escape='"')
+    return T.StructType([T.StructField(c, T.StringType()) for c in header.columns])
+
+
 def read_csv_folder(
-    spark: SparkSession, root: str, schemas: Mapping[str, T.StructType | str], **options
+    spark: SparkSession, root: str, schemas: Mapping[str, T.StructType | str] | None = None, undeclared: str = "text", **options
 ) -> Tables:
-    """One table per CSV file or folder below ``root``, named by the file without ``.csv``."""
+    """One table per CSV file or folder below ``root``, named by the file without ``.csv``.
+
+    A file without a schema is read with its header's columns as text; ``undeclared`` may be ``skip`` or ``error``
+    instead. A schema without a file is an error.
+    """
+    if undeclared not in ("text", "skip", "error"):
+        raise ValueError("undeclared must be 'text', 'skip' or 'error'")
+    schemas = schemas or {}
     found = {re.sub(r"\.csv$", "", n): p for n, p in list_tables(spark, root).items()}
-    return {n: read_csv_na(spark, found[n], schema, **options) for n, schema in schemas.items() if n in found}
+    if missing := sorted(set(schemas) - set(found)):
+        raise FileNotFoundError(f"no files for {', '.join(missing)}")
+    others = sorted(set(found) - set(schemas))
+    if others and undeclared == "error":
+        raise ValueError(f"no schemas for {', '.join(others)}")
+    out = {n: read_csv_na(spark, found[n], schema, **options) for n, schema in schemas.items()}
+    if undeclared == "text":
+        out |= {n: read_csv_na(spark, found[n], header_schema(spark, found[n]), **options) for n in others}
+    return out
 
 
 def stack_columns(tables: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:

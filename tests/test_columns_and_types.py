@@ -120,3 +120,24 @@ def test_binary_times(spark):
     stamps = [dt.datetime(2020, 1, 1), dt.datetime(2021, 1, 1), dt.datetime(2020, 1, 1)]
     df = spark.createDataFrame([(s, i) for i, s in enumerate(stamps)], "t timestamp, n int")
     assert kinds.binary_columns(df) == ["t"]
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("20170724", "2017-07-24 00:00:00"),
+        ("20170724 093005", "2017-07-24 09:30:05"),
+        ("20170724093005", "2017-07-24 09:30:05"),
+        ("2018-06-24 12-03-51", "2018-06-24 12:03:51"),
+        ("2018/6/24 12.03.51", "2018-06-24 12:03:51"),
+        ("2018.06.24T7:03", "2018-06-24 07:03:00"),
+        ("2018-06-24 12-03", "2018-06-24 12:03:00"),
+        ("2018-06-24 12:03:51.25", "2018-06-24 12:03:51.25"),
+        ("20171324", None),
+        ("2017072", None),
+        ("201707241", None),
+    ],
+)
+def test_year_first_layouts(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(kinds.year_first_timestamp(F.col("t")).cast("string").alias("t")).first()["t"]
+    assert got == want

@@ -21,6 +21,8 @@ from rollcall.modelling.scoring import class_labels, load_model, save_model, sco
 from rollcall.modelling.split import categorical_columns, stratified_split
 from rollcall.modelling.stages import GapFiller, VarianceFilter, typical_values
 from rollcall.operators import ordered
+from rollcall.modelling.training import train_model
+from rollcall.plans.registry import empty_registry
 from rollcall.plans.spec import ModelSpec
 from rollcall.session import fresh_path
 from rollcall.streaming.incremental import daily_run, score_by_cohort, score_stream, stored_predictions
@@ -361,3 +363,19 @@ def test_fitted_lasso_path(spark, people):
     flat = fitted.score(rows, KEY, at=0).select("predicted_yes").distinct().collect()
     share = rows.filter("outcome = 'yes'").count() / rows.count()
     assert flat[0][0] == pytest.approx(share, abs=1e-6)
+
+
+def test_training_run(spark, world):
+    root = fresh_path(spark, "training")
+    s, registry = spec("m", "one", "two"), empty_registry(spark)
+    first = train_model(s, world, registry, f"{root}/models", f"{root}/results", SMALL, key=KEY)
+    second = train_model(s, world, first.registry, f"{root}/models", f"{root}/results", SMALL, key=KEY, test=0.5)
+    assert (first.algorithm_id, second.algorithm_id) == (1, 2) and second.registry.count() == 2
+    stored = spark.read.parquet(second.results_path)
+    sizes = {(r["algorithm_id"], r["set"]): r["count"] for r in stored.groupBy("algorithm_id", "set").count().collect()}
+    assert sum(n for (i, _), n in sizes.items() if i == 1) == 200 and sizes[2, "test"] == pytest.approx(100, abs=3) and sizes[1, "test"] == pytest.approx(40, abs=3)
+    matrix = training_matrix(s, world, KEY)
+    again = {r["id"]: r["predicted_invite"] for r in score(load_model(f"{root}/models", 1), matrix, KEY).collect()}
+    assert {r["id"]: r["predicted_invite"] for r in stored.filter("algorithm_id = 1").collect()} == again
+    with pytest.raises(ValueError, match="exists"):
+        train_model(s, world, second.registry, f"{root}/models", f"{root}/results", SMALL, algorithm_id=2, key=KEY)

@@ -68,3 +68,52 @@ def test_renaming_a_catalog_table_and_appending_columns(spark):
     assert sorted((r["id"], r["x"]) for r in stacked.collect() if r["x"]) == [(0, 1), (1, 1)]
     with pytest.raises(ValueError):
         sinks.fix_colnames(spark.createDataFrame([(1, 2)], ["A", "a "[:1]]))
+
+
+STORED = "id int, v double, part int"
+
+
+def stored(spark, rows):
+    path = fresh_path(spark, "stored")
+    spark.createDataFrame(rows, STORED).write.partitionBy("part").parquet(path)
+    return path
+
+
+def rows_at(spark, path):
+    return sorted((tuple(r) for r in spark.read.schema(STORED).parquet(path).collect()), key=str)
+
+
+def test_update_rewrites_only_touched_partitions(spark):
+    path = stored(spark, [(1, 1.0, 1), (2, 2.0, 1), (3, None, 2), (4, 4.0, None)])
+    before = {f for f in spark.read.parquet(path).inputFiles() if "part=2" in f}
+    assert sinks.update_table(spark, path, STORED, (F.col("v") > 1.5) & F.coalesce(F.col("part") != 2, F.lit(True)), {"v": F.col("v") * 10}, ["part"]) == 2
+    assert rows_at(spark, path) == [(1, 1.0, 1), (2, 20.0, 1), (3, None, 2), (4, 40.0, None)]
+    assert {f for f in spark.read.parquet(path).inputFiles() if "part=2" in f} == before
+    assert sinks.update_table(spark, path, STORED, F.col("v") < 0, {"v": 0.0}, ["part"]) == 0
+    with pytest.raises(ValueError, match="partition columns"):
+        sinks.update_table(spark, path, STORED, F.col("id") == 1, {"part": 7}, ["part"])
+
+
+def test_delete_can_empty_a_partition_or_a_table(spark):
+    path = stored(spark, [(1, 1.0, 1), (2, 2.0, 1), (3, None, 2), (4, 4.0, None)])
+    assert sinks.delete_from_table(spark, path, STORED, F.col("part").isNull() | (F.col("id") == 3), ["part"]) == 2
+    assert rows_at(spark, path) == [(1, 1.0, 1), (2, 2.0, 1)]
+    assert sinks.delete_from_table(spark, path, STORED, F.col("v") > 1, ["part"]) == 1
+    assert rows_at(spark, path) == [(1, 1.0, 1)]
+    plain = fresh_path(spark, "plain")
+    spark.createDataFrame([(1, 1.0, 1), (2, None, 1)], STORED).write.parquet(plain)
+    assert sinks.delete_from_table(spark, plain, STORED, F.col("v") > 0) == 1 and rows_at(spark, plain) == [(2, None, 1)]
+    assert sinks.delete_from_table(spark, plain, STORED, F.lit(True)) == 1 and rows_at(spark, plain) == []
+
+
+def test_csv_files_without_a_schema(spark):
+    root = fresh_path(spark, "csv")
+    for name in ("a", "b"):
+        sinks.write_csv(spark.createDataFrame([(1, "NA")], "n int, t string"), f"{root}/{name}.csv")
+    found = t.read_csv_folder(spark, root, {"a": "n int, t string"})
+    assert found["b"].dtypes == [("n", "string"), ("t", "string")] and found["b"].first()["t"] is None
+    assert set(t.read_csv_folder(spark, root, {"a": "n int"}, undeclared="skip")) == {"a"}
+    with pytest.raises(ValueError, match="no schemas for b"):
+        t.read_csv_folder(spark, root, {"a": "n int"}, undeclared="error")
+    with pytest.raises(FileNotFoundError, match="other"):
+        t.read_csv_folder(spark, root, {"other": "n int"})

@@ -15,8 +15,10 @@ from rollcall.modelling.recipe import fit_lasso, near_constant_columns
 from rollcall.modelling.scoring import class_labels, load_model, save_model, score, with_net_score
 from rollcall.modelling.split import categorical_columns, split_stored, stratified_split
 from rollcall.modelling.stages import STRATEGIES, GapFiller, VarianceFilter
+from rollcall.modelling.training import train_model
 from rollcall.operators.people import top_k_label as label_top
 from rollcall.operators.profile import category_counts
+from rollcall.plans.registry import empty_registry
 from rollcall.plans.spec import ModelSpec
 from rollcall.session import fresh_path
 from rollcall.streaming.incremental import score_by_cohort, score_new, score_stream, stored_predictions
@@ -426,6 +428,24 @@ def scoring_rows_of_a_specification(spark, sf):
     return scoring_matrix(spec, model_tables(spark, sf), scored_before(spark, sf, 7), 7, KEY, unique=False)
 
 
+@query(
+    "training_run",
+    f"""WITH {MATRIX_SQL}, cohort AS (SELECT person_id, app_id, decision FROM members WHERE app_year < 2000 AND segment IN ('BUILDING', 'HOUSEHOLD')),
+parts AS ({split_sql("cohort", "decision", "person_id, app_id", "CAST(person_id AS VARCHAR) || '|' || CAST(app_id AS VARCHAR)")})
+SELECT person_id, app_id, decision AS outcome, "set", CAST(1 AS BIGINT) AS algorithm_id, true AS sums_to_one, 'a' AS model,
+  'application.price, application.priority, person.balance, person.home' AS details FROM parts""",
+)
+def training_run(spark, sf):
+    root = fresh_path(spark, "training")
+    run = train_model(
+        specification("a", ["BUILDING", "HOUSEHOLD"]), model_tables(spark, sf), empty_registry(spark), f"{root}/models", f"{root}/results", SMALL_GRID, key=KEY, unique=False
+    )
+    stored = spark.read.parquet(run.results_path).withColumn("algorithm_id", F.col("algorithm_id").cast("long"))
+    total = sum(F.col(f"predicted_{c}") for c in class_labels(load_model(f"{root}/models", run.algorithm_id)))
+    named = run.registry.select(F.col("id").alias("algorithm_id"), F.col("name").alias("model"), F.array_join("details", ", ").alias("details"))
+    return stored.join(named, "algorithm_id").select(*KEY, "outcome", "set", "algorithm_id", (F.abs(total - 1) < 1e-9).alias("sums_to_one"), "model", "details")
+
+
 @query(
     "score_new_rows",
     f"""WITH {MODEL_CTE} SELECT person_id, app_id, CAST(7 AS BIGINT) AS algorithm_id, true AS sums_to_one, true AS is_difference

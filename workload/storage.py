@@ -1,5 +1,6 @@
 """Readers and writers: rows are written to the shared folder and read back."""
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -227,3 +228,63 @@ def model_registry(spark, sf):
 def cut_lineage(spark, sf):
     lines = load(spark, sf, "lineitem")
     return settle(lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity")))
+
+
+@query(
+    "csv_folder_undeclared",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CASE WHEN s_suppkey % 3 > 0 THEN CAST(s_nationkey AS VARCHAR) END AS nation FROM supplier""",
+)
+def csv_folder_undeclared(spark, sf):
+    supplier = load(spark, sf, "supplier")
+    root = fresh_path(spark, "csv")
+    sinks.write_csv(supplier.select("s_suppkey"), f"{root}/declared.csv")
+    nation = F.when(F.col("s_suppkey") % 3 > 0, F.col("s_nationkey").cast("string")).otherwise("N/A").alias("nation")
+    sinks.write_csv(supplier.select("s_suppkey", "s_name", nation), f"{root}/other.csv")
+    return t.read_csv_folder(spark, root, {"declared": "s_suppkey bigint"})["other"]
+
+
+@query(
+    "rename_stored_table",
+    "SELECT n_nationkey, n_name FROM nation",
+)
+def rename_stored_table(spark, sf):
+    old, new = (f"{name}_{uuid.uuid4().hex}" for name in ("before", "after"))
+    load(spark, sf, "nation").select("n_nationkey", "n_name").write.saveAsTable(old)
+    sinks.rename_table(spark, old, new)
+    out = settle(spark.table(new))
+    spark.sql(f"DROP TABLE `{new}`")
+    return out
+
+
+STORED = "app_id bigint, price double, priority string, status string, app_year int"
+
+
+def stored_applications(spark, sf):
+    path = fresh_path(spark, "stored")
+    applications(spark, sf).select("app_id", "price", "priority", "status", "app_year").write.partitionBy("app_year").parquet(path)
+    return path
+
+
+@query(
+    "update_stored_table",
+    f"""WITH {APPLICATIONS} SELECT app_id, app_year, status, CASE WHEN app_year = 1996 AND price > 200000 THEN price / 2 ELSE price END AS price,
+  CASE WHEN app_year = 1996 AND price > 200000 THEN NULL ELSE priority END AS priority FROM apps""",
+)
+def update_stored_table(spark, sf):
+    path = stored_applications(spark, sf)
+    condition = (F.col("app_year") == 1996) & (F.col("price") > 200000)
+    values = {"price": F.col("price") / 2, "priority": F.lit(None).cast("string")}
+    sinks.update_table(spark, path, STORED, condition, values, ["app_year"])
+    return spark.read.schema(STORED).parquet(path)
+
+
+@query(
+    "delete_from_stored_table",
+    f"""WITH {APPLICATIONS} SELECT app_id, price, priority, status, app_year FROM apps
+WHERE NOT coalesce(app_year = 1995 OR (app_year > 1996 AND priority = '5-LOW'), false)""",
+)
+def delete_from_stored_table(spark, sf):
+    path = stored_applications(spark, sf)
+    condition = (F.col("app_year") == 1995) | ((F.col("app_year") > 1996) & (F.col("priority") == "5-LOW"))
+    sinks.delete_from_table(spark, path, STORED, condition, ["app_year"])
+    return spark.read.schema(STORED).parquet(path)
