@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rollcall import DEFAULT_KEY
 from rollcall.functions.rules import differs, not_in_set
 from rollcall.operators.features import bucket_counts_by, level_block, level_trend
 from rollcall.operators.people import latest
 from rollcall.operators.relational import in_keys, star_join
-from rollcall.sources.tables import stack_rows
+from rollcall.sources.sinks import write_table
+from rollcall.sources.tables import TableName, list_tables, names_in_stage, stack_rows
 
 
 def trend_pairs(prefix: str, levels: Sequence[str], names: Sequence[str]) -> dict[str, tuple[str, str]]:
@@ -109,3 +110,38 @@ def feature_blocks(
     """
     chosen = {b: tables[b].drop(*dropped) for b, dropped in features.items()}
     return chosen if keys is None else {b: in_keys(df, keys, key) for b, df in chosen.items()}
+
+
+def outcome_matrices(
+    spark: SparkSession,
+    root: str,
+    feature_sets: Mapping[str, Sequence[str]],
+    key: Sequence[str] = DEFAULT_KEY,
+    identity: str = "deidentified",
+    outcomes: str = "outcome",
+    features: str = "generated",
+    made: str = "model_data",
+    unique: bool = True,
+) -> list[str]:
+    """One stored matrix for each outcome table and feature set; returns their names, ``outcome_set`` in the stage ``made``.
+
+    Outcome and feature tables are those below ``root`` whose names lie in their stages. ``feature_sets`` says by the
+    set's name which feature tables it leaves out. A table that is named but not there is an error, and so is a stage
+    without tables.
+    """
+    paths = list_tables(spark, root)
+    targets, blocks = (names_in_stage(list(paths), identity, status) for status in (outcomes, features))
+    if not targets or not blocks:
+        raise FileNotFoundError(f"no tables in the stage {outcomes if not targets else features}")
+    named = {TableName.parse(n).name: spark.read.parquet(paths[n]) for n in blocks}
+    if unknown := sorted({b for left_out in feature_sets.values() for b in left_out} - set(named)):
+        raise KeyError(f"no feature tables named {', '.join(unknown)}")
+    written = []
+    for target in targets:
+        rows = spark.read.parquet(paths[target])
+        for name, left_out in feature_sets.items():
+            chosen = {b: df for b, df in named.items() if b not in left_out}
+            out = TableName(f"{TableName.parse(target).name}_{name}", identity, made)
+            write_table(design_matrix(rows, chosen, key, unique), f"{root.rstrip('/')}/{out}")
+            written.append(str(out))
+    return written

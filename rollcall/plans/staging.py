@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.functions.values import key_digest
-from rollcall.operators.columns import add_presence_flags, drop_empty_cols, select_by_rules
+from rollcall.operators.columns import (
+    add_presence_flags,
+    drop_empty_cols,
+    empty_columns,
+    fill_values,
+    rename_regex,
+    row_total,
+    select_by_rules,
+    split_code,
+)
 from rollcall.operators.people import first_rows
 from rollcall.sources.tables import map_tables, stack_rows, tables_with_column
 
@@ -46,3 +56,59 @@ def clean_applications(
         rows = rows.filter(rule)
     first = first_rows(rows, person, year, *years)
     return add_presence_flags(drop_empty_cols(first).drop(*drop), flags)
+
+
+@dataclass(frozen=True)
+class SplitCode:
+    """How a summed code is split into two parts; see :func:`split_code`."""
+
+    code: str
+    spread: str
+    pairs: Mapping[int, tuple[int, int]]
+    spread_pairs: Mapping[int, tuple[tuple[int, int], tuple[int, int]]]
+    names: tuple[str, str, str]
+
+
+@dataclass(frozen=True)
+class Fixes:
+    """What is done to one table on its way to the clean stage, in the order of the fields.
+
+    ``rename`` changes column names by regex; ``numbers`` removes a text from a column's values and makes them whole
+    numbers; ``fill`` replaces NULL; ``totals`` adds sums (NULL if a part is); ``split`` splits a code; ``flags`` says of
+    which columns a value is known; ``drop`` removes columns at the end.
+    """
+
+    rename: Mapping[str, str] = field(default_factory=dict)
+    numbers: Mapping[str, str] = field(default_factory=dict)
+    fill: Mapping[str, object] = field(default_factory=dict)
+    totals: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    split: SplitCode | None = None
+    flags: Mapping[str, str] = field(default_factory=dict)
+    drop: Sequence[str] = ()
+
+    def columns(self) -> set[str]:
+        """Columns that the fixes read, by their new names."""
+        split = {self.split.code, self.split.spread} if self.split else set()
+        return {*self.numbers, *self.fill, *(c for parts in self.totals.values() for c in parts), *split, *self.flags.values()}
+
+
+def clean_table(df: DataFrame, fixes: Fixes | None = None) -> DataFrame:
+    """A table without its empty columns and with its fixes (one job). A column that a fix reads stays, also if it is empty."""
+    fixes = fixes or Fixes()
+    out = rename_regex(df, fixes.rename) if fixes.rename else df
+    out = out.drop(*[c for c in empty_columns(out) if c not in fixes.columns()])
+    for c, text in fixes.numbers.items():
+        out = out.withColumn(c, F.replace(F.col(f"`{c}`"), F.lit(text), F.lit("")).try_cast("int"))
+    out = fill_values(out, fixes.fill) if fixes.fill else out
+    out = out.withColumns({name: row_total(parts) for name, parts in fixes.totals.items()}) if fixes.totals else out
+    if fixes.split:
+        s = fixes.split
+        out = split_code(out, s.code, s.spread, s.pairs, s.spread_pairs, s.names)
+    return (add_presence_flags(out, fixes.flags) if fixes.flags else out).drop(*fixes.drop)
+
+
+def clean_tables(tables: Mapping[str, DataFrame], fixes: Mapping[str, Fixes]) -> dict[str, DataFrame]:
+    """Every table of a family cleaned, each with its own fixes; fixes for a table that is not there are an error."""
+    if missing := sorted(set(fixes) - set(tables)):
+        raise KeyError(f"no tables named {', '.join(missing)}")
+    return {name: clean_table(df, fixes.get(name)) for name, df in tables.items()}

@@ -353,3 +353,45 @@ def update_delete(spark, sf):
     changed = update_rows(apps, F.col("priority") == "5-LOW", {"status": "none"})
     left = delete_rows(changed, F.col("priority") == "2-HIGH")
     return alter_columns(left, rename={"app_id": "id"}, retype={"price": "bigint"}, drop=["app_year"])
+
+
+FIXES = {
+    "applications": staging.Fixes(
+        rename={"_high$": ""},
+        numbers={"screener": "Screener "},
+        fill={"first_hrs": 0.0, "second_hrs": 0.0},
+        totals={"hrs": ["first_hrs", "second_hrs"], "price_and_first": ["price", "first_hrs"]},
+        split=staging.SplitCode("code", "spread", {2: (1, 1), 3: (1, 2), 5: (2, 3), 6: (3, 3)}, {4: ((2, 2), (1, 3))}, ("part_a", "part_b", "part_total")),
+        flags={"is_screened": "screener", "is_never": "never"},
+        drop=["spread", "code", "never"],
+    )
+}
+
+
+@query(
+    "clean_stage_fixes",
+    """WITH a AS (
+  SELECT o_orderkey AS app_id, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 4 END AS screener, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price,
+    coalesce(CASE WHEN o_orderkey % 3 = 0 THEN 2.5 END, 0) AS first_hrs, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN 4.0 END, 0) AS second_hrs,
+    CAST(substr(o_orderpriority, 1, 1) AS INTEGER) + 1 AS code, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS spread FROM orders),
+p AS (
+  SELECT *, CASE code WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 4 THEN CASE spread WHEN 0 THEN 2 WHEN 1 THEN 1 END WHEN 5 THEN 2 WHEN 6 THEN 3 END AS part_a,
+    CASE code WHEN 2 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN CASE spread WHEN 0 THEN 2 WHEN 1 THEN 3 END WHEN 5 THEN 3 WHEN 6 THEN 3 END AS part_b FROM a)
+SELECT app_id, CAST(screener AS INTEGER) AS screener, price, CAST(first_hrs AS DOUBLE) AS first_hrs, CAST(second_hrs AS DOUBLE) AS second_hrs,
+  CAST(first_hrs + second_hrs AS DOUBLE) AS hrs, price + first_hrs AS price_and_first, part_a, part_b, part_a + part_b AS part_total,
+  screener IS NOT NULL AS is_screened, false AS is_never FROM p""",
+)
+def clean_stage_fixes(spark, sf):
+    k = F.col("o_orderkey")
+    rows = load(spark, sf, "orders").select(
+        k.alias("app_id"),
+        F.when(k % 4 > 0, F.concat(F.lit("Screener "), (k % 4).cast("string"))).alias("screener"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price_high"),
+        F.when(k % 3 == 0, 2.5).alias("first_hrs"),
+        F.when(k % 5 == 0, 4.0).alias("second_hrs"),
+        (F.substring("o_orderpriority", 1, 1).cast("int") + 1).alias("code"),
+        F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).alias("spread"),
+        F.lit(None).cast("string").alias("never"),
+        F.lit(None).cast("string").alias("unused"),
+    )
+    return staging.clean_tables({"applications": rows, "other": rows}, FIXES)["applications"]

@@ -6,6 +6,9 @@ from rollcall.functions.rules import not_in_set
 from rollcall.operators.features import bucket_counts as count_buckets
 from rollcall.operators.features import level_trend as trend
 from rollcall.plans import cohorts, feature_sets, outcomes
+from rollcall.session import fresh_path
+from rollcall.sources.sinks import write_tables
+from rollcall.sources.tables import TableName, stack_rows
 from workload.inputs import APPLICATIONS, PERSON_YEAR, applications, load
 from workload.registry import query
 
@@ -231,3 +234,29 @@ def program_population(spark, sf):
 def records_without_levels(spark, sf):
     rows = records(spark, sf).filter(not_in_set("grade", ["A", "R"]))
     return rows.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "outcome_matrices",
+    f"""WITH {APPLICATIONS}, base AS (
+  SELECT 'large' AS outcome_name, app_id, app_year, CASE WHEN price > 200000 THEN 'yes' ELSE 'no' END AS outcome FROM apps WHERE app_year >= 1995
+  UNION ALL SELECT 'priority', app_id, app_year, coalesce(priority, 'none') FROM apps WHERE app_year < 1999),
+early AS (SELECT app_id, app_year, price, status FROM apps WHERE app_id % 3 > 0),
+late AS (SELECT app_id, app_year, score FROM apps WHERE app_id % 2 = 0)
+SELECT outcome_name || '_before' AS matrix, app_id, app_year, outcome, price, status, NULL::DOUBLE AS score FROM base LEFT JOIN early USING (app_id, app_year)
+UNION ALL SELECT outcome_name || '_all', app_id, app_year, outcome, price, status, score
+FROM base LEFT JOIN early USING (app_id, app_year) LEFT JOIN late USING (app_id, app_year)""",
+)
+def stored_outcome_matrices(spark, sf):
+    apps, root = applications(spark, sf), fresh_path(spark, "stages")
+    named = {
+        TableName("large", status="outcome"): apps.filter("app_year >= 1995").select(*APP_KEY, F.when(F.col("price") > 200000, "yes").otherwise("no").alias("outcome")),
+        TableName("priority", status="outcome"): apps.filter("app_year < 1999").select(*APP_KEY, F.coalesce("priority", F.lit("none")).alias("outcome")),
+        TableName("early", status="generated"): apps.filter("app_id % 3 > 0").select(*APP_KEY, "price", "status"),
+        TableName("late", status="generated"): apps.filter("app_id % 2 = 0").select(*APP_KEY, "score"),
+        TableName("other", status="clean"): apps.select("app_id"),
+    }
+    write_tables({str(name): df for name, df in named.items()}, root)
+    written = feature_sets.outcome_matrices(spark, root, {"before": ["late"], "all": []}, APP_KEY)
+    parts = {n: spark.read.parquet(f"{root}/{n}").withColumn("matrix", F.lit(TableName.parse(n).name)) for n in written}
+    return stack_rows(*parts.values()).select("matrix", *APP_KEY, "outcome", "price", "status", "score")

@@ -314,3 +314,62 @@ report_part(
     f"""WITH {APPLICATIONS} SELECT 0 AS person_id, 0 AS app_id, 0 AS app_year, 0 AS app_date, 0 AS status,
   CAST(priority IS NULL AS INT) AS priority, 0 AS price, 0 AS "set", count(*) AS n FROM apps GROUP BY ALL""",
 )
+
+
+REPORT = f"""{APPLICATIONS}, r AS (SELECT person_id, app_id, app_year, status, priority, price, score, CAST(price > 200000 AS INTEGER) AS is_large,
+  CASE WHEN priority IS NOT NULL THEN CAST(status = 'P' AS DOUBLE) END AS is_p FROM apps)"""
+REPORT_COLUMNS = ["person_id", "app_id", "app_year", "status", "priority", "price", "score", "is_large", "is_p"]
+REPORT_NUMBERS = ["price", "score", "is_large", "is_p"]
+
+
+def wide_report_part(name: str, sql: str):
+    """A part of the report on a table with flags, Y/N texts and several numbers."""
+
+    @query(f"descriptive_report_{name}", f"WITH {REPORT} {sql}")
+    def run(spark, sf):
+        yes = F.when(F.col("status") == "P", "Y").otherwise("N")
+        rows = applications(spark, sf).select(
+            "person_id", "app_id", "app_year", "status", "priority", "price", "score",
+            (F.col("price") > 200000).cast("int").alias("is_large"), F.when(F.col("priority").isNotNull(), yes).alias("is_p"),
+        )
+        return describe_table(rows, "app_year", ("person_id", "app_id"), digits=6, only=[name])[name]
+
+    run.__module__ = __name__
+    return run
+
+
+REPORT_TYPES = dict(zip(REPORT_COLUMNS, ["bigint", "bigint", "int", "string", "string", "double", "double", "int", "double"]))
+wide_report_part(
+    "variable_types",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, '{t}' AS type, CAST(count(DISTINCT {c}) + (count(*) > count({c}))::INT <= 2 AS INTEGER) AS is_binary FROM r" for c, t in REPORT_TYPES.items()
+    ),
+)
+wide_report_part(
+    "pct_missing",
+    " UNION ALL ".join(
+        f"SELECT app_year, '{c}' AS variable, round(avg(CAST({c} IS NULL AS INTEGER)) * 100, 1) AS pct_missing FROM r GROUP BY app_year" for c in REPORT_COLUMNS if c != "app_year"
+    ),
+)
+wide_report_part(
+    "complete_cases",
+    f"SELECT app_year, avg(CAST({' AND '.join(f'{c} IS NOT NULL' for c in REPORT_COLUMNS)} AS INTEGER)) * 100 AS pct_complete FROM r GROUP BY app_year",
+)
+wide_report_part(
+    "n_distinct",
+    " UNION ALL ".join(f"SELECT '{c}' AS variable, app_year, count(DISTINCT {c}) AS n_distinct FROM r GROUP BY app_year" for c in ("status", "priority")),
+)
+wide_report_part(
+    "correlations",
+    " UNION ALL ".join(f"""SELECT '{x}' AS x, '{y}' AS "y", round(corr({x}, {y}), 6) AS r FROM r""" for x in REPORT_NUMBERS for y in REPORT_NUMBERS),
+)
+wide_report_part(
+    "correlations_by_group",
+    " UNION ALL ".join(f"""SELECT app_year, '{x}' AS x, '{y}' AS "y", round(corr({x}, {y}), 6) AS r FROM r GROUP BY app_year""" for x in REPORT_NUMBERS for y in REPORT_NUMBERS),
+)
+wide_report_part(
+    "binary_shares",
+    """, long AS (SELECT 'is_large' AS variable, app_year, CAST(is_large AS VARCHAR) AS value FROM r UNION ALL SELECT 'is_p', app_year, CAST(is_p AS VARCHAR) FROM r),
+c AS (SELECT variable, app_year, value, count(*) AS n FROM long GROUP BY ALL)
+SELECT *, round(n / sum(n) OVER (PARTITION BY variable, app_year), 6) AS share FROM c""",
+)
