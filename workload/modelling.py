@@ -207,6 +207,19 @@ def confusion_matrix(spark, sf):
     return measure.confusion(rows, "decision", "predicted", ["invite", "hold", "reject", "never"], normalize=True)
 
 
+@query(
+    "confusion_matrix_missing_class",
+    f"""WITH {APPLICATIONS}, p AS (SELECT nullif(decision, 'hold') AS actual, CASE WHEN score > 0.5 THEN 'invite' WHEN score < 0 THEN 'reject' END AS predicted FROM apps),
+c(x) AS (VALUES ('invite'), ('reject')),
+n AS (SELECT actual, predicted, count(*) AS n FROM p GROUP BY ALL)
+SELECT actual, predicted, n FROM n UNION ALL SELECT a.x, b.x, 0 FROM c a, c b WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.actual = a.x AND n.predicted = b.x)""",
+)
+def confusion_matrix_missing_class(spark, sf):
+    predicted = F.when(F.col("score") > 0.5, "invite").when(F.col("score") < 0, "reject")
+    rows = applications(spark, sf).select(F.nullif(F.col("decision"), F.lit("hold")).alias("actual"), predicted.alias("predicted"))
+    return measure.confusion(rows, "actual", "predicted", ["invite", "reject"])
+
+
 @query(
     "hard_labels",
     f"WITH {COARSE} SELECT app_id, CAST(score >= 0.5 AS INTEGER) AS positive FROM scored",

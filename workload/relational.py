@@ -226,6 +226,28 @@ def group_size(spark, sf):
     return persons.with_group_size(load(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_custkey"])
 
 
+@query(
+    "group_size_missing_keys",
+    """WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 3 > 0 THEN o_custkey END AS person, nullif(o_orderpriority, '1-URGENT') AS priority FROM orders)
+SELECT *, count(*) OVER (PARTITION BY person, priority) AS n_rows FROM o""",
+)
+def group_size_missing_keys(spark, sf):
+    person = F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey")).alias("person")
+    rows = load(spark, sf, "orders").select("o_orderkey", person, F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT")).alias("priority"))
+    return persons.with_group_size(rows, ["person", "priority"])
+
+
+@query(
+    "duplicate_rows_missing_keys",
+    """WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 3 > 0 THEN o_custkey END AS person, nullif(o_orderpriority, '1-URGENT') AS priority FROM orders)
+SELECT o_orderkey, person, priority FROM (SELECT *, count(*) OVER (PARTITION BY person, priority) AS n FROM o) WHERE n > 1""",
+)
+def duplicate_rows_missing_keys(spark, sf):
+    person = F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey")).alias("person")
+    rows = load(spark, sf, "orders").select("o_orderkey", person, F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT")).alias("priority"))
+    return rel.duplicate_rows(rows, ["person", "priority"])
+
+
 @query(
     "duplicate_keys",
     "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1",
