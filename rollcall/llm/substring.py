@@ -11,7 +11,8 @@ A word goes if a window that covers it also starts in a document with a smaller
 Windows are compared by 64 bits of one polynomial within shares of another, that is by more bits the more text there is: chance agreement is expected
 for about 2e-7 windows per share.
 
-Null ids count as larger than all others; rows of one id are not compared with each other, and rows of one id with different texts are told apart. Null, empty and
+Null ids count as larger than all others; rows of one id are not compared with each other, and rows of one id with different texts are told
+apart by 64-bit hashes of the texts. Null, empty and
 short texts (under WIDTH words) have no window and are kept. Texts of any length are read whole. An empty table gives an empty result. Other columns are
 not read.
 """
@@ -54,17 +55,17 @@ def to_message(share: int, group: int, ids: np.ndarray, tks: np.ndarray, positio
     steps[runs] = positions[runs]
     n = len(ids)
     steps_of_ids = np.diff(ids[runs].astype(np.uint64), prepend=np.uint64(0))
-    return (share, group, n, hashes, to_planes(steps, 4), to_planes(steps_of_ids, 8), tks[runs].astype("<u4").tobytes(), to_planes(lengths(runs, n), 4))
+    return (share, group, n, hashes, to_planes(steps, 4), to_planes(steps_of_ids, 8), tks[runs].astype("<i8").tobytes(), to_planes(lengths(runs, n), 4))
 
 
 def from_message(r) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """ids, tks and positions of a message."""
-    n = len(r.tks) // 4
+    n = len(r.tks) // 8
     runs = from_planes(r.runs, n, 4).astype(np.int64)
     ids = np.cumsum(from_planes(r.ids, n, 8)).astype(np.int64)
     total = np.cumsum(from_planes(r.steps, r.count, 4).astype(np.int64))
     before = np.concatenate([[0], total[np.cumsum(runs)[:-1] - 1]]) if n else total
-    return np.repeat(ids, runs), np.repeat(np.frombuffer(r.tks, "<u4").astype(np.int64), runs), total - np.repeat(before, runs)
+    return np.repeat(ids, runs), np.repeat(np.frombuffer(r.tks, "<i8"), runs), total - np.repeat(before, runs)
 
 
 def by_key(keys: np.ndarray, among: int) -> np.ndarray:
@@ -187,7 +188,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_c
                 out.append((r.id, r.no_id, len(words), [{"start": a, "end": b} for a, b in spans], kept))
             yield pd.DataFrame(out, columns=["id", "no_id", "n_words", "intervals", "kept"])
 
-    rows = identified(docs, id_column, text_column).withColumn("tk", F.col("tk").bitwiseAND(F.lit(0xFFFFFFFF)))
+    rows = identified(docs, id_column, text_column)
     found = repeated_windows(rows, width)
     joined = rows.join(found, ["id", "tk"], "left").select("id", "no_id", "text", "starts", "ends")
     out = joined.mapInPandas(cut, "id long, no_id boolean, n_words long, intervals array<struct<start:int,end:int>>, kept binary")
