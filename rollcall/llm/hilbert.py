@@ -6,8 +6,9 @@
 3. A query looks at its own window of each curve and at ``reach`` windows on both sides; what the curves find is merged and reranked by the exact measure.
    ``reach`` is the least number at which a sample of PROBES queries finds the wanted share of its true neighbours, which are found by reading all rows in blocks.
 
-The directions' scales are fitted on a bounded sample (SAMPLE points); every row is indexed. Vectors that are null, zero, of another length than the longest, or that hold null or
-non-finite components take no part. Rows of one id are rows of their own. An empty table gives an empty result. Other columns are not read.
+The directions' scales are fitted on a bounded sample (SAMPLE points); every row is indexed. Vectors that are null, zero, or that hold null or non-finite components take no part. Vectors of
+different lengths have no inner product, so each length is searched by itself. Rows of one id are rows of their own: a query leaves out its own row alone. A null id counts as larger than all others.
+Among equal scores the smaller ids come first, however many there are. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.llm.common import kept_table
+from rollcall.llm.common import NO_ID, kept_table
 
 CURVES, DIMENSIONS, BITS = 8, 6, 10
 WINDOW, SAMPLE, PROBES = 1024, 5000, 64
+#: Queries of a window that a task scores at once.
+ASKED = 256
 
 
 def hilbert_index(x: np.ndarray, bits: int) -> np.ndarray:
@@ -84,13 +87,16 @@ def best(scores: np.ndarray, ids: np.ndarray, most: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:most]
 
 
-def distinct_points(rows: DataFrame, id_column: str, vector_column: str, most: int) -> DataFrame:
-    """v (doubles as bytes), ids (the smallest most + 1), n: one row per different vector."""
+def usable(rows: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+    """id, v (array of double) of the rows that take part."""
     v = F.transform(F.col(vector_column), lambda x: x.cast("double"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
-    good = rows.select(F.col(id_column).cast("long").alias("id"), v.alias("v")).where(F.col("v").isNotNull() & F.col("id").isNotNull())
-    good = good.where(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
-    width = good.agg(F.max(F.size("v"))).first()[0] or 0
+    good = rows.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), v.alias("v"))
+    return good.where(F.col("v").isNotNull() & F.forall("v", finite) & F.exists("v", lambda x: x != 0))
+
+
+def distinct_points(good: DataFrame, most: int) -> DataFrame:
+    """v (doubles as bytes), ids (the smallest most + 1), n: one row per different vector."""
     schema = "v binary, ids array<long>, n long"
 
     def shorter(table: pd.DataFrame) -> pd.DataFrame:
@@ -102,7 +108,7 @@ def distinct_points(rows: DataFrame, id_column: str, vector_column: str, most: i
             raw = [(np.asarray(x, np.float64) + 0.0).tobytes() for x in b.v]  # no negative zeros
             yield shorter(pd.DataFrame({"v": raw, "ids": [[i] for i in b.id], "n": 1}))
 
-    parts = good.where(F.size("v") == width).mapInPandas(start, schema)
+    parts = good.mapInPandas(start, schema)
     # each task has sent at most one row for a vector and batch
     return parts.groupBy("v").applyInPandas(shorter, schema)
 
@@ -175,60 +181,81 @@ def search(
     rows: DataFrame, asks, most: int = 20, wanted: float = 0.97, curves: int = CURVES, window: int = WINDOW, probes: int = PROBES, id_column: str = "vec_id", vector_column: str = "embedding"
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (inner product): for each row whose id fulfils ``asks`` (a condition on the column id), its nearest other rows."""
-    points = distinct_points(rows, id_column, vector_column, most)
+    good = usable(rows, id_column, vector_column)
+    out = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    # one row for each length that occurs
+    for length in sorted(r["n"] for r in good.select(F.size("v").alias("n")).distinct().collect()):
+        out = out.unionAll(search_length(good.where(F.size("v") == length), asks, most, wanted, curves, window, probes))
+    return out
+
+
+def search_length(good: DataFrame, asks, most: int, wanted: float, curves: int, window: int, probes: int) -> DataFrame:
+    """:func:`search` among vectors of one length."""
+    points = distinct_points(good, most)
     # queries are told by their own rows, as a point knows its smallest ids only
     points = kept_table(points.withColumn("point", F.xxhash64("v")), "curves-points")
-    good = rows.select(F.col(id_column).cast("long").alias("id"), F.transform(F.col(vector_column), lambda x: x.cast("double")).alias("a")).where(asks)
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"id": b.id, "v": [(np.asarray(x, np.float64) + 0.0).tobytes() for x in b.a]})
+            yield pd.DataFrame({"id": b.id, "v": [(np.asarray(x, np.float64) + 0.0).tobytes() for x in b.v]})
 
-    queries = good.where("a is not null and id is not null").mapInPandas(hashed, "id long, v binary")
+    queries = good.where(F.col("id") != NO_ID).where(asks).mapInPandas(hashed, "id long, v binary")
     queries = kept_table(queries.select("id", F.xxhash64("v").alias("point")), "curves-queries")
     asking = queries.select("point").distinct().withColumn("asks", F.lit(True))
     points = points.join(asking, "point", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
     points = kept_table(points, "curves-points")
     sample = points.orderBy(F.xxhash64("point", F.lit(1))).limit(SAMPLE).select("v").toPandas()
-    out = "query_id long, rank int, vec_id long, score double"
-    if not len(sample):
-        return rows.sparkSession.createDataFrame([], out)
     places = kept_table(placed(points, Curves(vectors(sample.v), curves), curves), "curves-places")
     reach = reach_for(points, places, most, wanted, window, probes)
     indexed = places.join(points.drop("n"), "point").withColumn("w", F.floor(F.col("place") / window).cast("long"))
     near = F.explode(F.sequence(F.col("w") - reach, F.col("w") + reach))
     sides = indexed.select("curve", "w", "point", "v", "ids", F.lit(False).alias("query"))
     sides = sides.unionAll(indexed.where("asks").select("curve", near, "point", "v", "ids", F.lit(True)))
-    found_type = "point long, ids array<long>, scores array<double>"
+    found_type = "point long, of array<long>, ids array<long>, scores array<double>"
+    columns = ["point", "of", "ids", "scores"]
 
     def in_window(table: pd.DataFrame) -> pd.DataFrame:
         base, asked = table[~table["query"]], table[table["query"]]
         if not len(base) or not len(asked):
-            return pd.DataFrame([], columns=["point", "ids", "scores"])
-        x, q = vectors(base.v), vectors(asked.v)
-        ids = base.ids.to_numpy()
+            return pd.DataFrame([], columns=columns)
+        x, ids, names, asking = vectors(base.v), base.ids.to_numpy(), base.point.to_numpy(), asked.point.to_numpy()
         first = np.array([i[0] for i in ids])
-        rough = q @ x.T
-        keep = min(most + 9, len(x))
+        longest = np.sqrt((x * x).sum(1).max())
+        keep = min(most + 1, len(x))
         out = []
-        for k, point in enumerate(asked.point):
-            top = np.argpartition(-rough[k], keep - 1)[:keep]
-            exact = (x[top] * q[k]).sum(1)  # the same sum wherever the pair meets
-            top, exact = (z[best(exact, first[top], most + 1)] for z in (top, exact))
-            own = np.concatenate([ids[t] for t in top])
-            scores = np.repeat(exact, [len(ids[t]) for t in top])
-            own_best = best(scores, own, most + 1)
-            out.append((point, own[own_best], scores[own_best]))
-        return pd.DataFrame(out, columns=["point", "ids", "scores"])
+        for start in range(0, len(asked), ASKED):
+            q = vectors(asked.v.iloc[start : start + ASKED])
+            rough = q @ x.T
+            for k, point in enumerate(asking[start : start + ASKED]):
+                # all that can be among the nearest: the rough scores differ from the exact ones by rounding alone
+                least = np.partition(rough[k], len(x) - keep)[len(x) - keep]
+                top = np.flatnonzero(rough[k] >= least - 1e-9 * longest * np.sqrt(q[k] @ q[k]))
+                exact = (x[top] * q[k]).sum(1)  # the same sum wherever the pair meets
+                top, exact = (z[best(exact, first[top], most + 1)] for z in (top, exact))
+                many = [len(ids[t]) for t in top]
+                own, scores, of = np.concatenate([ids[t] for t in top]), np.repeat(exact, many), np.repeat(names[top], many)
+                own_best = best(scores, own, most + 1)
+                out.append((point, of[own_best], own[own_best], scores[own_best]))
+        return pd.DataFrame(out, columns=columns)
 
     def merged(table: pd.DataFrame) -> pd.DataFrame:
-        ids, scores = np.concatenate(table.ids.to_list()), np.concatenate(table.scores.to_list())
-        ids, where = np.unique(ids, return_index=True)
-        top = best(scores[where], ids, most + 1)
-        return pd.DataFrame({"point": [table.point.iloc[0]], "ids": [ids[top]], "scores": [scores[where][top]]})
+        ids, scores, of = (np.concatenate(table[c].to_list()) for c in ("ids", "scores", "of"))
+        # what several windows found counts once: of each point the ids that one window gave. The nearest of all are in every window's
+        # list that has their point, so a list that was cut lacks none of them
+        window_of = np.repeat(np.arange(len(table)), [len(x) for x in table.ids])
+        order = np.lexsort((window_of, of))
+        new = np.concatenate([[True], of[order][1:] != of[order][:-1]])
+        chosen = np.zeros(len(of), bool)
+        chosen[order] = window_of[order] == window_of[order][np.maximum.accumulate(np.where(new, np.arange(len(of)), 0))]
+        ids, scores, of = ids[chosen], scores[chosen], of[chosen]
+        top = best(scores, ids, most + 1)
+        return pd.DataFrame({"point": [table.point.iloc[0]], "of": [of[top]], "ids": [ids[top]], "scores": [scores[top]]})
 
     found = sides.groupBy("curve", "w").applyInPandas(in_window, found_type).groupBy("point").applyInPandas(merged, found_type)
-    pairs = queries.join(found, "point").select("id", F.arrays_zip("ids", "scores").alias("all"))
-    others = F.filter("all", lambda x: x["ids"] != F.col("id"))
-    ranked = pairs.select(F.col("id").alias("query_id"), F.posexplode(F.slice(others, 1, most)).alias("pos", "x"))
-    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
+    pairs = queries.join(found, "point").select("id", "point", F.arrays_zip("of", "ids", "scores").alias("all"))
+    # the query's own row, once
+    own = F.array_position(F.transform("all", lambda x: (x["ids"] == F.col("id")) & (x["of"] == F.col("point"))), True)
+    others = F.filter("all", lambda x, i: i + 1 != F.col("own"))
+    ranked = pairs.withColumn("own", own).select(F.col("id").alias("query_id"), F.posexplode(F.slice(others, 1, most)).alias("pos", "x"))
+    vec_id = F.when(F.col("x.ids") != NO_ID, F.col("x.ids"))
+    return ranked.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), vec_id.alias("vec_id"), F.col("x.scores").alias("score"))
