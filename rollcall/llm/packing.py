@@ -18,16 +18,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rollcall.llm.common import NO_ID, kept_table, named
+from rollcall.llm.common import NO_ID, Remembered, kept_table, named
 
 CAPACITY = 4096
-#: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
 #: White space of the tokenizer, beside what str.split() takes: these it takes as well, but the tokenizer doesn't.
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 
 
-class WordIds(dict):
+class WordIds(Remembered):
     """The ids of the pieces of a text between white space, as bytes (little-endian, 32 bits), by one tokenizer."""
 
     def __init__(self, path: str) -> None:
@@ -50,8 +48,6 @@ class WordIds(dict):
         return np.asarray([t.id for t in self.tokenizer.model.tokenize(shown)], dtype="<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
         if word[-1] in ".," and word[:-1].isalpha():  # letters and marks are apart for the tokenizer
             ids = self[word[:-1]] + self[word[-1]]
         elif max(word) <= "ÿ" and word != (lower := word.lower()):  # it lowers letters itself
@@ -60,8 +56,7 @@ class WordIds(dict):
             ids = self.of_letters(word)
         else:
             ids = self.encoded(word)
-        self[word] = ids
-        return ids
+        return self.keep(word, ids)
 
     def of(self, text: str) -> bytes:
         if NOT_SPACE.search(text):
@@ -74,9 +69,13 @@ _by_path: dict[str, WordIds] = {}
 
 def word_ids(path: str) -> Callable[[str], bytes]:
     """A function from text to ids, made once in each worker; for tokenizers that lower letters and drop white space."""
+    return tokens(path).of
+
+
+def tokens(path: str) -> WordIds:
     if path not in _by_path:
         _by_path[path] = WordIds(path)
-    return _by_path[path].of
+    return _by_path[path]
 
 
 def cuts(length: int, capacity: int = CAPACITY) -> list[int]:
@@ -99,6 +98,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int
                     out.append((doc, no_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total))
                     start += length
             yield pd.DataFrame(out, columns=["id", "no_id", "start", "length", "ids_crc32", "doc_tokens"])
+        tokens(tokenizer_path).forget()  # the worker may go on with other work
 
     rows = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.col(id_column).isNull().alias("no_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")

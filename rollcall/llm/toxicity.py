@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollcall.llm.common import kept_table
+from rollcall.llm.common import Remembered, kept_table
 
 SAMPLE, FEATURES, WORDS, LEAST_Z, LIFT = 6000, 1 << 18, 2000, 5, 3
 STEPS, RATE, SHRINK = 400, 0.1, 5e-5
@@ -31,7 +31,6 @@ STEPS, RATE, SHRINK = 400, 0.1, 5e-5
 QUIET, HOLD = -7.0, 1e-2
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 WORD = re.compile(r"\w+")
-REMEMBERED = 400_000
 
 
 @dataclass
@@ -41,12 +40,9 @@ class Model:
     weights: dict[int, float] = field(default_factory=dict)
 
 
-class Hashed(dict):
+class Hashed(Remembered):
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        n = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % FEATURES
-        return n
+        return self.keep(word, zlib.crc32(word.encode("utf-8", "surrogatepass")) % FEATURES)
 
 
 _hashed = Hashed()
@@ -56,14 +52,15 @@ def features(text: str) -> set[int]:
     return {_hashed[w] for w in WORD.findall(text.lower())}
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_column: str, label_column: str, size: int) -> DataFrame:
-    """The sampled rows: label and text."""
+def sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str, size: int) -> DataFrame:
+    """The sampled rows: label and text (null: empty)."""
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label")).where("label in (0, 1) and id is not null")
     known = known.withColumn("digest", F.xxhash64("id", F.lit("sample")))
     chosen = known.where("label = 1").orderBy("digest", "id").limit(size).unionAll(known.where("label = 0").orderBy("digest", "id").limit(size))
     chosen = kept_table(chosen.drop("digest"), "toxicity-sample")
     # at most 2 * size rows of two numbers
-    return docs.join(F.broadcast(chosen), F.col(id_column) == F.col("id"))
+    texts = docs.select(F.col(id_column).alias("of"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("of") == F.col("id")).select("label", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", size: int = SAMPLE) -> Model:
@@ -77,8 +74,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
             hit = np.flatnonzero(sums.sum(0))
             yield pd.DataFrame({"feature": hit, "toxic": sums[1, hit], "clean": sums[0, hit]})
 
-    rows = sample(docs, labels, id_column, label_column, size).select("label", F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    rows = kept_table(rows, "toxicity-texts")
+    rows = kept_table(sample(docs, labels, id_column, text_column, label_column, size), "toxicity-texts")
     n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return Model()
@@ -130,18 +126,16 @@ def learned(bags: pd.DataFrame, width: int) -> tuple[float, float, np.ndarray]:
     return float(x[width]), float(1 / (1 + np.exp(-x[width + 1]))), x[:width]
 
 
-class Weights(dict):
-    """Word to weight, remembered."""
+class Weights(Remembered):
+    """Word to weight."""
 
     def __init__(self, weights: dict[int, float]) -> None:
         super().__init__()
         self.weights = weights
 
     def __missing__(self, word: str) -> float:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        w = self[word] = self.weights.get(_hashed[word], 0.0)
-        return w
+        n = zlib.crc32(word.encode("utf-8", "surrogatepass")) % FEATURES
+        return self.keep(word, self.weights.get(n, 0.0))
 
 
 def scorer(model: Model):
