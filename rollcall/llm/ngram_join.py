@@ -10,8 +10,8 @@ A document is the set of its distinct shingles of ``words`` words. Two documents
    of one class already; what survives ties points into clusters.
 4. Each point goes to its cluster once, with its shingles; a cluster of any size is dealt out in chunks. A chunk has an R-tree again, and surviving pairs are verified, but for points
    of one class. So a chunk of linked copies takes about as many checks as copies.
-5. In clusters of several chunks, one point of each class meets the others, and what is then outside the largest class is compared with all chunks of the cluster. Links become
-   components in Spark.
+5. In clusters of several chunks, one point of each class meets the others, and what is then outside the largest class is compared with the chunks that hold a point of another class in one of its
+   cells. Links become components in Spark.
 
 Documents without words are linked with nothing. Null ids count as larger than all others; rows of one id are told apart by their sets. Texts of any length are read whole. An
 empty table gives an empty result. Other columns are not read. Shingles are compared by 64-bit hashes, and so are sets that look for others; equal sets by 128 bits.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rollcall.llm.common import NO_ID, blocks, from_planes, identified, kept_table, mix, named, to_planes, total_bytes, window_hashes, word_values
 from rollcall.llm.graph import components
@@ -174,6 +174,25 @@ def shared_cells(messages: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"cell": np.repeat(name, n)[once].view(np.int64), "x": x[once]})
 
 
+def stars(x: np.ndarray, pairs: list[tuple[int, int]]) -> set[tuple[int, int]]:
+    """What the pairs of places connect, as pairs with the smallest point of each group: many cells of the same points then say the same."""
+    head = list(range(len(x)))
+
+    def top(i: int) -> int:
+        while head[i] != i:
+            head[i] = head[head[i]]
+            i = head[i]
+        return i
+
+    for i, j in pairs:
+        a, b = top(i), top(j)
+        if x[a] > x[b]:
+            a, b = b, a
+        head[b] = a
+    touched = {i for pair in pairs for i in pair}
+    return {(int(x[top(i)]), int(x[i])) for i in touched if top(i) != i}
+
+
 def near_points(num: int, den: int):
     """Of one bucket of cells (cell, x, n, counts): pairs a-b of points that the bound allows, as a forest of each cell."""
 
@@ -187,11 +206,11 @@ def near_points(num: int, den: int):
         for part in np.array_split(two, max(1, len(two) // 20_000)):  # most cells
             overlap = np.minimum(counts[part], counts[part + 1]).sum(1, dtype=np.int64)
             hit = part[overlap * (num + den) >= num * (sizes[part] + sizes[part + 1])]
-            out.update(zip(x[hit].tolist(), x[hit + 1].tolist()))
+            out.update(zip(np.minimum(x[hit], x[hit + 1]).tolist(), np.maximum(x[hit], x[hit + 1]).tolist()))
         for a, size in zip(begin[n > 2], n[n > 2]):
             data = Sets(sizes[a : a + size], counts[a : a + size], np.arange(size), num, den)
             tree = Tree(data, np.arange(size))
-            out.update((int(x[a + i]), int(x[a + j])) for i, j in join(data, tree, tree))
+            out.update(stars(x[a : a + size], list(join(data, tree, tree))))
         return pd.DataFrame(sorted(out), columns=["a", "b"], dtype=np.int64)
 
     return run
@@ -216,16 +235,21 @@ def chunk_links(num: int, den: int):
     return run
 
 
-def cluster_links(members: DataFrame, num: int, den: int, chunk: int) -> DataFrame:
-    """Links a-b that connect what is linked, for members (cluster, node, n, shingles)."""
+def cluster_links(members: DataFrame, cells: DataFrame, num: int, den: int, chunk: int) -> DataFrame:
+    """Links a-b that connect what is linked, for members (cluster, node, n, shingles) and their cells (cell, node)."""
     link = chunk_links(num, den)
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def by_chunk(rows: DataFrame) -> DataFrame:
+        # else the partitioning of a join by cluster serves for the groups, and all chunks of a cluster are in one task
+        return rows.repartition(tasks, "cluster", "chunk").groupBy("cluster", "chunk").applyInPandas(link, "a binary, b binary")
+
     total = members.groupBy("cluster").agg(F.sum("n").alias("total"))
     dealt = members.join(total, "cluster").withColumn("chunks", F.ceil(F.col("total") / chunk).cast("long"))
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
     nothing = F.lit(None).cast("binary")
     parts = dealt.withColumn("side", F.lit(0)).withColumn("class", nothing)
-    schema = "a binary, b binary"
-    found = kept_table(parts.groupBy("cluster", "chunk").applyInPandas(link, schema), "join-links")
+    found = kept_table(by_chunk(parts), "join-links")
     wide = kept_table(dealt.where("chunks > 1").select("cluster", "node", "n", "chunk"), "join-wide")
     if wide.isEmpty():
         return found
@@ -236,16 +260,19 @@ def cluster_links(members: DataFrame, num: int, den: int, chunk: int) -> DataFra
     heads = heads.join(sums, "cluster").withColumn("chunks", F.ceil(F.col("total") / chunk).cast("long"))
     heads = heads.withColumn("chunk", F.pmod(F.xxhash64("node", "total"), F.col("chunks")))
     more = heads.join(payload, ["cluster", "node"]).withColumn("side", F.lit(0)).withColumn("class", nothing)
-    found = kept_table(found.unionAll(more.groupBy("cluster", "chunk").applyInPandas(link, schema)), "join-links")
+    found = kept_table(found.unionAll(by_chunk(more)), "join-links")
     classed = kept_table(classes_of(wide, found), "join-classes")
     sizes = classed.groupBy("cluster", "class").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("cluster").agg(F.max_by("class", F.struct("size", "class")).alias("largest"), F.count("*").alias("left")).where("left > 1").drop("left")
-    classed = classed.join(largest, "cluster")
-    chunks = classed.select("cluster", "chunk").distinct()
-    outside = classed.where(F.col("class") != F.col("largest")).drop("chunk").join(chunks, "cluster").withColumn("side", F.lit(1))
+    classed = kept_table(classed.join(largest, "cluster"), "join-classed")
+    # linked points share a cell, so a point goes only to chunks in which one of its cells has a point of another class
+    in_cells = classed.select("cluster", "node", "chunk", "class", "largest").join(cells, "node")
+    chunks = in_cells.groupBy("cluster", "cell", "chunk").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    asked = in_cells.where(F.col("class") != F.col("largest")).drop("chunk", "largest").join(chunks, ["cluster", "cell"])
+    asked = asked.where("low != class or high != class").select("cluster", "node", "chunk").distinct()
+    outside = classed.where(F.col("class") != F.col("largest")).drop("chunk").join(asked, ["cluster", "node"]).withColumn("side", F.lit(1))
     both = outside.unionByName(classed.withColumn("side", F.lit(0))).join(payload, ["cluster", "node"])
-    last = both.groupBy("cluster", "chunk").applyInPandas(link, schema)
-    return kept_table(found.unionAll(last), "join-links")
+    return kept_table(found.unionAll(by_chunk(both)), "join-links")
 
 
 def classes_of(wide: DataFrame, links: DataFrame) -> DataFrame:
@@ -270,7 +297,7 @@ def classed_rows(docs: DataFrame, words: int, num: int, den: int, id_column: str
     vectors = base.where("counts is not null").groupBy("x").agg(F.min_by("counts", "node").alias("counts"), F.min_by("n", "node").alias("n"))
     buckets = max(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), shares)
     # shares agree on the names, so most cells of a pair fall together before the vectors come to them
-    meet = meet.repartition(F.col("x")).dropDuplicates(["cell", "x"])
+    meet = kept_table(meet.repartition(F.col("x")).dropDuplicates(["cell", "x"]), "join-cells")
     known = meet.join(vectors, "x").withColumn("bucket", F.pmod(F.xxhash64("cell"), F.lit(buckets)))
     near = known.groupBy("bucket").applyInPandas(near_points(num, den), "a long, b long")
     clusters = kept_table(components(near).select(F.col("node").alias("x"), "component"), "join-clusters")
@@ -284,7 +311,8 @@ def classed_rows(docs: DataFrame, words: int, num: int, den: int, id_column: str
     wanted = clusters.join(nodes, "x").select(F.col("component").alias("cluster"), "node", F.col("first.id").alias("id"), F.col("first.tk").alias("tk"))
     texts = rows.select("id", "tk", "text").join(wanted, ["id", "tk"]).select("cluster", "node", "text")
     members = texts.mapInPandas(with_shingles, "cluster long, node binary, n long, shingles binary").dropDuplicates(["node"])
-    links = cluster_links(kept_table(members, "join-members"), num, den, chunk)
+    cells = meet.join(clusters.join(nodes.select("x", "node"), "x").select("x", "node"), "x").select("cell", "node")
+    links = cluster_links(kept_table(members, "join-members"), cells, num, den, chunk)
     joined = components(links).select(F.col("node").alias("m"), "component")
     classed = nodes.join(joined, F.col("node") == F.col("m"), "left").select("node", F.coalesce("component", "node").alias("class"), F.col("first.id").alias("id"))
     least = classed.groupBy("class").agg(F.min("id").alias("least"))
@@ -303,6 +331,8 @@ def one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     own = own.withColumns({"id": F.coalesce(F.col(f"row.`{id_column}`").cast("long"), F.lit(NO_ID)), "tk": F.xxhash64(F.coalesce(F.col(f"row.`{text_column}`"), F.lit("")))})
     joined = own.join(kept, ["id", "tk"])
-    # repeated rows: one of them, too
-    nth = F.row_number().over(Window.partitionBy("id", "tk").orderBy(F.lit(1)))
-    return joined.withColumn("nth", nth).where("nth = 1 or wordless").select("row.*")
+    # of repeated rows one, too, whatever the order they come in: the one with the smallest digest of its other columns
+    others = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in (id_column, text_column)]
+    digest = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    one = joined.where("not wordless").groupBy("id", "tk").agg(F.min_by("row", digest).alias("row"))
+    return one.select("row.*").unionAll(joined.where("wordless").select("row.*"))
