@@ -30,15 +30,15 @@ m AS (
   SELECT d.rid, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
-    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+    CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
   FROM d JOIN lines USING (rid) LEFT JOIN covered USING (rid)),
 f AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-    1000 * n_symbols // greatest(word_chars, 1) AS symbol_rate, 1000 * n_dup_lines // greatest(n_words, 1) AS dup_line_rate,
+    1000 * n_symbols // greatest(word_chars, 1) AS symbol_rate, 1000 * n_dup_lines // greatest(n_lines, 1) AS dup_line_rate,
     1000 * n_repeat_words // greatest(n_words, 1) AS repeat_rate, 100 * word_chars // greatest(n_words, 1) AS word_length FROM m),
 long AS (
   SELECT lang, source, 'symbol_rate' AS k, 50 AS slack, symbol_rate AS x FROM f WHERE NOT base_failed
-  UNION ALL SELECT lang, source, 'dup_line_rate', 100, dup_line_rate FROM f WHERE NOT base_failed
+  UNION ALL SELECT lang, source, 'dup_line_rate', 300, dup_line_rate FROM f WHERE NOT base_failed
   UNION ALL SELECT lang, source, 'repeat_rate', 100, repeat_rate FROM f WHERE NOT base_failed
   UNION ALL SELECT lang, source, 'word_length', 300, word_length FROM f WHERE NOT base_failed),
 shifted AS (SELECT *, greatest(length(bin(x)) - 6, 0) AS s FROM long),

@@ -18,8 +18,8 @@ from rollcall.llm.mixing import SPACE
 SYMBOLS = "#*$%&|<>"
 #: A document fails when a measure exceeds high + REACH * (high - middle) + its slack, the middle and the high quantile of its group.
 MIDDLE, HIGH, REACH = 0.5, 0.9, 3
-#: Measures in thousandths (word length in hundredths) and the slack each gets.
-MEASURES = {"symbol_rate": 50, "dup_line_rate": 100, "repeat_rate": 100, "word_length": 300}
+#: Measures in thousandths (word length in hundredths; duplicate lines are a share of the lines that hold a word) and the slack each gets.
+MEASURES = {"symbol_rate": 50, "dup_line_rate": 300, "repeat_rate": 100, "word_length": 300}
 
 
 def word_list(text: Column) -> Column:
@@ -41,7 +41,7 @@ def repeated_words(words: Column, width: int = 3) -> Column:
 
 
 def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", source_column: str = "source") -> DataFrame:
-    """doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words per row."""
+    """doc_id, lang, source, n_words, n_lines, word_chars, n_symbols, n_dup_lines, n_repeat_words per row."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     df = docs.select(F.col(id_column).alias("doc_id"), F.col(lang_column).alias("lang"), F.col(source_column).alias("source"), text.alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
@@ -51,7 +51,7 @@ def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         "source",
         F.length(F.translate("text", SPACE, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0].cast("long").alias("n_dup_lines"),
+        F.transform(F.array(lines), lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))[0].alias("l"),
         # a lambda's argument is computed once, however often it is used
         F.transform(
             F.array(word_list(F.col("text"))),
@@ -74,16 +74,16 @@ def measured(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         F.array(neighbours),
         lambda p: F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x),
     )[0]
-    return df.select("doc_id", "lang", "source", F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"))
+    counts = [F.col("w.n").alias("n_words"), F.col("l.n").alias("n_lines"), "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines")]
+    return df.select("doc_id", "lang", "source", *counts, covered.alias("n_repeat_words"))
 
 
 def rates(df: DataFrame) -> DataFrame:
     """The measures that are compared within a group, as whole numbers."""
-    words = F.greatest(F.col("n_words"), F.lit(1))
     return df.withColumns(
         {
             "symbol_rate": F.expr("1000 * n_symbols div greatest(word_chars, 1)"),
-            "dup_line_rate": F.expr("1000 * n_dup_lines div greatest(n_words, 1)"),
+            "dup_line_rate": F.expr("1000 * n_dup_lines div greatest(n_lines, 1)"),
             "repeat_rate": F.expr("1000 * n_repeat_words div greatest(n_words, 1)"),
             "word_length": F.expr("100 * word_chars div greatest(n_words, 1)"),
         }
