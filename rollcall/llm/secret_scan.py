@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -39,7 +40,8 @@ LEAST_WEIGHT = 2
 STAND_INS = re.compile(r"^(?:\[.*|\$\{.*|\{\{.*|<.*|%\(.*|x{4,}|\*+|changeme|example.*|your[_-].*|placeholder.*|none|null|true|false|undefined)$", re.I)
 LEX = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
-    r"""|(?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)(?![A-Za-z0-9+/_=-]*[+/][A-Za-z0-9+/]{8})"""
+    # a name gives up its parts between dots only, so that a long run of letters and dashes is looked at once
+    r"""|(?P<name>[A-Za-z_$][\w$]*+(?:-[A-Za-z_$][\w$]*+)*+(?:\.[A-Za-z_$][\w$]*+(?:-[A-Za-z_$][\w$]*+)*+)*)(?![A-Za-z0-9+/_=-]*[+/][A-Za-z0-9+/]{8})"""
     r"""|(?P<assign>:=|=>|=(?!=)|:(?![:/]))"""
     r"""|(?P<plus>\+)"""
     r"""|(?P<end>[\n;,]|\#[^\n]*|//[^\n]*)"""
@@ -130,6 +132,23 @@ def lexed(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
             yield name, places
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans without overlaps that cover the same places."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def taken_at(taken: list[tuple[int, int]], a: int, b: int) -> tuple[int, int] | None:
+    """The last of the sorted spans that overlaps a to b."""
+    at = bisect_left(taken, (b,)) - 1
+    return taken[at] if at >= 0 and taken[at][1] > a else None
+
+
 def find(text: str) -> list[Span]:
     """All spans of a text, by start, then kind."""
     lower = text.lower()
@@ -140,12 +159,12 @@ def find(text: str) -> list[Span]:
             if m.end(2) - m.start(2) >= ASSIGN_LEAST:
                 found.append(Span("assign", m.start(), m.end(), m.start(2), m.end(2)))
     if ("=" in text or ":" in text) and may_name(lower):
-        taken = [(s.start, s.end) for s in found]
+        taken = merged([(s.start, s.end) for s in found])
         for name, places in lexed(text):
             weight = name_weight(name)
             for a, b in places if weight >= LEAST_WEIGHT else ():
-                if weight + make_up(text[a:b]) >= LEAST_SCORE and not any(s < b and a < e for s, e in taken):
-                    taken.append((a, b))
+                if weight + make_up(text[a:b]) >= LEAST_SCORE and taken_at(taken, a, b) is None:
+                    insort(taken, (a, b))
                     found.append(Span("named", a, b, a, b))
     return sorted(found, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
