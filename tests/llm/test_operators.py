@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.llm import chat, graph, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, suffix_dedup, toxicity
 from rollcall.llm.induced import suffix_order
@@ -255,6 +257,33 @@ def test_secrets_of_any_sensitive_name(name):
     assert secret_scan.find(text + "\n# the key") == secret_scan.find(text)
 
 
+def base_spans(text):
+    """The three known forms by the plainest reading of their definition."""
+    out = []
+    for kind, pattern, least, group in (
+        ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2), ("access", r"AKIA[A-Z0-9]+", 18, 0), ("hex", r"[0-9a-f]+", 16, 0)
+    ):
+        flags = re.I | re.A if kind == "assign" else 0
+        out += [(kind, m.start(), m.end()) for m in re.finditer(pattern, text, flags) if len(m[group]) >= least]
+    return sorted(out, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+def test_base_spans_of_a_table(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()
+    odd = ["token=" + "a" * 11, "TOKEN = 'Ab.=-+/_1234'", "AKIA" + "Z" * 13, "xAKIA" + "Z9" * 7, "0" * 15 + "g" + "f" * 16, "apikey:abcdefabcdefabcdef0", "secret=token=abcdefghijkl", "paſſword=abcdefghijkl"]
+    for text in [r.text for r in rows] + odd:
+        assert [(s.kind, s.start, s.end) for s in secret_scan.find(text) if s.kind != "named"] == base_spans(text)
+
+
+@pytest.mark.parametrize(
+    "text", ["token: x; " + "a" * 400_000 + "/abcdefghi", "token: x; " + "a-" * 200_000 + "b/abcdefghi", "token: x; " + "a." * 200_000 + "b/abcdefghi", "\n".join(f"api_secret_{i} = 'Zx81Qw7Er6Ty5Ui4Op{i}'" for i in range(20_000))]
+)
+def test_secrets_of_long_texts_take_time_in_proportion(text):
+    start = time.perf_counter()
+    found = secret_scan.find(text)
+    assert time.perf_counter() - start < 20 and (len(found) == 20_000 or len(text) < 10**6)
+
+
 def test_secrets_after_a_colon():
     value = "Zx81Qw7Er6Ty5Ui4"
     for line in ("signing_key: {}", "client_credential: {}\r\nport: 80", "private_key:{}  # rotated", "a:\n  - auth_bearer: {}\nb: 1", "{{signing_key: {}}}", "signing_key: {},\n"):
@@ -289,6 +318,18 @@ def test_quality(docs, empty):
     assert quality.quality(empty).count() == 0
 
 
+def test_duplicate_lines_are_a_share_of_the_lines(spark):
+    # phrases that recur in every document keep the limit on repeated words high, so the lines alone decide
+    phrase = " ".join(f"p{k}" for k in range(9))
+    line = lambda i, k: f"{phrase} " + " ".join(f"w{i}x{k}x{j}" for j in range(14))
+    rows = [(i, "\n".join(line(i, k) for k in range(10))) for i in range(30)]
+    rows.append((99, "\n".join([line(99, k) for k in range(10)] + ["one short line"] * 9)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    found = {r.doc_id: r for r in quality.quality(frame).collect()}
+    assert not any(r.base_failed for r in found.values()) and found[99].n_dup_lines == 8
+    assert {i for i, r in found.items() if not r.kept} == {99}
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix_sources(docs).collect()
     assert sorted(r.size for r in rows) == sorted(len(words(t)) for _, t in texts())
@@ -372,9 +413,11 @@ def test_nearest_vectors(spark):
         lists.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert set(lists) == set(range(0, 700, 20))
     hits = 0
+    with_null = np.vstack([x, x[0]])  # the row without an id is a candidate like any other, the last among ties
     for q, found in lists.items():
-        scores = (x * x[q]).sum(1)
-        true = [i for i in np.lexsort((np.arange(700), -scores)) if i != q][:20]
+        scores = (with_null * x[q]).sum(1)
+        true = [i for i in np.lexsort((np.arange(701), -scores)) if i != q][:20]
+        found = [(700 if i is None else i, s) for i, s in found]
         hits += len(set(true) & {i for i, _ in found})
         assert [s for _, s in found] == pytest.approx([scores[i] for i, _ in found]) and len(found) == 20
     assert hits / (20 * len(lists)) >= 0.9
@@ -384,6 +427,63 @@ def test_nearest_vectors(spark):
     assert hilbert.search(frame.limit(0), hilbert.F.col("id") % 20 == 0).count() == 0
 
 
+def neighbours(spark, rows, **options):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    lists = {}
+    for r in sorted(hilbert.search(frame, hilbert.F.col("id") % 20 == 0, **options).collect(), key=lambda r: (r.query_id, r.rank)):
+        lists.setdefault(r.query_id, []).append(r.vec_id)
+    return lists
+
+
+def test_nearest_vectors_with_equal_scores(spark):
+    # the last components differ, but the query's are zero there: 300 different vectors with one score
+    rows = [(0, [1.0, 0.0, 0.0])] + [(i, [1.0, 0.1 + (i * 37 % 301) / 301, (i * 11 % 301) / 301]) for i in range(1, 301) if i % 20] + [(20 * i, [0.01, 1.0, 0.0]) for i in range(1, 15)]
+    assert neighbours(spark, rows)[0] == [i for i in range(1, 22) if i % 20]
+
+
+def test_nearest_vectors_of_each_length(spark):
+    rows = [(i, [float(i), 1.0, 0.5, 0.25]) for i in range(60)] + [(1000, [1.0] * 5)]
+    lists = neighbours(spark, rows)
+    assert lists == {0: lists[0], 20: list(range(59, 39, -1)), 40: [i for i in range(59, 38, -1) if i != 40]} and len(lists[0]) == 20
+
+
+def test_nearest_vectors_of_repeated_ids(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.9, 0.1]), (20, [0.9, 0.1]), (3, [0.8, 0.0]), (None, [0.7, 0.0]), (None, [0.7, 0.0])]
+    got = hilbert.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), hilbert.F.col("id") % 20 == 0).collect()
+    found = sorted((r.rank, r.vec_id or -1, round(r.score, 6)) for r in got)
+    want = []
+    for own in range(3):
+        q = rows[own][1]
+        scored = sorted(((-sum(a * b for a, b in zip(q, v)), i is None, i or -1) for k, (i, v) in enumerate(rows) if k != own))
+        want += [(rank, i, round(-s, 6)) for rank, (s, _, i) in enumerate(scored, 1)]
+    assert found == sorted(want)
+
+
+def test_texts_of_one_id_are_told_apart_by_64_bits(spark):
+    # two texts without an id whose hashes agree in the lower 32 bits
+    numbered = spark.range(300_000).select(F.concat(F.lit("t"), F.col("id")).alias("t")).select("t", F.xxhash64("t").alias("h"))
+    low = numbered.withColumn("low", F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)))
+    pair = low.groupBy("low").agg(F.collect_list("t").alias("ts")).where(F.size("ts") > 1).first()["ts"][:2]
+    rows = [(1, f"{SHARED} {pair[0]}"), (None, pair[0]), (None, pair[1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.kept for r in substring.dedup(frame, width=1).where("doc_id is null").collect()} == {"", pair[1]}
+
+
+def test_toxicity_beside_columns_of_its_own_names(spark):
+    docs = spark.createDataFrame([(i, "you awful fool. go away." if i % 2 else "a fine day. all is well.", "x", "x", "x", "x") for i in range(40)], "doc_id long, text string, id string, label string, of string, found string")
+    labels = spark.createDataFrame([(i, i % 2, "x", "x") for i in range(40)], "doc_id long, toxic int, id string, label string")
+    model = toxicity.fit(docs, labels)
+    assert {r.doc_id % 2 for r in toxicity.without_toxic(docs, model).collect()} == {0}
+    assert toxicity.without_toxic(docs, model).columns == docs.columns
+
+
+def test_of_repeated_rows_the_same_one_stays(spark):
+    rows = [(1, "a b c d e f g", c) for c in ("de", "en", "fr")] + [(1, "", c) for c in ("de", "en")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    stays = {tuple(tuple(r) for r in sorted(ngram_join.one_of_each(f).collect())) for f in (frame, frame.repartition(3), frame.orderBy(F.desc("lang")))}
+    assert len(stays) == 1 and len(next(iter(stays))) == 3
+
+
 def test_pipeline_columns(spark):
     import corpus_pipeline
 
