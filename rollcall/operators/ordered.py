@@ -138,15 +138,26 @@ def add_slots(df: DataFrame, slots: Mapping[str, str], target: int | None = None
     types = {f.name: f.dataType for f in df.schema.fields}
     texts = {c: s for c, s in slots.items() if isinstance(types[c], T.StringType)}
     numbers = {c: s for c, s in slots.items() if c not in texts}
-    target, first = target or ROWS_PER_SLOT, first or slot_count(df)
-    for kind, chosen in ((_Texts, texts), (_Numbers, numbers)):
-        if chosen:
-            coded = df.withColumns({f"code__{i}": kind.code(F.col(f"`{c}`"), types[c]) for i, c in enumerate(chosen)})
-            points = _split_points(coded.select(*[f"code__{i}" for i in range(len(chosen))]), kind, target, first)
-            for i, slot in enumerate(chosen.values()):
-                coded = kind.slot(coded, f"code__{i}", points[i], slot)
-            df = coded.drop(*[f"code__{i}" for i in range(len(chosen))])
-    return df
+    return _number_slots(_text_slots(df, texts, target, first), numbers, target, first)
+
+
+def _text_slots(df: DataFrame, slots: Mapping[str, str], target: int | None = None, first: int | None = None) -> DataFrame:
+    return _slots(df, slots, _Texts, target, first)
+
+
+def _number_slots(df: DataFrame, slots: Mapping[str, str], target: int | None = None, first: int | None = None) -> DataFrame:
+    return _slots(df, slots, _Numbers, target, first)
+
+
+def _slots(df: DataFrame, slots: Mapping[str, str], kind, target: int | None, first: int | None) -> DataFrame:
+    if not slots:
+        return df
+    names = [f"code__{i}" for i in range(len(slots))]
+    coded = df.withColumns({name: kind.code(F.col(f"`{c}`"), df.schema[c].dataType) for name, c in zip(names, slots)})
+    points = _split_points(coded.select(*names), kind, target or ROWS_PER_SLOT, first or slot_count(df))
+    for i, slot in enumerate(slots.values()):
+        coded = kind.slot(coded, names[i], points[i], slot)
+    return coded.drop(*names)
 
 
 def _melted_codes(coded: DataFrame, kind, points: Mapping[int, Sequence]) -> DataFrame:
