@@ -13,8 +13,10 @@ def components(edges: DataFrame) -> DataFrame:
     Labels fall to the smallest among the neighbours and then to the label's own label, until none changes. Each round is written to the
     shared folder. Rows with a null end are left out.
     """
-    both = edges.select("a", "b").where("a is not null and b is not null and a != b")
-    both = kept_table(both.unionAll(both.select(F.col("b"), F.col("a"))).distinct(), "components-edges")
+    known = edges.where("a is not null and b is not null and a != b")
+    # kept before it is turned round: edges that are found anew for the other direction need not be the same ones
+    once = kept_table(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "components-edges")
+    both = once.unionAll(once.select(F.col("b"), F.col("a")))
     # the first round needs no labels
     labels = kept_table(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("l")).select("node", F.least("node", "l").alias("label")), "components-labels")
     while True:
