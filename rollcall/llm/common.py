@@ -14,7 +14,7 @@ from rollcall.session import fresh_path
 #: Blocks of texts that a task works on at once, in bytes.
 BLOCK_BYTES = 4 << 20
 #: Bytes, about, that each memory of a worker may take.
-REMEMBERED_BYTES = 16 << 20
+REMEMBERED_BYTES = 32 << 20
 #: Stands for a null id: it is smaller than no other id.
 NO_ID = (1 << 63) - 1
 
@@ -72,12 +72,12 @@ def named(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 
 class Remembered(dict):
-    """What was found for frequent keys; it is emptied when it has grown to about REMEMBERED_BYTES, and by ``forget``."""
+    """What was found for frequent keys; it is emptied when it has grown to about ``limit`` bytes, and by ``forget``."""
 
-    held = 0
+    held, limit = 0, REMEMBERED_BYTES
 
     def keep(self, key, value):
-        if self.held >= REMEMBERED_BYTES:
+        if self.held >= self.limit:
             self.forget()
         self.held += 200 + len(key)  # a key, a value and their place
         self[key] = value

@@ -28,6 +28,8 @@ NOT_SPACE = re.compile("[\x1c-\x1f]")
 class WordIds(Remembered):
     """The ids of the pieces of a text between white space, as bytes (little-endian, 32 bits), by one tokenizer."""
 
+    limit = 64 << 20  # finding ids costs more than the place they take
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
@@ -69,13 +71,9 @@ _by_path: dict[str, WordIds] = {}
 
 def word_ids(path: str) -> Callable[[str], bytes]:
     """A function from text to ids, made once in each worker; for tokenizers that lower letters and drop white space."""
-    return tokens(path).of
-
-
-def tokens(path: str) -> WordIds:
     if path not in _by_path:
         _by_path[path] = WordIds(path)
-    return _by_path[path]
+    return _by_path[path].of
 
 
 def cuts(length: int, capacity: int = CAPACITY) -> list[int]:
@@ -98,7 +96,6 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int
                     out.append((doc, no_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total))
                     start += length
             yield pd.DataFrame(out, columns=["id", "no_id", "start", "length", "ids_crc32", "doc_tokens"])
-        tokens(tokenizer_path).forget()  # the worker may go on with other work
 
     rows = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.col(id_column).isNull().alias("no_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
