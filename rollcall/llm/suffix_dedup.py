@@ -171,7 +171,7 @@ def sent_segments(block: pd.DataFrame, shares: int) -> pd.DataFrame:
     asked, share = asked[turn], share[turn]
     rows = []
     begin = at_runs(share)
-    raw, packer = data.tobytes(), zstandard.ZstdCompressor(level=1)
+    raw, packer = data.tobytes(), zstandard.ZstdCompressor(level=3)
     for a, m in zip(begin, lengths(begin, len(asked))):
         k = asked[a : a + m]
         k = k[np.lexsort((first[k], tks[doc[k]], ids[doc[k]]))]
