@@ -8,21 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rollcall.llm import mixing, ngram_join, packing, secret_scan, toxicity
-from rollcall.llm.common import kept_table, table
+from rollcall.llm.common import kept_table, small_batches, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model learned from ``labels`` calls toxic go."""
+    small_batches(spark)
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 of their five-word shingles, the one with the smallest id stays."""
+    small_batches(spark)
     return ngram_join.one_of_each(docs, words=5, num=80, den=100)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Values of secrets are replaced in the texts; every document stays."""
+    small_batches(spark)
     return secret_scan.redact(docs)
 
 
@@ -33,6 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 4096 tokens."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

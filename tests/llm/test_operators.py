@@ -6,13 +6,15 @@ import hashlib
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, graph, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, suffix_dedup, toxicity
+from rollcall.llm import chat, common, graph, hilbert, mixing, ngram_join, packing, quality, secret_scan, substring, suffix_dedup, toxicity
 from rollcall.llm.induced import suffix_order
 from rollcall.llm.rtree import Sets, Tree, count_vector, join, packed_counts, unpacked_counts
 from rollcall.llm.template import Template, TemplateError, unescape
@@ -344,6 +346,57 @@ def test_mixing(docs, empty):
     assert mixing.mixed(docs).columns == docs.columns
 
 
+def test_mixing_leaves_texts_where_they_are(spark):
+    rows = [(i, f"word{i} more{i}\x0bx", "s" if i % 3 else None) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256k")
+    try:
+        mixed = mixing.mixed(frame)
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        times = Counter(r.doc_id for r in mixed.collect())
+    finally:
+        spark.conf.set(name, before)
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert times == {r.doc_id: r.copies for r in mixing.mix_sources(frame).collect() if r.copies}
+
+
+def test_words_of_any_white_space(spark):
+    rows = [("a\tb\nc\x0bd\x0ce\rf g",), (" \t\n",), ("",), (None,), ("x\x1cy\u00a0z  \r\nw",)]
+    frame = spark.createDataFrame(rows, "text string")
+    count = mixing.word_count(F.col("text"))
+    assert [r[0] for r in frame.select(count).collect()] == [7, 0, 0, 0, 2]
+    assert "translate" not in frame.select(count)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_batches_of_long_texts_are_small(spark):
+    before = spark.conf.get(common.SENT_BYTES)
+    try:
+        frame = common.small_batches(spark).range(0, 900, 1, 1).select("id", F.expr("repeat('x', 40000)").alias("text"))
+
+        def sizes(batches):
+            for b in batches:
+                yield pd.DataFrame({"n": [len(b)]})
+
+        @F.pandas_udf("long")
+        def size(x: pd.Series) -> pd.Series:
+            return pd.Series([len(x)] * len(x))
+
+        sent = [r.n for r in frame.mapInPandas(sizes, "n long").collect()]
+        most = frame.select(size("text").alias("n")).agg(F.max("n")).first()[0]
+    finally:
+        spark.conf.set(common.SENT_BYTES, before)
+    assert sum(sent) == 900 and max(max(sent), most) * 40000 <= common.BATCH_BYTES + 40000
+
+
+def test_a_worker_holds_one_memory():
+    first, second = common.WordValues(), common.WordValues()
+    a, b = first[b"one"], second[b"two"]
+    assert not first and first.held == 0 and dict(second) == {b"two": b}
+    assert first[b"one"] == a and not second
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
