@@ -6,7 +6,7 @@ A document is the set of its distinct shingles of ``words`` words. Two documents
 2. Points meet in cells: a pair that links differs in at most s shingles (s follows from the sizes), so of m > s parts that shingles are hashed to, one at least is the
    same in both. A point has one cell for each part that is not empty. m leaves room for parts that are empty in both; a point with more empty parts than
    that also has cells for them. So no linked pair is missed, and points that share a passage only do not meet.
-3. In a cell, group counts are points of an R-tree. Boxes and points whose summed coordinate minima cannot reach the overlap are passed over, and so are leaves whose points are
+3. In a cell, group counts are points of an R-tree; larger sets have more groups, so that long texts do not pass the bound by chance. Boxes and points whose summed coordinate minima cannot reach the overlap are passed over, and so are leaves whose points are
    of one class already; what survives ties points into clusters.
 4. Each point goes to its cluster once, with its shingles; a cluster of any size is dealt out in chunks. A chunk has an R-tree again, and surviving pairs are verified, but for points
    of one class. So a chunk of linked copies takes about as many checks as copies.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.llm.common import NO_ID, blocks, from_planes, identified, kept_table, mix, named, to_planes, total_bytes, window_hashes, word_values
 from rollcall.llm.graph import components
-from rollcall.llm.rtree import Sets, Tree, count_vector, join, packed_counts, unpacked_counts
+from rollcall.llm.rtree import GROUPS, MATRIX, Sets, Tree, count_vector, groups_of, join, packed_counts, packed_groups, unpacked_counts
 from rollcall.llm.substring import at_runs, by_key, lengths
 
 #: Bytes of text whose cells make up a share, and the bytes of a cell that are sent (chance agreement adds pairs that the bound or the check drops).
@@ -128,7 +128,7 @@ def points_and_cells(rows: DataFrame, words: int, num: int, den: int, shares: in
                 seen.add(node)
             halves = np.frombuffer(b"".join(x or bytes(16) for x in nodes), "<i8").reshape(-1, 2)
             own = {"id": block.id, "no_id": block.no_id, "tk": block.tk, "n": sizes, "node": nodes, "x": halves[:, 0]}
-            own["counts"] = [packed_counts(count_vector(h[a:b])) if len(c) else None for a, b, c in zip(begin, begin[1:], cells)]
+            own["counts"] = [packed_counts(count_vector(h[a:b], groups_of(b - a))) if len(c) else None for a, b, c in zip(begin, begin[1:], cells)]
             yield pd.DataFrame({c: own.get(c, [None] * len(block)) for c in [*POINT, *MESSAGE]})
             with_cells = [k for k, c in enumerate(cells) if len(c)]
             if with_cells:
@@ -198,17 +198,21 @@ def near_points(num: int, den: int):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("cell", kind="stable")
-        cell, x, sizes, counts = rows.cell.to_numpy(), rows.x.to_numpy(), rows.n.to_numpy(), unpacked_counts(rows.counts)
+        cell, x, sizes, counts = rows.cell.to_numpy(), rows.x.to_numpy(), rows.n.to_numpy(), rows.counts.to_numpy()
         begin = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
         n = np.diff([*begin, len(cell)])
+        groups = np.minimum.reduceat(packed_groups(counts), begin) if len(cell) else n  # a cell's vectors are folded to the coarsest
         out: set[tuple[int, int]] = set()
-        two = begin[n == 2]
-        for part in np.array_split(two, max(1, len(two) // 20_000)):  # most cells
-            overlap = np.minimum(counts[part], counts[part + 1]).sum(1, dtype=np.int64)
-            hit = part[overlap * (num + den) >= num * (sizes[part] + sizes[part + 1])]
-            out.update(zip(np.minimum(x[hit], x[hit + 1]).tolist(), np.maximum(x[hit], x[hit + 1]).tolist()))
-        for a, size in zip(begin[n > 2], n[n > 2]):
-            data = Sets(sizes[a : a + size], counts[a : a + size], np.arange(size), num, den)
+        for g in np.unique(groups[n == 2]):
+            two = begin[(n == 2) & (groups == g)]
+            for part in np.array_split(two, max(1, len(two) * g // (20_000 * GROUPS))):  # most cells
+                overlap = np.minimum(unpacked_counts(counts[part], g), unpacked_counts(counts[part + 1], g)).sum(1, dtype=np.int64)
+                hit = part[overlap * (num + den) >= num * (sizes[part] + sizes[part + 1])]
+                out.update(zip(np.minimum(x[hit], x[hit + 1]).tolist(), np.maximum(x[hit], x[hit + 1]).tolist()))
+        for a, size, g in zip(begin[n > 2], n[n > 2], groups[n > 2]):
+            while g > GROUPS and g * size > MATRIX:
+                g //= 2
+            data = Sets(sizes[a : a + size], unpacked_counts(counts[a : a + size], g), np.arange(size), num, den)
             tree = Tree(data, np.arange(size))
             out.update(stars(x[a : a + size], list(join(data, tree, tree))))
         return pd.DataFrame(sorted(out), columns=["a", "b"], dtype=np.int64)
@@ -224,7 +228,9 @@ def chunk_links(num: int, den: int):
         first: dict = {}
         number = np.array([first.setdefault(c, i) if c else i for i, c in enumerate(classes)])
         sets = [np.frombuffer(s, np.uint64) for s in rows.shingles]
-        data = Sets(np.array([len(x) for x in sets]), np.stack([count_vector(x) for x in sets]), number, num, den, sets)
+        sizes = np.array([len(x) for x in sets])
+        groups = groups_of(int(sizes.mean()))
+        data = Sets(sizes, np.stack([count_vector(x, groups) for x in sets]), number, num, den, sets)
         side = rows.side.to_numpy()
         right = Tree(data, np.flatnonzero(side == 0)) if (side == 0).any() else None
         left = Tree(data, np.flatnonzero(side == 1)) if (side == 1).any() else right

@@ -7,30 +7,53 @@ from collections.abc import Iterator
 import numpy as np
 
 LEAF = 64
-#: Groups that shingles are hashed to.
-GROUPS = 128
+#: Groups that shingles are hashed to: a power of two, so that finer vectors fold to coarser ones. Chance alone brings sets of many shingles a group close to the bound.
+GROUPS, MOST_GROUPS, PER_GROUP = 128, 8192, 8
+#: Counts that one matrix of vectors may hold; vectors are folded until it does.
+MATRIX = 1 << 23
 #: Types of counts, by their bytes.
 COUNTS = {1: np.uint8, 2: np.uint16, 4: np.uint32}
 
 
-def count_vector(hashes: np.ndarray) -> np.ndarray:
+def groups_of(size: int) -> int:
+    """Groups for a set of ``size`` shingles: PER_GROUP of them in each, or fewer."""
+    return min(MOST_GROUPS, max(GROUPS, 1 << int(max(size - 1, 0) // PER_GROUP).bit_length()))
+
+
+def count_vector(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """Exact group counts, two bytes a count where all fit."""
-    counts = np.bincount((hashes >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    counts = np.bincount((hashes >> np.uint64(32)).astype(np.int64) % groups, minlength=groups)
     return counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.uint32)
 
 
 def packed_counts(counts: np.ndarray) -> bytes:
-    """A count vector as bytes, one byte a count where all fit."""
-    return (counts.astype(np.uint8) if counts.max(initial=0) < 256 else counts).tobytes()
+    """A count vector as bytes, one byte a count where all fit, after the number of these bytes."""
+    counts = counts.astype(np.uint8) if counts.max(initial=0) < 256 else counts
+    return bytes([counts.itemsize]) + counts.tobytes()
+
+
+def packed_groups(vectors) -> np.ndarray:
+    """The numbers of groups of packed vectors."""
+    return np.array([(len(v) - 1) // v[0] for v in vectors], int)
+
+
+def unpacked_counts(vectors, groups: int | None = None) -> np.ndarray:
+    """Packed vectors as rows of one matrix, folded to ``groups`` groups, or to those of the coarsest."""
+    own = packed_groups(vectors)
+    groups = groups or int(own.min(initial=MOST_GROUPS if len(own) else GROUPS))
+    width = np.array([v[0] for v in vectors], int)
+    out = np.empty((len(own), groups), np.uint32)
+    for w, g in {*zip(width.tolist(), own.tolist())}:
+        these = (width == w) & (own == g)
+        counts = np.frombuffer(b"".join(v[1:] for v, x in zip(vectors, these) if x), COUNTS[w])
+        out[these] = counts.reshape(-1, g) if g == groups else counts.reshape(-1, g // groups, groups).sum(1)
+    return out
 
 
-def unpacked_counts(vectors) -> np.ndarray:
-    """Packed vectors as rows of one matrix."""
-    width = np.array([len(v) // GROUPS for v in vectors], int)
-    out = np.empty((len(width), GROUPS), COUNTS[max(2, width.max(initial=0))])
-    for w in np.unique(width):
-        out[width == w] = np.frombuffer(b"".join(v for v in vectors if len(v) == w * GROUPS), COUNTS[w]).reshape(-1, GROUPS)
-    return out
+def overlaps(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The sum of coordinate minima of each row of ``left`` with each of ``right``."""
+    step = max(1, LEAF * LEAF * GROUPS // right.size)
+    return np.concatenate([np.minimum(left[k : k + step, None, :], right[None, :, :]).sum(2) for k in range(0, len(left), step)])
 
 
 class Sets:
@@ -95,8 +118,7 @@ def join(data: Sets, left: Tree, right: Tree) -> Iterator[tuple[int, int]]:
             ra, rb = np.array([data.root(i) for i in a]), np.array([data.root(i) for i in b])
             if ra[0] == rb[0] and (ra == ra[0]).all() and (rb == rb[0]).all():
                 continue
-            overlap = np.minimum(data.counts[a][:, None, :], data.counts[b][None, :, :]).sum(2)
-            hit = enough(data, overlap, data.sizes[a][:, None], data.sizes[b][None, :]) & (ra[:, None] != rb[None, :])
+            hit = enough(data, overlaps(data.counts[a], data.counts[b]), data.sizes[a][:, None], data.sizes[b][None, :]) & (ra[:, None] != rb[None, :])
             for i, j in zip(*np.nonzero(hit)):
                 i, j = a[i], b[j]
                 ri, rj = data.root(i), data.root(j)

@@ -184,6 +184,19 @@ def test_bound_of_very_large_sets():
     assert list(join(data, tree, tree)) == [(0, 1)]
 
 
+def test_long_texts_of_other_words_are_not_tied(spark):
+    rng = np.random.default_rng(5)
+    text = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 10**6, n))
+    short = text(2040)
+    items = [(1, text(6000)), (2, text(6000)), (3, short), (4, f"{short} {text(40)}"), (5, text(5))]
+    frame = common.identified(spark.createDataFrame(items, "doc_id long, text string"))
+    points = ngram_join.points_and_cells(frame, 5, 80, 100, 1).where("share is null").toPandas().set_index("id")
+    near = lambda *ids: ngram_join.near_points(80, 100)(points.loc[list(ids)].assign(cell=1)).values.tolist()
+    assert near(1, 2) == []  # 128 groups of 6000 shingles agree too well by chance
+    alike = [sorted(points.x[[3, 4]].tolist())]  # vectors of 256 and 512 groups
+    assert near(3, 4) == near(1, 3, 4) == alike
+
+
 def test_one_of_each_keeps_columns_and_wordless_rows(docs):
     out = ngram_join.one_of_each(docs, 3, 90, 100)
     assert out.columns == docs.columns
