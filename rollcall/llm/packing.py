@@ -11,6 +11,7 @@ cut, none is dropped; an empty table gives an empty result. Other columns are no
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -25,8 +26,30 @@ CAPACITY = 4096
 NOT_SPACE = re.compile("[\x1c-\x1f]")
 
 
+#: What the tokenizer sees in the first 256 characters, which are also the bytes of a text of them alone.
+SPACE, LETTER, DIGIT, SYMBOL = range(4)
+KINDS = np.array([SPACE if c in " \t\n\x0b\x0c\r\x85\xa0" else LETTER if c.isalpha() else DIGIT if c.isnumeric() else SYMBOL for c in map(chr, range(256))], np.uint8)
+LOWER = bytes(32 if kind == SPACE else ord(chr(b).lower()) for b, kind in enumerate(KINDS))
+_of_kind = [re.escape(bytes(np.flatnonzero(KINDS == kind).tolist())) for kind in range(4)]
+PARTS = re.compile(b"'s|'t|'re|'ve|'m|'ll|'d|[%b]+|[%b]|[%b]+" % tuple(_of_kind[1:]))
+
+
+def little_endian(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def parts_of(raw: bytes) -> list[bytes]:
+    """A text of the first 256 characters as the tokenizer takes it apart: runs of small letters and of symbols, and single digits."""
+    raw = raw.translate(LOWER)
+    if b"'" in raw:  # some letters belong to the mark before them
+        return PARTS.findall(raw)
+    codes = np.frombuffer(raw, np.uint8)
+    kinds = KINDS[codes]
+    return np.insert(codes, np.flatnonzero((kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT)) + 1, 32).tobytes().split()
+
+
 class WordIds(Remembered):
-    """The ids of the pieces of a text between white space, as bytes (little-endian, 32 bits), by one tokenizer."""
+    """The ids of the parts of a text, as bytes (little-endian, 32 bits), by one tokenizer: parts as the tokenizer makes them (bytes), or what is between white space."""
 
     limit = 64 << 20  # finding ids costs more than the place they take
 
@@ -35,22 +58,31 @@ class WordIds(Remembered):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # byte-level vocabularies show these bytes as they are
         hidden = iter(range(256, 512))
         self.letters = {b: chr(b if b in shown else next(hidden)) for b in range(256)}
         probes = ("alphabet", "fenêtre", "zwölf", "señor")
         self.direct = all(self.of_letters(w) == self.encoded(w) for w in probes)
+        near = [f"a{c}B1{c}2.{c}-{c}{c} {c} we{c}re '{c} {c}'S" for c in map(chr, range(256))]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]  # found in a text before it is taken apart
+        self.apart = self.direct and not any(t.normalized for t in added) and all(b"".join(map(self.__missing__, parts_of(t.encode("latin-1")))) == self.encoded(t) for t in near)
+        self.forget()
 
     def encoded(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def of_letters(self, word: str) -> bytes:
         """A word of small letters is one piece, so the model alone gives its ids."""
-        shown = word.encode().decode("latin-1").translate(self.letters)
-        return np.asarray([t.id for t in self.tokenizer.model.tokenize(shown)], dtype="<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if word[-1] in ".," and word[:-1].isalpha():  # letters and marks are apart for the tokenizer
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return little_endian([t.id for t in self.model.tokenize(shown)])
+
+    def __missing__(self, word: str | bytes) -> bytes:
+        if isinstance(word, bytes):
+            own = word.decode("latin-1")
+            ids = self.of_letters(own) if own.isalpha() else self.encoded(own)
+        elif word[-1] in ".," and word[:-1].isalpha():  # letters and marks are apart for the tokenizer
             ids = self[word[:-1]] + self[word[-1]]
         elif max(word) <= "ÿ" and word != (lower := word.lower()):  # it lowers letters itself
             ids = self[lower]
@@ -61,7 +93,12 @@ class WordIds(Remembered):
         return self.keep(word, ids)
 
     def of(self, text: str) -> bytes:
-        if NOT_SPACE.search(text):
+        if self.apart and not any(t in text for t in self.added):
+            try:
+                return b"".join(map(self.__getitem__, parts_of(text.encode("latin-1"))))
+            except UnicodeEncodeError:  # other characters, too
+                pass
+        if NOT_SPACE.search(text) or any(t in text.lower() for t in self.added):  # words are lowered below
             return self.encoded(text)
         return b"".join(map(self.__getitem__, text.split()))
 

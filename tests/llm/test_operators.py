@@ -443,6 +443,17 @@ def test_word_ids_equal_the_tokenizers():
         assert ids(text) == tokenizer.encoded(text), text
 
 
+def test_parts_of_texts_equal_the_tokenizers():
+    ids = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    rng = np.random.default_rng(3)
+    letters = [*map(chr, range(256)), *"aé'st re.,1²  " * 18]
+    for text in ["", "It's  we'RE ''S 'tis\x85d'll", "a\x1cb c\xa0d", "½½ 12 x2y", "a<|endoftext|>b<|ENDOFTEXT|>", "caf\u0065\u0301 na\u2019s", *("".join(rng.choice(letters, 30)) for _ in range(2000))]:
+        assert ids.of(text) == ids.encoded(text), text
+    ids.forget()
+    ids.of("Some other words. (SOME other) some, other, words")
+    assert len(ids) == 7  # a word is remembered once, whatever the marks around it
+
+
 def test_toxicity_held_out(spark, empty):
     path = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
